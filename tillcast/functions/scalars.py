@@ -31,7 +31,7 @@ def try_cast(c, to: str) -> Column:
 
 def parse_date(c) -> Column:
     """Yyyy-MM-dd, null when unparsable."""
-    return F.try_to_date(col_(c), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(col_(c), "yyyy-MM-dd")
 
 
 def to_bool(c) -> Column:
