@@ -6,9 +6,9 @@ one task, and ``percentile_approx`` is not exact.  Here the rank search is
 distributed instead:
 
 1. count rows per distinct (group, value) -- map-side combined;
-2. range-partition those counts by (group, value), tag each row with its
-   partition and cut lineage with a reliable checkpoint so that the tagging
-   is stable if a task is re-run;
+2. materialise those counts (the source is read once), range-partition them
+   by (group, value), tag each row with its partition and cut lineage with a
+   reliable checkpoint so that the tagging is stable if a task is re-run;
 3. total rows per (group, partition): at most groups x partitions rows;
    a running sum over partitions gives each partition's first rank;
 4. a running sum within (group, partition) gives each value's rank span;
@@ -29,9 +29,10 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     Nulls are skipped; a group with no value yields no row."""
     by = list(by)
     probs = [float(p) for p in probs]
-    counts = (df.where(F.col(value).isNotNull())
-                .select(*by, F.col(value).cast("double").alias("_v"))
-                .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = durable(df.where(F.col(value).isNotNull())
+                       .select(*by, F.col(value).cast("double").alias("_v"))
+                       .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # the range sampler and the tagging both read the materialised counts, not the source
     ranged = durable(counts.repartitionByRange(*by, "_v")
                      .withColumn("_part", F.spark_partition_id()))
     per_part = ranged.groupBy(*by, "_part").agg(F.sum("_c").alias("_pc"))

@@ -15,6 +15,7 @@ from tillcast.functions.quantiles import percentile_columns
 from tillcast.functions.scalars import any_markdown, month_label
 from tillcast.functions.stats import exact_mean, mean_of
 from tillcast.schemas import KEYS, SERIES
+from tillcast.session import durable
 
 # Volatility buckets (right-closed bins 0, .3, .6, 1, inf) and their labels
 VOLATILITY_LABELS = ["Low (CV<0.3)", "Medium (0.3≤CV<0.6)", "High (0.6≤CV<1.0)", "Very High (CV≥1.0)"]
@@ -55,31 +56,40 @@ def negative_summary(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
 def iqr_outliers(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
     """Exact quartiles, 1.5 IQR bounds, outlier count and percent (one extra pass)."""
     q = percentile_columns(df, col, {"q1": 0.25, "q3": 0.75})
-    b = q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
-    b = b.select("*", (F.col("q1") - 1.5 * F.col("iqr")).alias("lower_bound"),
-                 (F.col("q3") + 1.5 * F.col("iqr")).alias("upper_bound"))
+    iqr = F.col("q3") - F.col("q1")
+    b = q.select(F.struct(F.col("q1"), F.col("q3"), iqr.alias("iqr"),
+                          (F.col("q1") - 1.5 * iqr).alias("lower_bound"),
+                          (F.col("q3") + 1.5 * iqr).alias("upper_bound")).alias("b"))
+    bounds = b.select("b").scalar()   # one row, one subquery (reused wherever referenced)
     x = F.col(col).cast("double")
-    # the bounds are one row: scalar subqueries, evaluated once, no join
-    lb, ub = b.select("lower_bound").scalar(), b.select("upper_bound").scalar()
     cnt = df.agg(F.count(F.lit(1)).alias("_n"),
-                 F.count_if((x < lb) | (x > ub)).alias("outliers_count"))
-    return cnt.select(*[b.select(c).scalar().alias(c)
-                        for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
-                      "outliers_count",
-                      (F.col("outliers_count") / F.col("_n") * 100).alias("outliers_pct"))
+                 F.count_if((x < bounds["lower_bound"]) | (x > bounds["upper_bound"])).alias("outliers_count"),
+                 bounds.alias("_b"))
+    return cnt.select(*[F.col("_b")[c].alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
+                      "outliers_count", (F.col("outliers_count") / F.col("_n") * 100).alias("outliers_pct"))
 
 
 def sanity_summary(df: DataFrame) -> DataFrame:
-    """One row of the checks above."""
-    miss = missing_values(df).agg(F.count(F.lit(1)).alias("columns_with_missing"),
-                                  F.coalesce(F.sum("missing_count"), F.lit(0)).alias("missing_total"))
-    neg = negative_summary(df)
-    out = iqr_outliers(df)
-    return miss.select(
-        "columns_with_missing", "missing_total",
-        surplus_duplicates(df).select("duplicates").scalar().alias("duplicates"),
-        *[neg.select(c).scalar().alias(c) for c in neg.columns],
-        *[out.select(c).scalar().alias(c) for c in ("outliers_count", "outliers_pct")])
+    """One row of the checks above.  The view is materialised once (it feeds four
+    aggregations); single-pass counts share one aggregate, the rest are one-row subqueries."""
+    x = durable(df)
+    cols = x.columns
+    c = F.col("weekly_sales")
+    base = x.agg(F.count(F.lit(1)).alias("_n"),
+                 F.array(*[F.count_if(F.col(k).isNull()) for k in cols]).alias("_miss"),
+                 F.count_if(c < 0).alias("negative_sales_count"),
+                 F.min(F.when(c < 0, c)).cast("double").alias("negative_sales_min"))
+    dup = surplus_duplicates(x).select(F.struct("duplicates").alias("d")).select("d").scalar()
+    out = iqr_outliers(x).select(F.struct("outliers_count", "outliers_pct").alias("o")).select("o").scalar()
+    missing = F.filter(F.col("_miss"), lambda m: m > 0)
+    return base.select(
+        F.size(missing).cast("long").alias("columns_with_missing"),
+        F.aggregate(missing, F.lit(0).cast("long"), lambda a, m: a + m).alias("missing_total"),
+        dup["duplicates"].alias("duplicates"),
+        "negative_sales_count",
+        (F.col("negative_sales_count") / F.col("_n") * 100).alias("negative_sales_pct"),
+        "negative_sales_min",
+        out["outliers_count"].alias("outliers_count"), out["outliers_pct"].alias("outliers_pct"))
 
 
 def weekly_totals(df: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ shuffle sizes) choose broadcast when they are small and sort-merge beyond.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def friday_of_week(ts) -> F.Column:
-    """Friday of the Monday-started week holding ``ts``."""
-    return F.date_add(F.to_date(F.date_trunc("week", ts)), 4)
+    """Friday of the Monday-started week holding ``ts`` (integer date arithmetic)."""
+    d = F.to_date(ts)
+    return F.date_add(F.date_sub(d, (F.dayofweek(d) + 5) % 7), 4)
 
 
 def store_of_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +42,22 @@ def store_of_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("s_suppkey", (F.col("n_regionkey") + 1).alias("store_id")))
 
 
+def _hundredths(c: str) -> F.Column:
+    """A two-decimal double as an exact integer count of hundredths."""
+    return F.rint(F.col(c) * 100).cast("long")
+
+
+def _scaled(total: str, places: int, dtype: str) -> F.Column:
+    """Exact decimal from an integer count of 10^-places units (one multiply per group)."""
+    unit = F.lit(Decimal(1).scaleb(-places))
+    return (F.col(total).cast("decimal(20,0)") * unit).cast(dtype)
+
+
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact_sales_weekly: one row per (store_id, dept_id, week_date), decimals as stored."""
+    """fact_sales_weekly: one row per (store_id, dept_id, week_date), decimals as stored.
+
+    Per-row arithmetic is on longs (cents, percent points), so the aggregation
+    buffers are primitive; the exact decimals are formed once per group."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate")
@@ -50,27 +67,29 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (li.join(part, F.col("l_partkey") == F.col("p_partkey"))
             .join(store_of_supplier(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
             .withColumn("week_date", friday_of_week(F.col("l_shipdate"))))
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    signed = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") >= 6), -price).otherwise(price)
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    aggs = [F.sum(signed).cast("decimal(18,2)").alias("weekly_sales")]
-    aggs += [F.sum(F.when(F.col("l_linenumber") == i, price * disc)).cast("decimal(18,4)").alias(m)
-             for i, m in enumerate(MARKDOWNS, start=1)]
+    cents = _hundredths("l_extendedprice")
+    disc = _hundredths("l_discount")
+    signed = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") >= 6), -cents).otherwise(cents)
+    aggs = [F.sum(signed).alias("_sales")]
+    aggs += [F.sum(F.when(F.col("l_linenumber") == i, cents * disc)).alias(f"_md{i}")
+             for i in range(1, len(MARKDOWNS) + 1)]
     aggs += [
-        (F.sum(F.col("l_quantity").cast("decimal(8,2)")) * 100).cast("bigint").alias("_q100"),
-        (F.sum(F.col("l_tax").cast("decimal(4,2)")) * 100).cast("bigint").alias("_t100"),
-        (F.sum(disc) * 100).cast("bigint").alias("_d100"),
+        F.sum(_hundredths("l_quantity")).alias("_q100"),
+        F.sum(_hundredths("l_tax")).alias("_t100"),
+        F.sum(disc).alias("_d100"),
         F.sum("l_linenumber").cast("bigint").alias("_line"),
         F.count(F.lit(1)).alias("_n"),
     ]
     g = rows.groupBy("store_id", "dept_id", "week_date").agg(*aggs)
     md_on = F.col("week_date") >= F.lit(MARKDOWN_START).cast("date")
     return g.select(
-        "store_id", "dept_id", "week_date", "weekly_sales",
+        "store_id", "dept_id", "week_date",
+        _scaled("_sales", 2, "decimal(18,2)").alias("weekly_sales"),
         F.weekofyear("week_date").isin(*HOLIDAY_WEEKS).alias("isholiday"),
         _ratio("_q100", 10, 2, "decimal(6,2)").alias("temperature"),
         _ratio("_t100", 1, 3, "decimal(6,3)").alias("fuel_price"),
-        *[F.when(md_on, F.col(m)).alias(m) for m in MARKDOWNS],
+        *[F.when(md_on, _scaled(f"_md{i}", 4, "decimal(18,4)")).alias(m)
+          for i, m in enumerate(MARKDOWNS, start=1)],
         _ratio("_d100", 1, 7, "decimal(10,7)").alias("cpi"),
         _ratio("_line", 1, 3, "decimal(6,3)").alias("unemployment"),
     )
@@ -81,7 +100,11 @@ def _ratio(total: str, divisor: int, places: int, dtype: str) -> F.Column:
     so that every engine stores the same exact decimal."""
     scale = 10 ** places
     units = F.expr(f"({total} * {2 * scale} + _n * {divisor}) div (2 * {divisor} * _n)")
-    return (units / F.lit(scale)).cast(dtype)
+    return _scaled_col(units, places, dtype)
+
+
+def _scaled_col(units: F.Column, places: int, dtype: str) -> F.Column:
+    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))).cast(dtype)
 
 
 def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,38 +139,38 @@ store_of_supplier AS (
 li AS (
   SELECT l.*, CAST(regexp_extract(p.p_brand, 'Brand#(\\d+)', 1) AS INTEGER) AS dept_id, ss.store_id,
          CAST(CAST(date_trunc('week', l.l_shipdate) AS DATE) + 4 AS DATE) AS week_date,
-         CAST(l.l_extendedprice AS DECIMAL(12,2)) AS price,
-         CAST(l.l_discount AS DECIMAL(4,2)) AS disc
+         CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) AS cents,
+         CAST(ROUND(l.l_discount * 100) AS BIGINT) AS disc
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   JOIN store_of_supplier ss ON l.l_suppkey = ss.s_suppkey
 ),
 fact_agg AS (
   SELECT store_id, dept_id, week_date,
-    CAST(SUM(CASE WHEN l_returnflag = 'R' AND l_linenumber >= 6 THEN -price ELSE price END) AS DECIMAL(18,2)) AS weekly_sales,
-    CAST(SUM(CASE WHEN l_linenumber = 1 THEN price * disc END) AS DECIMAL(18,4)) AS markdown1,
-    CAST(SUM(CASE WHEN l_linenumber = 2 THEN price * disc END) AS DECIMAL(18,4)) AS markdown2,
-    CAST(SUM(CASE WHEN l_linenumber = 3 THEN price * disc END) AS DECIMAL(18,4)) AS markdown3,
-    CAST(SUM(CASE WHEN l_linenumber = 4 THEN price * disc END) AS DECIMAL(18,4)) AS markdown4,
-    CAST(SUM(CASE WHEN l_linenumber = 5 THEN price * disc END) AS DECIMAL(18,4)) AS markdown5,
-    CAST(SUM(CAST(l_quantity AS DECIMAL(8,2))) * 100 AS BIGINT) AS q100,
-    CAST(SUM(CAST(l_tax AS DECIMAL(4,2))) * 100 AS BIGINT) AS t100,
-    CAST(SUM(disc) * 100 AS BIGINT) AS d100,
+    SUM(CASE WHEN l_returnflag = 'R' AND l_linenumber >= 6 THEN -cents ELSE cents END) AS sales,
+    SUM(CASE WHEN l_linenumber = 1 THEN cents * disc END) AS md1,
+    SUM(CASE WHEN l_linenumber = 2 THEN cents * disc END) AS md2,
+    SUM(CASE WHEN l_linenumber = 3 THEN cents * disc END) AS md3,
+    SUM(CASE WHEN l_linenumber = 4 THEN cents * disc END) AS md4,
+    SUM(CASE WHEN l_linenumber = 5 THEN cents * disc END) AS md5,
+    SUM(CAST(ROUND(l_quantity * 100) AS BIGINT)) AS q100,
+    SUM(CAST(ROUND(l_tax * 100) AS BIGINT)) AS t100,
+    SUM(disc) AS d100,
     CAST(SUM(l_linenumber) AS BIGINT) AS line,
     COUNT(*) AS n
   FROM li GROUP BY store_id, dept_id, week_date
 ),
 fact AS (
-  SELECT store_id, dept_id, week_date, weekly_sales,
+  SELECT store_id, dept_id, week_date, CAST(CAST(sales AS DECIMAL(20,0)) * 0.01 AS DECIMAL(18,2)) AS weekly_sales,
     weekofyear(week_date) IN (6, 36, 47, 52) AS isholiday,
-    CAST(((q100 * 200 + n * 10) // (20 * n)) / 100 AS DECIMAL(6,2)) AS temperature,
-    CAST(((t100 * 2000 + n) // (2 * n)) / 1000 AS DECIMAL(6,3)) AS fuel_price,
-    CASE WHEN week_date >= DATE '1998-01-01' THEN markdown1 END AS markdown1,
-    CASE WHEN week_date >= DATE '1998-01-01' THEN markdown2 END AS markdown2,
-    CASE WHEN week_date >= DATE '1998-01-01' THEN markdown3 END AS markdown3,
-    CASE WHEN week_date >= DATE '1998-01-01' THEN markdown4 END AS markdown4,
-    CASE WHEN week_date >= DATE '1998-01-01' THEN markdown5 END AS markdown5,
-    CAST(((d100 * 20000000 + n) // (2 * n)) / 10000000 AS DECIMAL(10,7)) AS cpi,
-    CAST(((line * 2000 + n) // (2 * n)) / 1000 AS DECIMAL(6,3)) AS unemployment
+    CAST(CAST((q100 * 200 + n * 10) // (20 * n) AS DECIMAL(20,0)) * 0.01 AS DECIMAL(6,2)) AS temperature,
+    CAST(CAST((t100 * 2000 + n) // (2 * n) AS DECIMAL(20,0)) * 0.001 AS DECIMAL(6,3)) AS fuel_price,
+    CASE WHEN week_date >= DATE '1998-01-01' THEN CAST(CAST(md1 AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(18,4)) END AS markdown1,
+    CASE WHEN week_date >= DATE '1998-01-01' THEN CAST(CAST(md2 AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(18,4)) END AS markdown2,
+    CASE WHEN week_date >= DATE '1998-01-01' THEN CAST(CAST(md3 AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(18,4)) END AS markdown3,
+    CASE WHEN week_date >= DATE '1998-01-01' THEN CAST(CAST(md4 AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(18,4)) END AS markdown4,
+    CASE WHEN week_date >= DATE '1998-01-01' THEN CAST(CAST(md5 AS DECIMAL(20,0)) * 0.0001 AS DECIMAL(18,4)) END AS markdown5,
+    CAST(CAST((d100 * 20000000 + n) // (2 * n) AS DECIMAL(20,0)) * 0.0000001 AS DECIMAL(10,7)) AS cpi,
+    CAST(CAST((line * 2000 + n) // (2 * n) AS DECIMAL(20,0)) * 0.001 AS DECIMAL(6,3)) AS unemployment
   FROM fact_agg
 ),
 dim_store AS (
