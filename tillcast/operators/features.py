@@ -20,19 +20,23 @@ from tillcast.functions.scalars import add_markdown_features, add_time_features,
 from tillcast.functions.stats import doubles, window_mean
 from tillcast.schemas import SERIES, feature_columns
 
-SERIES_WINDOW = Window.partitionBy(*SERIES).orderBy("week_date")
+def series_window():
+    """Built on call: a window spec needs an active session."""
+    return Window.partitionBy(*SERIES).orderBy("week_date")
 
 
-def lag_columns(col: str, lags, prefix: str | None = None, w=SERIES_WINDOW) -> dict:
+def lag_columns(col: str, lags, prefix: str | None = None, w=None) -> dict:
     """Value ``k`` rows back in the series (rows, not weeks: gaps are not filled)."""
+    w = w if w is not None else series_window()
     prefix = prefix if prefix is not None else f"{col}_lag_"
     return {f"{prefix}{k}": F.lag(F.col(col), k).over(w) for k in lags}
 
 
 def rolling_columns(df: DataFrame, col: str, windows, prefix: str, with_std: bool,
-                    w=SERIES_WINDOW) -> dict:
+                    w=None) -> dict:
     """Mean (and sample std) of the ``n`` rows before the current one;
     nulls skipped, null when no value (std: when fewer than two)."""
+    w = w if w is not None else series_window()
     out = {}
     for n in windows:
         frame = w.rowsBetween(-n, -1)

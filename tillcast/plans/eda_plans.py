@@ -261,3 +261,11 @@ def q_neg_head(spark, sf):
 def q_dtypes(spark, sf):
     """Schema listing of the analytics view (metadata; rows-only check)."""
     return eda.dtypes_frame(view(spark, sf))
+
+
+@register("f6_duplicate_groups_head", with_base("", """
+SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM v GROUP BY store_id, dept_id, week_date
+HAVING COUNT(*) > 1 ORDER BY store_id, dept_id, week_date LIMIT 5"""))
+def q_dup_head(spark, sf):
+    """the first five duplicate key groups (top-k over the duplicate groups only)."""
+    return eda.duplicate_groups(view(spark, sf)).orderBy("store_id", "dept_id", "week_date").limit(5)

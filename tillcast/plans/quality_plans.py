@@ -21,7 +21,7 @@ EXPECTED = {"dim_store": 5}   # regions: fixed by the generator's spec; others o
 
 def star(spark, sf):
     fact = fx.fact_sales(spark, sf)
-    return fact, fx.dim_store(spark, sf), fx.dim_dept(fact)
+    return fact, fx.dim_store(spark, sf), fx.dim_dept(spark, sf)
 
 
 def staged(spark, sf):
@@ -221,8 +221,7 @@ SELECT dept_id FROM dim_dept WHERE dept_id <= 20
 UNION ALL SELECT dept_id FROM dim_dept d WHERE NOT EXISTS (SELECT 1 FROM dim_dept t WHERE t.dept_id = d.dept_id AND t.dept_id <= 20)"""))
 def q_insert_depts(spark, sf):
     """K2: departments 1-20 known, the rest inserted, none duplicated."""
-    fact = fx.fact_sales(spark, sf)
-    dd = fx.dim_dept(fact)
+    dd = fx.dim_dept(spark, sf)
     return mg.insert_missing_depts(dd.where(F.col("dept_id") <= 20), dd)
 
 

@@ -52,3 +52,11 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when a bounded probe proves it holds at most ``max_rows`` rows;
+    otherwise leave the join strategy to Spark (sort-merge or AQE's runtime choice)."""
+    from pyspark.sql.functions import broadcast
+    n = df.limit(max_rows + 1).count()
+    return broadcast(df) if n <= max_rows else df

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.schemas import MARKDOWNS, VIEW_COLUMNS
+from tillcast.session import broadcast_if_small
 
 # Fixed values of the stand-in mapping
 HOLIDAY_WEEKS = (6, 36, 47, 52)
@@ -118,15 +119,25 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.join(sizes, "store_id", "left").select("store_id", "store_type", "store_size")
 
 
-def dim_dept(fact: DataFrame) -> DataFrame:
-    return fact.select("dept_id").distinct()
+def dim_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Department dimension: the distinct brand numbers of ``part``."""
+    return (table(spark, sf_dir, "part")
+            .select(F.regexp_extract("p_brand", r"Brand#(\d+)", 1).cast("int").alias("dept_id"))
+            .distinct())
+
+
+# dimension joins broadcast only below these sizes (checked per run), sort-merge beyond
+DIM_BROADCAST_ROWS = 100_000
 
 
 def analytics_view(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None) -> DataFrame:
-    """Fact inner dim_store inner dim_dept; money and covariates keep their exact decimals."""
+    """Fact inner dim_store inner dim_dept; money and covariates keep their exact decimals.
+    The fact keeps its own partitioning: the dimensions are broadcast after a size check, so
+    no exchange on a dimension key (e.g. dept alone) is imposed on later series windows."""
     fact = fact if fact is not None else fact_sales(spark, sf_dir)
-    v = (fact.join(dim_store(spark, sf_dir), "store_id")
-             .join(dim_dept(fact), "dept_id"))
+    stores = broadcast_if_small(dim_store(spark, sf_dir), DIM_BROADCAST_ROWS)
+    depts = broadcast_if_small(dim_dept(spark, sf_dir), DIM_BROADCAST_ROWS)
+    v = fact.join(stores, "store_id").join(depts, "dept_id")
     return v.select(*VIEW_COLUMNS)
 
 
@@ -180,7 +191,7 @@ dim_store AS (
   FROM region r LEFT JOIN (SELECT store_id, COUNT(*) AS cnt FROM store_of_supplier GROUP BY store_id) sz
     ON r.r_regionkey + 1 = sz.store_id
 ),
-dim_dept AS (SELECT DISTINCT dept_id FROM fact),
+dim_dept AS (SELECT DISTINCT CAST(regexp_extract(p_brand, 'Brand#(\\d+)', 1) AS INTEGER) AS dept_id FROM part),
 v AS (
   SELECT f.store_id, s.store_type, s.store_size, f.dept_id, f.week_date, f.weekly_sales,
     f.isholiday, f.temperature, f.fuel_price, f.markdown1, f.markdown2, f.markdown3,
