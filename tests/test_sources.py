@@ -47,3 +47,12 @@ def test_fingerprint_is_order_free(spark, tmp_path):
     b = fingerprint_text(spark, str(tmp_path / "b.txt")).first()
     c = fingerprint_lines(spark.createDataFrame([(x,) for x in lines], "value string").repartition(7)).first()
     assert a == b == c and a["n_lines"] == 50
+
+
+def test_splits_written_partitioned(spark, tmp_path):
+    rows = [(1, 1, dt.date(2000, 1, 7), "train"), (1, 1, dt.date(2001, 1, 5), "test")]
+    df = spark.createDataFrame(rows, "store_id int, dept_id int, week_date date, split string")
+    sinks.write_splits(df, str(tmp_path / "splits"))
+    t = spark.read.parquet(str(tmp_path / "splits")).where(F.col("split") == "test")
+    assert "PartitionFilters: [isnotnull(split" in t._jdf.queryExecution().executedPlan().toString()
+    assert t.count() == 1

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tillcast.config import DEFAULT, Params
 from tillcast.functions.stats import exact_mean
 from tillcast.schemas import SERIES
+from tillcast.session import broadcast_if_small
 
 # Names of the five baselines
 NAIVE = "Naive"
@@ -75,11 +76,14 @@ def first_in_week(train: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("sn_rows")))
 
 
-def seasonal_matches(train: DataFrame, actual: DataFrame, k: int) -> DataFrame:
+def seasonal_matches(train: DataFrame, actual: DataFrame, k: int, params: Params = DEFAULT) -> DataFrame:
     """C7 + E13: per (series, forecast week, forecast year): number and mean of all
-    same-week rows of earlier years, and mean of the K most recent of them."""
-    pairs = (actual.select(F.weekofyear("week_date").alias("_fweek"), F.year("week_date").alias("_fyear"))
-                   .distinct())
+    same-week rows of earlier years, and mean of the K most recent of them.
+    The (week, year) pairs are at most the forecast calendar: broadcast after a size check,
+    so the join never shuffles the train rows on a 53-valued week key."""
+    pairs = broadcast_if_small(
+        actual.select(F.weekofyear("week_date").alias("_fweek"), F.year("week_date").alias("_fyear")).distinct(),
+        params.max_forecast_dates)
     rows = train.select(*SERIES, "week_date", "weekly_sales",
                         F.weekofyear("week_date").alias("_w"), F.year("week_date").alias("_y"))
     m = rows.join(pairs, (F.col("_w") == F.col("_fweek")) & (F.col("_y") < F.col("_fyear")))
@@ -100,7 +104,7 @@ def forecast_grid(train: DataFrame, actual: DataFrame, params: Params = DEFAULT,
     grid = expand_dates(summ, dates)
     grid = grid.withColumns({"_ly": F.col("_fyear") - 1, "_lw": F.col("_fweek")})
     grid = grid.join(first_in_week(train), SERIES + ["_ly", "_lw"], "left")
-    sm = seasonal_matches(train, actual, params.seasonal_k)
+    sm = seasonal_matches(train, actual, params.seasonal_k, params)
     return grid.join(sm, SERIES + ["_fweek", "_fyear"], "left")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.operators import eda
-from tillcast.plans.feature_plans import view
+from tillcast.plans.feature_plans import shared_view, view
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import MARKDOWNS, VIEW_COLUMNS
 
@@ -127,14 +127,14 @@ FROM t GROUP BY type""")
 @register("d11_holiday_summary", _summary_sql(
     "CASE WHEN isholiday THEN 'Holiday' ELSE 'Non-Holiday' END", True, "WHERE isholiday IS NOT NULL"))
 def q_holiday_summary(spark, sf):
-    out = eda.holiday_summary(view(spark, sf))
+    out = eda.holiday_summary(shared_view(spark, sf))
     return out.withColumn("std_sales", F.round("std_sales", 4))
 
 
 @register("d12_markdown_comparison", _summary_sql(
     f"CASE WHEN {ANY_MD} THEN 'With Markdown' ELSE 'Without Markdown' END", False))
 def q_markdown_cmp(spark, sf):
-    return eda.markdown_comparison(view(spark, sf))
+    return eda.markdown_comparison(shared_view(spark, sf))
 
 
 @register("d13_markdown_by_month", with_base("", f"""
@@ -269,3 +269,17 @@ HAVING COUNT(*) > 1 ORDER BY store_id, dept_id, week_date LIMIT 5"""))
 def q_dup_head(spark, sf):
     """the first five duplicate key groups (top-k over the duplicate groups only)."""
     return eda.duplicate_groups(view(spark, sf)).orderBy("store_id", "dept_id", "week_date").limit(5)
+
+
+@register("b16_markdown_flags", with_base("", f"""
+SELECT {ANY_MD} AS any_markdown,
+  (COALESCE(markdown1, 0) + COALESCE(markdown2, 0) + COALESCE(markdown3, 0) + COALESCE(markdown4, 0)
+   + COALESCE(markdown5, 0)) > 0 AS positive_total, COUNT(*) AS n_rows
+FROM v GROUP BY 1, 2"""))
+def q_md_flags(spark, sf):
+    """B16 against B15: the EDA flag (any markdown present) beside the feature flag (total > 0)."""
+    from tillcast.functions.scalars import add_markdown_features, any_markdown
+    v = view(spark, sf).withColumn("any_markdown", any_markdown())
+    f = add_markdown_features(v)
+    return (f.groupBy("any_markdown", (F.col("markdown_total") > 0).alias("positive_total"))
+             .agg(F.count(F.lit(1)).alias("n_rows")))

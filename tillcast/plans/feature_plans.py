@@ -10,6 +10,7 @@ from tillcast.operators.features import add_holiday_window_features, build_featu
 from tillcast.operators.split import split_counts, take_split, union_splits, with_split
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import KEYS, MARKDOWNS, VIEW_COLUMNS, feature_columns
+from tillcast.session import durable
 from tillcast.sources.fixtures import analytics_view
 
 P = DEFAULT
@@ -19,14 +20,24 @@ def view(spark, sf):
     return analytics_view(spark, sf)
 
 
-def split_view(spark, sf):
-    return with_split(view(spark, sf), P)
+def shared_view(spark, sf):
+    """The view materialised once (reliable checkpoint) for queries that read it in several
+    branches: one scan of the raw tables instead of one per branch."""
+    return durable(view(spark, sf))
+
+
+def split_view(spark, sf, shared: bool = False):
+    return with_split(shared_view(spark, sf) if shared else view(spark, sf), P)
 
 
 def features(spark, sf):
     return build_features(split_view(spark, sf), P)
 
 
+def shared_features(spark, sf):
+    return durable(features(spark, sf))
+
+
 # -- DuckDB text of the same plan ------------------------------------------------------
 
 SPLIT_SQL = (f"CASE WHEN week_date <= DATE '{P.train_end}' THEN 'train' "

@@ -22,12 +22,12 @@ ONE_SERIES = (1, 1)
 
 def train_val(spark, sf):
     """Baselines are fit on train and scored on val, with raw (unclipped) sales."""
-    sv = split_view(spark, sf)
+    sv = split_view(spark, sf, shared=True)
     return take_split(sv, "train").drop("split"), take_split(sv, "val").drop("split")
 
 
 def train_val_test(spark, sf):
-    sv = split_view(spark, sf)
+    sv = split_view(spark, sf, shared=True)
     return [take_split(sv, s).drop("split") for s in ("train", "val", "test")]
 
 

@@ -12,7 +12,7 @@ from tillcast.operators import ensemble as en
 from tillcast.operators import evaluate as ev
 from tillcast.operators import models as md
 from tillcast.operators import scoring as sc
-from tillcast.plans.feature_plans import FEATURE_CTES, features
+from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_features
 from tillcast.plans.forecast_plans import VAL_CTES, all_val_predictions, metric_sql
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import KEYS
@@ -25,7 +25,7 @@ QUERY_GBT_ITER = 20
 
 
 def feature_splits(spark, sf):
-    f = features(spark, sf)
+    f = shared_features(spark, sf)
     return [f.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
 
 
