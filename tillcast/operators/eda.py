@@ -246,6 +246,7 @@ def negative_head(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def dtypes_frame(df: DataFrame) -> DataFrame:
-    """Column names and types as a frame (schema metadata, not data)."""
-    spark = df.sparkSession
-    return spark.createDataFrame(list(df.dtypes), "column_name string, data_type string")
+    """Column name, type and non-null count per column (one pass; stacked, not collected)."""
+    pairs = ", ".join(f"'{c}', '{t}', `{c}`" for c, t in df.dtypes)
+    agg = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    return agg.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (column_name, data_type, non_null)")
