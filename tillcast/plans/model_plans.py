@@ -13,7 +13,7 @@ from tillcast.operators import evaluate as ev
 from tillcast.operators import models as md
 from tillcast.operators import scoring as sc
 from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_features
-from tillcast.plans.forecast_plans import VAL_CTES, all_val_predictions, metric_sql
+from tillcast.plans.forecast_plans import REPORT_CTES, VAL_CTES, all_val_predictions, metric_sql, train_val_test
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import KEYS
 
@@ -258,3 +258,26 @@ def q_scoring(spark, sf):
 
     scored, rejected = sc.score_batch(batch, predict)
     return scored.join(batch.select("row_id", *KEYS), "row_id").select(*KEYS, "predicted_sales")
+
+
+L19_CTES = REPORT_CTES + """,
+m AS (SELECT p.model, a.weekly_sales, a.isholiday, p.predicted_sales FROM va a JOIN predsn p USING (store_id, dept_id, week_date)),
+r AS (SELECT model, """ + metric_sql() + """ FROM m GROUP BY model),
+g AS (SELECT rmse AS g_rmse, wmae AS g_wmae FROM r WHERE model = '""" + GATE + """'),
+mem AS (SELECT r.* FROM r, g WHERE r.model <> '""" + GATE + """' AND r.rmse < g.g_rmse AND r.wmae < g.g_wmae),
+wts AS (SELECT model, (1.0 / rmse) / (SELECT SUM(1.0 / rmse) FROM mem) AS weight FROM mem),
+ewt AS (SELECT p.store_id, p.dept_id, p.week_date, SUM(p.predicted_sales * w.weight) AS predicted_sales
+        FROM predsn_t p JOIN wts w USING (model) GROUP BY 1, 2, 3 HAVING COUNT(*) = (SELECT COUNT(*) FROM mem))"""
+
+
+@register("l19_refit_ensemble_test", with_base(L19_CTES,
+    "SELECT " + metric_sql() + " FROM va_t a JOIN ewt USING (store_id, dept_id, week_date)"))
+def q_refit_ensemble(spark, sf):
+    """Members chosen and weighted on validation, refit on train + val, combined on test."""
+    train, val, test = train_val_test(spark, sf)
+    gv = bl.forecast_grid(train, val, P)
+    r = rounded(ev.evaluate_predictions(val, bl.all_predictions(gv, P), by=["model"], with_wmae=True, params=P))
+    members = en.gate_members(r, GATE)
+    gt = bl.forecast_grid(train.unionByName(val), test, P)
+    combined = en.weighted_mean(bl.all_predictions(gt, P), members)
+    return rounded(ev.evaluate_predictions(test, combined, with_wmae=True, params=P))
