@@ -72,3 +72,21 @@ def percentile_columns(df: DataFrame, value: str, named_probs: dict, by=()) -> D
     if by:
         return long.groupBy(*by).agg(*aggs)
     return long.agg(*aggs)
+
+
+def global_positions(df: DataFrame, order_cols, col: str = "_pos") -> DataFrame:
+    """0-based position of every row in the total order ``order_cols`` (must be unique),
+    without a single-partition window over rows: range-partition, count per partition
+    (one row per partition), running offsets over those counts, row number inside each
+    partition.  The tagged frame is checkpointed so that a re-run task keeps its partition."""
+    order_cols = list(order_cols)
+    ranged = durable(df.repartitionByRange(*order_cols).withColumn("_part", F.spark_partition_id()))
+    per_part = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_pc"))
+    offsets = per_part.select(
+        "_part", (F.sum("_pc").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+                  - F.col("_pc")).alias("_off"))
+    inner = Window.partitionBy("_part").orderBy(*order_cols)
+    return (ranged.withColumn("_rn", F.row_number().over(inner))
+                  .join(offsets, "_part")
+                  .withColumn(col, F.col("_off") + F.col("_rn") - 1)
+                  .drop("_part", "_rn", "_off"))

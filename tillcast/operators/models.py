@@ -21,11 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.quantiles import exact_percentiles
-from tillcast.schemas import KEYS, MODEL_INPUTS, SERIES
+from tillcast.functions.quantiles import exact_percentiles, global_positions
+from tillcast.schemas import KEYS, MODEL_INPUTS
 from tillcast.session import durable
 
 CATEGORICAL = ["store_type", "dept_id"]
@@ -109,20 +109,16 @@ def fit_linear_prep(train: DataFrame) -> LinearPrep:
 
 def contiguous_folds(df: DataFrame, k: int = 5, order=KEYS) -> DataFrame:
     """Fold of each row when rows sorted by ``order`` are cut into k contiguous blocks
-    (the first n % k blocks one row longer).  Position = running count of earlier
-    series (a window over one row per series) + row number inside the series."""
-    counts = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_c"))
-    w_series = Window.orderBy(*SERIES)
-    offsets = counts.select(*SERIES, (F.sum("_c").over(w_series.rowsBetween(Window.unboundedPreceding, 0))
-                                      - F.col("_c")).alias("_off"))
-    n = counts.agg(F.sum("_c")).scalar()
-    inner = Window.partitionBy(*SERIES).orderBy(*[c for c in order if c not in SERIES])
-    pos = F.col("_off") + F.row_number().over(inner) - 1
+    (the first n % k blocks one row longer, as an unshuffled k-fold split does).
+    Positions come from range partitions plus per-partition offsets (no global window)."""
+    pos_df = global_positions(df, order, "_pos")
+    n = df.agg(F.count(F.lit(1))).scalar()
+    pos = F.col("_pos")
     big = (n / k).cast("long") + 1
     n_big = n % k
     fold = F.when(pos < n_big * big, (pos / big).cast("long")).otherwise(
         n_big + ((pos - n_big * big) / (big - 1)).cast("long"))
-    return df.join(offsets, SERIES).withColumn("fold", fold.cast("int")).drop("_off")
+    return pos_df.withColumn("fold", fold.cast("int")).drop("_pos")
 
 
 # -- L6: ridge via per-fold sufficient statistics ---------------------------------------------------
