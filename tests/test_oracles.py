@@ -10,7 +10,7 @@ from tools.oracle_check import compare
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 SLOW = {"l7_gbt_leaf_wise", "l8_gbt_ordered", "l9_gbt_level_wise", "l10_feature_importance",
-        "l19_l20_model_comparison", "l18_refit_test_metrics"}
+        "l19_l20_model_comparison", "l18_refit_test_metrics", "l18_gbt_refit_test_metrics"}
 
 
 def test_every_oracle_has_a_query():

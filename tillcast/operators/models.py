@@ -279,3 +279,20 @@ def feature_importance(model, df: DataFrame) -> DataFrame:
     cols = tree_inputs(tree_frame(df))
     return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)],
                                            "feature string, importance double")
+
+
+def refit_gbt(train_val: DataFrame, params: dict, n_trees: int, seed: int = 42):
+    """L18 for trees: chosen parameters, refit on train + val with the number of trees the
+    early-stopped fit kept (no validation rows left to stop on)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    data = durable(tree_frame(train_val).withColumn(TARGET, F.col(TARGET).cast("double")))
+    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max(1, n_trees), maxBins=128,
+                       seed=seed, **params)
+    return Pipeline(stages=[VectorAssembler(inputCols=tree_inputs(data), outputCol="features"), gbt]).fit(data)
+
+
+def tree_count(model) -> int:
+    return model.stages[-1].getNumTrees

@@ -281,3 +281,15 @@ def q_refit_ensemble(spark, sf):
     gt = bl.forecast_grid(train.unionByName(val), test, P)
     combined = en.weighted_mean(bl.all_predictions(gt, P), members)
     return rounded(ev.evaluate_predictions(test, combined, with_wmae=True, params=P))
+
+
+
+@register("l18_gbt_refit_test_metrics")
+def q_gbt_refit(spark, sf):
+    """L18 (trees): best 'GBT ordered' grid point chosen on validation, refit on train + val with
+    its kept tree count, scored on test."""
+    train, val, test = feature_splits(spark, sf)
+    model, params, _ = md.fit_gbt_family(train, val, "GBT ordered", QUERY_GBT_ITER)
+    refit = md.refit_gbt(train.unionByName(val), params, md.tree_count(model))
+    m = rounded(ev.evaluate_predictions(test, md.gbt_predict(refit, test), with_wmae=True, params=P))
+    return m.select(F.lit("GBT ordered").alias("model"), F.lit(md.tree_count(refit)).alias("n_trees"), "*")
