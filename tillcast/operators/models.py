@@ -79,6 +79,9 @@ def fit_scaler(df: DataFrame, cols: list[str]) -> dict:
     return {c: (row[f"m_{c}"] or 0.0, (row[f"s_{c}"] or 0.0) or 1.0) for c in cols}
 
 
+LIN = "_lin_"   # prefix of the prepared model inputs: keys such as store_id stay untouched
+
+
 @dataclass
 class LinearPrep:
     levels: dict
@@ -86,13 +89,19 @@ class LinearPrep:
     medians: dict
     scale: dict
 
+    @property
+    def inputs(self) -> list[str]:
+        return [LIN + c for c in self.columns]
+
     def transform(self, df: DataFrame) -> DataFrame:
-        df = df.withColumns(one_hot_columns(self.levels))
+        """Adds the one-hot, imputed and standardised inputs as new ``_lin_*`` columns."""
+        onehot = one_hot_columns(self.levels)
         exprs = {}
         for c in self.columns:
             m, s = self.scale[c]
-            x = F.coalesce(F.col(c).cast("double"), F.lit(float(self.medians[c])))
-            exprs[c] = (x - F.lit(float(m))) / F.lit(float(s))
+            src = onehot[c] if c in onehot else F.col(c).cast("double")
+            x = F.coalesce(src, F.lit(float(self.medians[c])))
+            exprs[LIN + c] = (x - F.lit(float(m))) / F.lit(float(s))
         return df.withColumns(exprs)
 
 
@@ -199,7 +208,7 @@ class RidgeModel:
     cv_scores: list
 
     def prediction(self) -> F.Column:
-        terms = [F.col(c) * F.lit(float(wi)) for c, wi in zip(self.prep.columns, self.coef)]
+        terms = [F.col(c) * F.lit(float(wi)) for c, wi in zip(self.prep.inputs, self.coef)]
         return F.lit(float(self.intercept)) + sum(terms[1:], terms[0])
 
     def predict(self, df: DataFrame, keep=KEYS) -> DataFrame:
@@ -212,7 +221,7 @@ def fit_ridge(train: DataFrame, alphas=RIDGE_ALPHAS, folds: int = 5) -> RidgeMod
     train = durable(train.select(*KEYS, *[c for c in MODEL_INPUTS if c not in KEYS], TARGET))
     prep = fit_linear_prep(train)
     scaled = contiguous_folds(prep.transform(train), folds)
-    stats = fold_statistics(scaled, prep.columns, TARGET)
+    stats = fold_statistics(scaled, prep.inputs, TARGET)
     alpha, scores, c, w = ridge_cv(stats, alphas)
     return RidgeModel(prep, alpha, c, w, scores)
 
