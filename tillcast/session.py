@@ -21,6 +21,8 @@ def build_session(master: str | None = None, app: str = "tillcast",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # remove a checkpoint's files once its DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
