@@ -1,6 +1,5 @@
 """The stage jobs end to end on the smallest data, into a scratch folder."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL

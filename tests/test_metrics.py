@@ -1,7 +1,6 @@
 """Worked examples of the metric docstrings, and null handling."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tillcast.functions.metrics import metric_columns
 

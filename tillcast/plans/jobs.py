@@ -137,7 +137,7 @@ def train(spark: SparkSession, out: str, params: Params = DEFAULT, gbt_iter: int
     f = spark.read.parquet(_p(out, "features"))
     tr, va, te = (f.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
     gate = spark.read.parquet(_p(out, "reports", "baseline_results"))
-    results, test_preds = [], []
+    test_preds = []
     ridge = models.fit_ridge(tr, models.RIDGE_ALPHAS, params.ridge_folds)
     val_preds = {"Linear (Ridge)": ridge.predict(va)}
     refit_ridge = models.fit_ridge(tr.unionByName(va), models.RIDGE_ALPHAS, params.ridge_folds)
