@@ -5,11 +5,12 @@ Plan shape, whatever the number of series:
 * ``series_summary``: one window (latest rows first) and one group-by on
   (store_id, dept_id), sharing one exchange: last non-null value, last value,
   row count, series mean, mean of the last N rows.
-* ``first_in_week``: first row per (series, calendar year, ISO week) (C6).
 * ``seasonal_matches``: train rows joined to the distinct forecast
   (ISO week, year) pairs on week with ``year < forecast year`` (C7); each row
   meets at most one pair per forecast year, and the K most recent per group
   are taken with a window whose group is bounded by the number of years.
+  The same aggregation yields the first row of the year before (C6), so the
+  grid needs a single join.  ``first_in_week`` is that lookup on its own.
 * the forecast grid is series x forecast dates (C5): the dates are the
   validation calendar (checked to be at most ``max_forecast_dates``) and are
   expanded in place with ``explode``, so no join is needed for the grid.
@@ -90,10 +91,14 @@ def seasonal_matches(train: DataFrame, actual: DataFrame, k: int, params: Params
     recent = Window.partitionBy(*SERIES, "_fweek", "_fyear").orderBy(F.desc("week_date"))
     m = m.withColumn("_rn", F.row_number().over(recent))
     s = F.col("weekly_sales")
+    last_year = F.col("_y") == F.col("_fyear") - 1
     return m.groupBy(*SERIES, "_fweek", "_fyear").agg(
         F.count(F.lit(1)).alias("n_match"),
         exact_mean(s).alias("mean_match_all"),
-        exact_mean(F.when(F.col("_rn") <= k, s)).alias("mean_match_k"))
+        exact_mean(F.when(F.col("_rn") <= k, s)).alias("mean_match_k"),
+        # C6 in the same pass: first row (by date) of the year before, same ISO week
+        F.min_by(s, F.when(last_year, F.col("week_date"))).alias("sn_value"),
+        F.count_if(last_year).alias("sn_rows"))
 
 
 def forecast_grid(train: DataFrame, actual: DataFrame, params: Params = DEFAULT,
@@ -102,8 +107,6 @@ def forecast_grid(train: DataFrame, actual: DataFrame, params: Params = DEFAULT,
     dates = dates if dates is not None else forecast_dates(actual, params)
     summ = series_summary(train, (params.moving_average_window, 4))
     grid = expand_dates(summ, dates)
-    grid = grid.withColumns({"_ly": F.col("_fyear") - 1, "_lw": F.col("_fweek")})
-    grid = grid.join(first_in_week(train), SERIES + ["_ly", "_lw"], "left")
     sm = seasonal_matches(train, actual, params.seasonal_k, params)
     return grid.join(sm, SERIES + ["_fweek", "_fyear"], "left")
 
@@ -113,7 +116,7 @@ def _prediction(grid: DataFrame, name: str, params: Params = DEFAULT) -> F.Colum
     if name == NAIVE:
         return F.col("last_nonnull")
     if name == SEASONAL_NAIVE:
-        return F.when(F.col("sn_rows").isNotNull(), F.col("sn_value")).otherwise(last_any)
+        return F.when(F.col("sn_rows") > 0, F.col("sn_value")).otherwise(last_any)
     if name == MOVING_AVERAGE:
         return F.col(f"mean_last_{params.moving_average_window}")
     if name == SEASONAL_AVERAGE:
@@ -121,7 +124,7 @@ def _prediction(grid: DataFrame, name: str, params: Params = DEFAULT) -> F.Colum
     if name == HYBRID:
         n = F.col("n_rows")
         return F.coalesce(
-            F.when((n >= 52) & F.col("sn_rows").isNotNull(), F.col("sn_value").cast("double")),
+            F.when((n >= 52) & (F.col("sn_rows") > 0), F.col("sn_value").cast("double")),
             F.when(F.col("n_match") >= 2, F.col("mean_match_all")),
             F.when(n >= 4, F.col("mean_last_4")),
             F.col("series_mean"))
