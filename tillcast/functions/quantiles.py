@@ -24,14 +24,18 @@ from pyspark.sql import functions as F
 from tillcast.session import durable
 
 
-def exact_percentiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: str, probs, by=(), materialized: bool = False) -> DataFrame:
     """Long result: ``by`` columns, ``prob``, ``value`` (double), one row per group and prob.
-    Nulls are skipped; a group with no value yields no row."""
+    Nulls are skipped; a group with no value yields no row.  ``materialized``: ``df`` is
+    already a checkpoint (or narrow ops over one), so counting it twice is cheap and the
+    counts need no checkpoint of their own."""
     by = list(by)
     probs = [float(p) for p in probs]
-    counts = durable(df.where(F.col(value).isNotNull())
-                       .select(*by, F.col(value).cast("double").alias("_v"))
-                       .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = (df.where(F.col(value).isNotNull())
+                .select(*by, F.col(value).cast("double").alias("_v"))
+                .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    if not materialized:
+        counts = durable(counts)
     # the range sampler and the tagging both read the materialised counts, not the source
     ranged = durable(counts.repartitionByRange(*by, "_v")
                      .withColumn("_part", F.spark_partition_id()))
@@ -63,9 +67,10 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
                          (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
 
 
-def percentile_columns(df: DataFrame, value: str, named_probs: dict, by=()) -> DataFrame:
+def percentile_columns(df: DataFrame, value: str, named_probs: dict, by=(),
+                       materialized: bool = False) -> DataFrame:
     """Wide result: one row per group, one column per name in ``named_probs``."""
-    long = exact_percentiles(df, value, list(named_probs.values()), by)
+    long = exact_percentiles(df, value, list(named_probs.values()), by, materialized)
     by = list(by)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(name)
             for name, p in named_probs.items()]

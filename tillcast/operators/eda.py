@@ -53,9 +53,9 @@ def negative_summary(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
                   F.min(F.when(c < 0, c)).cast("double").alias("negative_sales_min"))
 
 
-def iqr_outliers(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str = "weekly_sales", materialized: bool = False) -> DataFrame:
     """Exact quartiles, 1.5 IQR bounds, outlier count and percent (one extra pass)."""
-    q = percentile_columns(df, col, {"q1": 0.25, "q3": 0.75})
+    q = percentile_columns(df, col, {"q1": 0.25, "q3": 0.75}, materialized=materialized)
     iqr = F.col("q3") - F.col("q1")
     b = q.select(F.struct(F.col("q1"), F.col("q3"), iqr.alias("iqr"),
                           (F.col("q1") - 1.5 * iqr).alias("lower_bound"),
@@ -80,7 +80,8 @@ def sanity_summary(df: DataFrame) -> DataFrame:
                  F.count_if(c < 0).alias("negative_sales_count"),
                  F.min(F.when(c < 0, c)).cast("double").alias("negative_sales_min"))
     dup = surplus_duplicates(x).select(F.struct("duplicates").alias("d")).select("d").scalar()
-    out = iqr_outliers(x).select(F.struct("outliers_count", "outliers_pct").alias("o")).select("o").scalar()
+    out = (iqr_outliers(x, materialized=True).select(F.struct("outliers_count", "outliers_pct").alias("o"))
+           .select("o").scalar())
     missing = F.filter(F.col("_miss"), lambda m: m > 0)
     return base.select(
         F.size(missing).cast("long").alias("columns_with_missing"),
@@ -110,7 +111,8 @@ def top_by_sales(df: DataFrame, key: str, n: int) -> DataFrame:
               .select(key, F.col("total_sales").cast("double").alias("total_sales")))
 
 
-def group_summary(df: DataFrame, flag: F.Column, labels: tuple[str, str], with_std: bool) -> DataFrame:
+def group_summary(df: DataFrame, flag: F.Column, labels: tuple[str, str], with_std: bool,
+                  materialized: bool = False) -> DataFrame:
     """Count, mean, exact median (and sample std) for flag true / false."""
     t = df.select(F.when(flag, labels[0]).otherwise(labels[1]).alias("type"),
                   F.col("weekly_sales"))
@@ -118,19 +120,19 @@ def group_summary(df: DataFrame, flag: F.Column, labels: tuple[str, str], with_s
     if with_std:
         aggs.append(F.stddev_samp("weekly_sales").alias("std_sales"))
     base = t.groupBy("type").agg(*aggs)
-    med = percentile_columns(t, "weekly_sales", {"median_sales": 0.5}, by=["type"])
+    med = percentile_columns(t, "weekly_sales", {"median_sales": 0.5}, by=["type"], materialized=materialized)
     return base.join(med, "type", "left")
 
 
-def holiday_summary(df: DataFrame) -> DataFrame:
+def holiday_summary(df: DataFrame, materialized: bool = False) -> DataFrame:
     """Rows with isholiday true against false (null is neither)."""
     h = df.where(F.col("isholiday").isNotNull())
-    return group_summary(h, F.col("isholiday"), ("Holiday", "Non-Holiday"), True)
+    return group_summary(h, F.col("isholiday"), ("Holiday", "Non-Holiday"), True, materialized)
 
 
-def markdown_comparison(df: DataFrame) -> DataFrame:
+def markdown_comparison(df: DataFrame, materialized: bool = False) -> DataFrame:
     """D12 (B16 flag: any markdown present)."""
-    return group_summary(df, any_markdown(), ("With Markdown", "Without Markdown"), False)
+    return group_summary(df, any_markdown(), ("With Markdown", "Without Markdown"), False, materialized)
 
 
 def markdown_by_month(df: DataFrame) -> DataFrame:

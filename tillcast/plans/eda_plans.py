@@ -127,14 +127,14 @@ FROM t GROUP BY type""")
 @register("d11_holiday_summary", _summary_sql(
     "CASE WHEN isholiday THEN 'Holiday' ELSE 'Non-Holiday' END", True, "WHERE isholiday IS NOT NULL"))
 def q_holiday_summary(spark, sf):
-    out = eda.holiday_summary(shared_view(spark, sf))
+    out = eda.holiday_summary(shared_view(spark, sf), materialized=True)
     return out.withColumn("std_sales", F.round("std_sales", 4))
 
 
 @register("d12_markdown_comparison", _summary_sql(
     f"CASE WHEN {ANY_MD} THEN 'With Markdown' ELSE 'Without Markdown' END", False))
 def q_markdown_cmp(spark, sf):
-    return eda.markdown_comparison(shared_view(spark, sf))
+    return eda.markdown_comparison(shared_view(spark, sf), materialized=True)
 
 
 @register("d13_markdown_by_month", with_base("", f"""
