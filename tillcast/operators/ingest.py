@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import first_char, parse_date, to_bool, try_cast
@@ -13,13 +13,14 @@ FACT_COLUMNS = ["store_id", "dept_id", "week_date", "weekly_sales", "isholiday",
 
 
 def typed_stores(raw: DataFrame) -> DataFrame:
-    """B2 + D25: one row per store id; the duplicate kept is the smallest (type, size),
-    so the pick does not depend on file order."""
+    """B2 + D25: one row per store id; the duplicate kept is the smallest (type, size) (nulls
+    first), so the pick does not depend on file order.  An aggregate, not a window: a store
+    repeated in a third of the file is combined inside each task before the shuffle."""
     t = raw.select(try_cast(F.col("store"), "int").alias("store_id"),
                    first_char(F.col("type")).alias("store_type"),
                    try_cast(F.col("size"), "int").alias("store_size"))
-    w = Window.partitionBy("store_id").orderBy(F.asc_nulls_last("store_type"), F.asc_nulls_last("store_size"))
-    return t.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+    return (t.groupBy("store_id").agg(F.min(F.struct("store_type", "store_size")).alias("_s"))
+             .select("store_id", "_s.store_type", "_s.store_size"))
 
 
 def typed_features(raw: DataFrame) -> DataFrame:
