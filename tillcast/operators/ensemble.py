@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.schemas import KEYS
+from tillcast.session import broadcast_if_small
 
 
 def gate_members(metrics: DataFrame, gate: str, name_col: str = "model") -> DataFrame:
@@ -20,9 +21,14 @@ def gate_members(metrics: DataFrame, gate: str, name_col: str = "model") -> Data
     return metrics.where((F.col(name_col) != gate) & (F.col("rmse") < rmse_g) & (F.col("wmae") < wmae_g))
 
 
+MAX_MODELS = 10_000   # the member / weight tables hold one row per model
+
+
 def simple_mean(predictions: DataFrame, members: DataFrame) -> DataFrame:
-    """Mean prediction over the member models, on keys every member forecast."""
-    m = predictions.join(members.select("model"), "model", "left_semi")
+    """Mean prediction over the member models, on keys every member forecast.
+    The member table is broadcast after a size check: a join on the few-valued model name
+    must never shuffle predictions by model."""
+    m = predictions.join(broadcast_if_small(members.select("model"), MAX_MODELS), "model", "left_semi")
     n = members.agg(F.count(F.lit(1))).scalar()
     return (m.groupBy(*KEYS).agg(F.avg("predicted_sales").alias("predicted_sales"), F.count(F.lit(1)).alias("_k"))
              .where(F.col("_k") == n).drop("_k"))
@@ -36,7 +42,7 @@ def inverse_rmse_weights(members: DataFrame) -> DataFrame:
 
 def weighted_mean(predictions: DataFrame, members: DataFrame) -> DataFrame:
     """Sum of weight x prediction, on keys every member forecast."""
-    w = inverse_rmse_weights(members)
+    w = broadcast_if_small(inverse_rmse_weights(members), MAX_MODELS)
     n = members.agg(F.count(F.lit(1))).scalar()
     m = predictions.join(w, "model")
     return (m.groupBy(*KEYS).agg(F.sum(F.col("predicted_sales") * F.col("weight")).alias("predicted_sales"),
