@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.schemas import (CONTRACT_DOUBLE_REQUIRED, CONTRACT_FLAGS, CONTRACT_INT_REQUIRED,
                               CONTRACT_RANGES, KEYS)
+from tillcast.session import broadcast_if_small
 
 CHECK_SCHEMA = "check string, passed boolean, severity string, value string"
 
@@ -42,9 +43,10 @@ def duplicate_key_check(df: DataFrame, keys=KEYS) -> DataFrame:
     return g.agg(*_row("duplicate_keys", n == 0, "error", n))
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key has no dimension row."""
-    return fact.join(dim.select(key), key, "left_anti")
+def orphans(fact: DataFrame, dim: DataFrame, key: str, max_dim_rows: int = 100_000) -> DataFrame:
+    """Fact rows whose key has no dimension row.  The key column of the dimension is
+    broadcast after a size check, so the fact is not shuffled on a low-cardinality key."""
+    return fact.join(broadcast_if_small(dim.select(key), max_dim_rows), key, "left_anti")
 
 
 def foreign_key_check(fact: DataFrame, dim_store: DataFrame, dim_dept: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tillcast.functions.quantiles import percentile_columns
 from tillcast.functions.scalars import any_markdown, month_label
 from tillcast.functions.stats import exact_mean, mean_of
 from tillcast.schemas import KEYS, SERIES
-from tillcast.session import durable
+from tillcast.session import broadcast_if_small, durable
 
 # Volatility buckets (right-closed bins 0, .3, .6, 1, inf) and their labels
 VOLATILITY_LABELS = ["Low (CV<0.3)", "Medium (0.3≤CV<0.6)", "High (0.6≤CV<1.0)", "Very High (CV≥1.0)"]
@@ -193,7 +193,8 @@ def histogram(df: DataFrame, col: str, bins: int, by=()) -> DataFrame:
     bounds = src.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
                                   F.count(F.lit(1)).alias("_n"))
     if by:
-        j = src.join(bounds, by)
+        # one row per group: broadcast after a check, never a shuffle on a few-valued key
+        j = src.join(broadcast_if_small(bounds, 100_000), by)
     else:  # one row of bounds: scalar subqueries instead of a join
         j = src.select("_x", *[bounds.select(c).scalar().alias(c) for c in ("_lo", "_hi", "_n")])
     width = (F.col("_hi") - F.col("_lo")) / bins
