@@ -16,26 +16,27 @@ def components(links: DataFrame) -> DataFrame:
     Each round maps every vertex to the smallest of itself and its neighbours and rewrites
     the links by that map; loops go, so the graph at least halves per round and a chain of n
     links takes about log2(n) rounds.  Neighbour minima combine map-side; a hub's links meet
-    its one map row in a join that AQE may split.  Each round is cut by a checkpoint."""
+    its one map row in a join that AQE may split.  Each round is cut by a checkpoint.  Vertices
+    without a link are not returned."""
     edges = durable(links.where(F.col("a") != F.col("b"))
                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    labels = None
-    while True:
+    steps = []
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = durable(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
                      .select("v", F.least("v", "m").alias("m")))
-        if labels is None:
-            labels = to.select("v", F.col("m").alias("label"))
-        else:
-            step = to.select(F.col("v").alias("label"), "m")
-            labels = durable(labels.join(step, "label", "left")
-                             .select("v", F.coalesce("m", "label").alias("label")))
+        steps.append(to)
         x = to.select(F.col("v").alias("a"), F.col("m").alias("a2"))
         y = to.select(F.col("v").alias("b"), F.col("m").alias("b2"))
         edges = durable(edges.join(x, "a").join(y, "b").where("a2 <> b2")
                         .select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct())
-        if edges.isEmpty():
-            return labels
+    if not steps:
+        return edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    labels = steps[0].select("v", F.col("m").alias("label"))
+    for to in steps[1:]:
+        labels = (labels.join(to.select(F.col("v").alias("label"), "m"), "label", "left")
+                  .select("v", F.coalesce("m", "label").alias("label")))
+    return durable(labels)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.arrow_rows import lists, map_rows
-from tillcast.llm.graph import components, union_all
+from tillcast.llm.graph import components
 from tillcast.llm.shingles import WordHashes, ascii_words, mix, shingle_set
 from tillcast.session import durable
 
 TABLES_SIDE = 10
 DEPTH = 2
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 FLUSH = 60_000
 
 
@@ -108,75 +108,102 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def candidate_tables(reps: DataFrame) -> DataFrame:
-    """(key, rep) rows of the tensored tables that two or more representatives share.
+    """(key, rep, n, a, na): the rows of the tensored tables that two or more representatives
+    share, each with the table's smallest member.
 
     A table key can only be shared if both its halves are, so the halves (2t rows a text) are
     counted first and only shared halves are paired up: most texts share none and never make
     their t*t keys."""
-    halves = reps.select("rep", F.posexplode("a").alias("i", "v"), F.lit("a").alias("side")).unionByName(
-        reps.select("rep", F.posexplode("b").alias("i", "v"), F.lit("b").alias("side")))
-    halves = halves.select("rep", "side", F.xxhash64("side", "i", "v").alias("h"))
-    shared = durable(halves.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
-    halves = durable(halves.join(shared, "h"))
-    a = halves.where("side = 'a'").select("rep", F.col("h").alias("ha"))
-    b = halves.where("side = 'b'").select("rep", F.col("h").alias("hb"))
-    # at most t rows on either side for a representative: its own t*t tables, not a cross join
-    rows = durable(a.join(b, "rep").select("rep", F.xxhash64("ha", "hb").alias("key")).distinct())
-    crowded = durable(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
-    return durable(rows.join(crowded, "key").select("key", "rep"))
+    halves = reps.select("rep", "n", F.posexplode("a").alias("i", "v"), F.lit("a").alias("side")).unionByName(
+        reps.select("rep", "n", F.posexplode("b").alias("i", "v"), F.lit("b").alias("side")))
+    halves = halves.select("rep", "n", "side", F.xxhash64("side", "i", "v").alias("h"))
+    shared = halves.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    # at most t halves on either side for a representative: its own t*t tables, not a cross join
+    own = (halves.join(shared, "h").groupBy("rep", "n")
+           .agg(F.collect_set(F.when(F.col("side") == "a", F.col("h"))).alias("ha"),
+                F.collect_set(F.when(F.col("side") == "b", F.col("h"))).alias("hb")))
+    rows = durable(own.select("rep", "n", F.explode("ha").alias("ha"), "hb")
+                   .select("rep", "n", "ha", F.explode("hb").alias("hb"))
+                   .select("rep", "n", F.xxhash64("ha", "hb").alias("key")))
+    first = (rows.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("f"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("key", F.col("f.rep").alias("a"), F.col("f.n").alias("na")))
+    return durable(rows.join(first, "key"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs(a, b)`` whose full sets have 100 * |a and b| >= percent * |a or b|."""
+    """``pairs(a, na, b, nb)`` whose full sets have 100 * |a and b| >= percent * |a or b|."""
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    size = sets.select("rep", "n")
-    fits = (pairs.join(size.select(F.col("rep").alias("a"), F.col("n").alias("xa")), "a")
-            .join(size.select(F.col("rep").alias("b"), F.col("n").alias("xb")), "b")
-            .where(100 * F.least("xa", "xb") >= percent * F.greatest("xa", "xb"))
-            .select("a", "b").distinct())
+    fits = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()
     both = F.size(F.array_intersect("sa", "sb"))
-    return (fits.join(left, "a").join(right, "b")
-            .where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b"))
+    return durable(fits.join(left, ["a", "na"]).join(right, ["b", "nb"])
+                   .where(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b").distinct())
 
 
-def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``rows(key, rep)`` with the class of each rep, of the keys that two classes share."""
-    cols = rows.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("class"))
-    cols = durable(cols)
+class Classes:
+    """The classes found so far: the class of a representative is its own id until it is linked."""
+
+    def __init__(self):
+        self.labels = None
+
+    def of(self, rows: DataFrame, col: str, name: str) -> DataFrame:
+        if self.labels is None:
+            return rows.withColumn(name, F.col(col))
+        known = self.labels.select(F.col("v").alias(col), F.col("label").alias("_known"))
+        return rows.join(known, col, "left").withColumn(name, F.coalesce("_known", col)).drop("_known")
+
+    def link(self, links: DataFrame) -> None:
+        """Merge the classes that ``links(a, b)`` connect: only classes travel, not members."""
+        met = self.of(self.of(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        found = components(met)
+        if self.labels is None:
+            self.labels = found
+        elif not found.isEmpty():
+            step = found.select(F.col("v").alias("label"), F.col("label").alias("_to"))
+            old = (self.labels.join(step, "label", "left").select("v", F.coalesce("_to", "label").alias("label")))
+            self.labels = durable(old.unionByName(found.join(self.labels.select("v"), "v", "left_anti")))
+
+
+def _open_rows(rows: DataFrame, classes: Classes) -> DataFrame:
+    """``rows(key, rep, n)`` with the class of each rep, of the keys that two classes share."""
+    cols = durable(classes.of(rows.select("key", "rep", "n"), "rep", "class"))
     mixed = cols.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
-    return durable(cols.join(durable(mixed.select("key")), "key"))
+    return durable(cols.join(mixed.select("key"), "key"))
+
+
+def _pair(a: str, na: str, b: str, nb: str) -> list:
+    """The two ends of a pair, smaller id first."""
+    swap = F.col(a) > F.col(b)
+    return [F.least(a, b).alias("a"), F.when(swap, F.col(nb)).otherwise(F.col(na)).alias("na"),
+            F.greatest(a, b).alias("b"), F.when(swap, F.col(na)).otherwise(F.col(nb)).alias("nb")]
 
 
 def _star(rows: DataFrame, order) -> DataFrame:
     """Pairs (centre, member) of different classes: linear in the rows of a key."""
-    centre = durable(rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "class")).alias("c"))
-                     .select("key", F.col("c.rep").alias("a"), F.col("c.class").alias("ca")))
-    return (rows.join(centre, "key").where(F.col("class") != F.col("ca"))
-            .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-            .where("a <> b").distinct())
+    centre = (rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "class")).alias("c"))
+              .select("key", F.col("c.rep").alias("a"), F.col("c.n").alias("na"), F.col("c.class").alias("ca")))
+    return rows.join(centre, "key").where(F.col("class") != F.col("ca")).select(*_pair("a", "na", "rep", "n"))
 
 
 def _prefix_rows(open_reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, rep): the shingles of which two sets of similarity >= percent must share one.
+    """(key, rep, n): the shingles of which two sets of similarity >= percent must share one.
 
     Order all shingles by how many open texts hold them, rarest first: sets of n and m
     shingles that agree in percent must meet within their first n - ceil(percent n / 100) + 1.
     Shingles of one text alone only use up places."""
-    own = sets.join(open_reps, "rep").select("rep", "n", F.explode("shingles").alias("s"))
+    own = sets.join(open_reps, "rep", "left_semi").select("rep", "n", F.explode("shingles").alias("s"))
     df = own.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
     ranked = (own.join(df, "s").groupBy("rep", "n")
               .agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o")))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1
-    return (ranked.select("rep", F.explode(F.slice("o", F.lit(1), length.cast("int"))).alias("x"))
-            .where("x.df > 1").select(F.col("x.s").alias("key"), "rep"))
+    return (ranked.select("rep", "n", F.explode(F.slice("o", F.lit(1), length.cast("int"))).alias("x"))
+            .where("x.df > 1").select(F.col("x.s").alias("key"), "rep", "n"))
 
 
-def near_links(reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Verified links (a, b) between representatives that connect everything the tables
-    retrieve: a pair is left unverified only if its ends are connected already, or if a
-    shared-shingle bound proves that it cannot be a link.
+def near_classes(reps: DataFrame, texts: DataFrame, size: int, percent: int) -> Classes:
+    """Classes of ``reps(rep, n, a, b)`` that connect every link the tables retrieve: a pair is
+    left unverified only if its ends are connected already, or if a shared-shingle bound proves
+    that it cannot be a link.
 
     1. Star pairs: each member of a table against its smallest member (linear in the rows).
     2. Tables whose members are all of one class are done.  Members of the open ones go on to
@@ -184,34 +211,27 @@ def near_links(reps: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     3. ``STAR_ROUNDS`` times: each such shingle's members against one centre, chosen anew.
     4. What still mixes classes is compared pair by pair, across classes only.
     """
+    classes = Classes()
     rows = candidate_tables(reps)
-    members = durable(rows.select("rep").distinct())
-    sets = durable(shingle_sets(texts.join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), size)
-                   .dropDuplicates(["rep", "shingles"]))
-    centre = durable(rows.groupBy("key").agg(F.min("rep").alias("a")))
-    stars = rows.join(centre, "key").where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-    # the same doc_id may carry several texts: those meet by id already
-    found = [durable(_verified(stars, sets, percent))]
-    labels = components(found[0])
-    # a table of two is settled by its star; the others keep their non-centre members
-    rest = rows.join(centre, "key").where("a <> rep").select("key", "rep")
-    open_rows = _open_rows(rest, labels)
-    if open_rows.isEmpty():
-        return found[0]
-    reps_left = durable(open_rows.select("rep").distinct())
-    rest = durable(_prefix_rows(reps_left, sets, percent))
+    sets = durable(shingle_sets(texts.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"),
+                                size))
+    apart = rows.where("a <> rep")
+    classes.link(_verified(apart.select("a", "na", F.col("rep").alias("b"), F.col("n").alias("nb")), sets, percent))
+    # a table of two is settled by its star; of the others the members beside the centre remain
+    rest = _open_rows(apart, classes)
+    if rest.isEmpty():
+        return classes
+    rest = _prefix_rows(rest.select("rep").distinct(), sets, percent)
     for r in range(STAR_ROUNDS):
-        open_rows = _open_rows(rest, labels)
-        pairs = _star(open_rows, F.xxhash64("rep", F.lit(r)))
-        found.append(durable(_verified(pairs, sets, percent)))
-        labels = components(union_all(found))
-        rest = open_rows.select("key", "rep")
-    open_rows = _open_rows(rest, labels)
-    other = open_rows.select("key", F.col("rep").alias("b"), F.col("class").alias("cb"))
-    pairs = (open_rows.select("key", F.col("rep").alias("a"), "class").join(other, "key")
-             .where((F.col("a") < F.col("b")) & (F.col("class") != F.col("cb"))).select("a", "b").distinct())
-    found.append(durable(_verified(pairs, sets, percent)))
-    return union_all(found)
+        rest = _open_rows(rest, classes)
+        classes.link(_verified(_star(rest, F.xxhash64("rep", F.lit(r))), sets, percent))
+    rest = _open_rows(rest, classes)
+    other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("class").alias("cb"))
+    pairs = (rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), "class").join(other, "key")
+             .where((F.col("a") < F.col("b")) & (F.col("class") != F.col("cb"))
+                    & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "na", "b", "nb"))
+    classes.link(_verified(pairs, sets, percent))
+    return classes
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80,
@@ -230,18 +250,17 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     rows = durable(sketch(docs, size, side, depth))
     usable = rows.where("skey is not null and doc_id is not null")
-    reps = durable(usable.groupBy("skey").agg(F.min("doc_id").alias("rep"), F.min("a").alias("a"),
-                                              F.min("b").alias("b")))
-    links = near_links(reps.select("rep", "a", "b"), docs, size, percent)
+    reps = durable(usable.groupBy("skey").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
+                                              F.min("a").alias("a"), F.min("b").alias("b")))
+    classes = near_classes(reps.select("rep", "n", "a", "b"), docs, size, percent)
+    # doc_ids that carry several texts connect the copies of each
     ids = reps.select("skey", "rep")
-    same_id = (usable.select("doc_id", "skey").distinct().join(ids, "skey")
-               .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    # only doc_ids that carry several texts need their copies' links in the graph
-    several = usable.select("doc_id", "skey").distinct().groupBy("doc_id").count().where("count > 1")
-    extra = durable(same_id.join(several.select(F.col("doc_id").alias("a")), "a", "left_semi"))
-    labels = components(links.unionByName(extra))
-    of_set = durable(ids.join(labels.withColumnRenamed("v", "rep"), "rep", "left")
-                     .select("skey", F.coalesce("label", "rep").alias("class")))
+    several = (usable.groupBy("doc_id").agg(F.min("skey").alias("x"), F.max("skey").alias("y")).where("x <> y")
+               .select("doc_id"))
+    extra = durable(usable.select("doc_id", "skey").join(several, "doc_id", "left_semi").join(ids, "skey")
+                    .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
+    classes.link(extra)
+    of_set = durable(classes.of(ids, "rep", "class").select("skey", "class"))
     return (rows.select("doc_id", "n_shingles", "skey").join(of_set, "skey", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("component_id"))
