@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillcast.llm.decontaminate import contaminated
+from tillcast.llm.html_main import extract_main_text, fit_labeller, page_sample
+from tillcast.llm.language import fit_languages, language_sample, predict_languages
+from tillcast.llm.licenses import licenses_of
+from tillcast.llm.mixing import mix_sources
 from tillcast.llm.near_dedup import near_duplicates
+from tillcast.llm.neighbours import nearest
+from tillcast.llm.quality import fit_quality, quality_sample, score_quality
+from tillcast.llm.revisits import captures, resolve_revisits
+from tillcast.llm.sampling import crc_of
+from tillcast.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +36,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_minhash_near_dedup(spark, sf_dir):
     """doc_id, n_shingles, component_id, kept of every document (4-word shingles, 80 %)."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    """doc_id, held_out, lang_pred, score of every document; rows of remainder 2 are never learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_of("doc_id") % 4 == 2, F.lit(False))
+    model = fit_languages(language_sample(docs.where(~held)))
+    return predict_languages(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_benchmark_decontamination(spark, sf_dir):
+    """One row per document and test item found in it, with the closest occurrence."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_mix_sources(spark, sf_dir):
+    """Place of every document in the mix of the sources."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_balanced_sharding(spark, sf_dir):
+    """Shard 0 to 15 and slot of every document, counts at most one apart."""
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_warc_revisits(spark, sf_dir):
+    """Every not-modified revisit derived from the pages, with the response it refers to."""
+    r = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    h = F.col("headers")
+    return r.select("record_id", "canonical_url", "status", "response_id", "captured", "response_captured",
+                    h["etag"].alias("etag"), h["last-modified"].alias("last_modified"),
+                    h["cache-control"].alias("cache_control"), h["content-length"].alias("content_length"),
+                    F.md5("payload").alias("payload_md5"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    """One row per document and license notice found in it."""
+    return licenses_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_html_main_text(spark, sf_dir):
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extract_main_text(pages, fit_labeller(page_sample(pages))).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_nearest_vectors(spark, sf_dir):
+    """The five nearest vectors of every fiftieth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op10_compression_quality(spark, sf_dir):
+    """Quality score of every document; rows of remainder 0 are never learnt from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.coalesce(crc_of("doc_id") % 5 == 0, F.lit(False))
+    sample, share = quality_sample(docs.where(~held), labels.where(~held))
+    return score_quality(docs, fit_quality(sample, share)).select("doc_id", held.alias("held_out"), "score", "predicted")
