@@ -24,7 +24,6 @@ from tillcast.session import durable
 
 TABLES_SIDE = 10
 DEPTH = 2
-STAR_ROUNDS = 1
 FLUSH = 60_000
 
 
@@ -165,28 +164,14 @@ class Classes:
 
 
 def _open_rows(rows: DataFrame, classes: Classes) -> DataFrame:
-    """``rows(key, rep, n)`` with the class of each rep, of the keys that two classes share."""
-    cols = durable(classes.of(rows.select("key", "rep", "n"), "rep", "class"))
+    """``rows(key, rep, ..)`` with the class of each rep, of the keys that two classes share."""
+    cols = durable(classes.of(rows, "rep", "class"))
     mixed = cols.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
     return durable(cols.join(mixed.select("key"), "key"))
 
 
-def _pair(a: str, na: str, b: str, nb: str) -> list:
-    """The two ends of a pair, smaller id first."""
-    swap = F.col(a) > F.col(b)
-    return [F.least(a, b).alias("a"), F.when(swap, F.col(nb)).otherwise(F.col(na)).alias("na"),
-            F.greatest(a, b).alias("b"), F.when(swap, F.col(na)).otherwise(F.col(nb)).alias("nb")]
-
-
-def _star(rows: DataFrame, order) -> DataFrame:
-    """Pairs (centre, member) of different classes: linear in the rows of a key."""
-    centre = (rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "class")).alias("c"))
-              .select("key", F.col("c.rep").alias("a"), F.col("c.n").alias("na"), F.col("c.class").alias("ca")))
-    return rows.join(centre, "key").where(F.col("class") != F.col("ca")).select(*_pair("a", "na", "rep", "n"))
-
-
 def _prefix_rows(open_reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, rep, n): the shingles of which two sets of similarity >= percent must share one.
+    """(key, rep, n, pos): the shingles of which two sets of similarity >= percent must share one.
 
     Order all shingles by how many open texts hold them, rarest first: sets of n and m
     shingles that agree in percent must meet within their first n - ceil(percent n / 100) + 1.
@@ -196,8 +181,30 @@ def _prefix_rows(open_reps: DataFrame, sets: DataFrame, percent: int) -> DataFra
     ranked = (own.join(df, "s").groupBy("rep", "n")
               .agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o")))
     length = F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1
-    return (ranked.select("rep", "n", F.explode(F.slice("o", F.lit(1), length.cast("int"))).alias("x"))
-            .where("x.df > 1").select(F.col("x.s").alias("key"), "rep", "n"))
+    return (ranked.select("rep", "n", F.posexplode(F.slice("o", F.lit(1), length.cast("int"))).alias("pos", "x"))
+            .where("x.df > 1").select(F.col("x.s").alias("key"), "rep", "n", "pos"))
+
+
+def _needed(n, m, percent: int):
+    """Shingles that sets of n and m must have in common to be similar in ``percent``."""
+    return F.ceil(percent * (n + m) / (100.0 + percent) - 1e-9)
+
+
+def _prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different classes that can still be links, by the first shingle they share.
+
+    At their first common shingle, at places i and j, sets of n and m can have at most
+    n - i and m - j in common; that must reach what the similarity asks for.  The smaller set's
+    place therefore lies in its first n - needed(n, n) + 1, so only those rows are joined from
+    its side: texts that merely share a passage drop out before they become pairs."""
+    small = rows.where(F.col("n") - F.col("pos") >= _needed(F.col("n"), F.col("n"), percent)).select(
+        "key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("class").alias("cb"))
+    large = rows.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("class").alias("ca"))
+    need = _needed(F.col("na"), F.col("nb"), percent)
+    return (large.join(small, "key")
+            .where((F.col("ca") != F.col("cb")) & ((F.col("na") > F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+                   & (F.col("na") - F.col("pa") >= need) & (F.col("nb") - F.col("pb") >= need))
+            .select("a", "na", "b", "nb"))
 
 
 def near_classes(reps: DataFrame, texts: DataFrame, size: int, percent: int) -> Classes:
@@ -208,8 +215,7 @@ def near_classes(reps: DataFrame, texts: DataFrame, size: int, percent: int) ->
     1. Star pairs: each member of a table against its smallest member (linear in the rows).
     2. Tables whose members are all of one class are done.  Members of the open ones go on to
        the prefix bound: rows (shingle, text) of the rarest shingles.
-    3. ``STAR_ROUNDS`` times: each such shingle's members against one centre, chosen anew.
-    4. What still mixes classes is compared pair by pair, across classes only.
+    3. Pairs of different classes that such a shingle still admits are compared.
     """
     classes = Classes()
     rows = candidate_tables(reps)
@@ -218,19 +224,11 @@ def near_classes(reps: DataFrame, texts: DataFrame, size: int, percent: int) ->
     apart = rows.where("a <> rep")
     classes.link(_verified(apart.select("a", "na", F.col("rep").alias("b"), F.col("n").alias("nb")), sets, percent))
     # a table of two is settled by its star; of the others the members beside the centre remain
-    rest = _open_rows(apart, classes)
+    rest = _open_rows(apart.select("key", "rep"), classes)
     if rest.isEmpty():
         return classes
-    rest = _prefix_rows(rest.select("rep").distinct(), sets, percent)
-    for r in range(STAR_ROUNDS):
-        rest = _open_rows(rest, classes)
-        classes.link(_verified(_star(rest, F.xxhash64("rep", F.lit(r))), sets, percent))
-    rest = _open_rows(rest, classes)
-    other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("class").alias("cb"))
-    pairs = (rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), "class").join(other, "key")
-             .where((F.col("a") < F.col("b")) & (F.col("class") != F.col("cb"))
-                    & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "na", "b", "nb"))
-    classes.link(_verified(pairs, sets, percent))
+    rest = _open_rows(_prefix_rows(rest.select("rep").distinct(), sets, percent), classes)
+    classes.link(_verified(_prefix_pairs(rest, percent), sets, percent))
     return classes
 
 
