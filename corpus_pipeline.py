@@ -17,7 +17,7 @@ from tillcast.llm.sharding import shard_documents
 from tillcast.session import ensure_checkpoint_dir
 
 #: A document goes if its best language has less than this share of the score.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.28
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

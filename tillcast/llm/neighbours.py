@@ -185,11 +185,11 @@ def nearest(rows: DataFrame, is_query, k: int = 5) -> DataFrame:
         return make
 
     shape = "id long, v array<double>, lists array<long>"
-    every = F.explode(F.sequence(F.lit(0), F.lit(ask_slices - 1))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(ask_slices - 1)))
     posts = (map_rows(distinct.select(F.col("h").alias("id"), "v"), assigner(False), shape)
              .select(F.explode("lists").alias("list"), F.pmod("id", F.lit(slices)).cast("int").alias("slice"), "id", "v")
              .withColumn("ask_slice", every))
-    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     asks = (map_rows(asked_vectors.select(F.col("h").alias("id"), "v"), assigner(True), shape)
             .select(F.explode("lists").alias("list"), "id", "v",
                     F.pmod(F.xxhash64("id"), F.lit(ask_slices)).cast("int").alias("ask_slice"))

@@ -20,7 +20,7 @@ from tillcast.llm.arrow_rows import map_rows
 from tillcast.llm.sampling import labelled_sample
 
 DICTIONARY_BYTES = 32_768
-DICTIONARY_TEXT_CHARS = 3_000
+DICTIONARY_TEXT_BYTES = 3_000
 SAMPLE_PER_LABEL = 1_500
 SAMPLE_TEXT_CHARS = 20_000
 LEVEL = 3
@@ -78,7 +78,7 @@ def fit_quality(sample: list[tuple[int, str]], share_good: float = 0.5) -> Quali
     ``share_good`` is the share of label 1 among all labelled rows, to which the calibration
     is weighted.  Even rows make the dictionaries, odd rows the calibration."""
     by = {q: [t.encode() for x, t in sample if x == q] for q in (0, 1)}
-    half = {q: [t for t in by[q][::2] if len(t) <= DICTIONARY_TEXT_CHARS * 2] or by[q] for q in by}
+    half = {q: [t for t in by[q][::2] if len(t) <= DICTIONARY_TEXT_BYTES] or by[q] for q in by}
     good, bad = _dictionary(half[1]), _dictionary(half[0])
     rest = [(q, t) for q in (0, 1) for t in (by[q][1::2] or by[q])]
     plain = QualityModel(good, bad, np.zeros(2), np.ones(2), np.array([0.0, 0.0, _odds(share_good)]))

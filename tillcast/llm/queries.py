@@ -102,3 +102,47 @@ def op10_compression_quality(spark, sf_dir):
     held = F.coalesce(crc_of("doc_id") % 5 == 0, F.lit(False))
     sample, share = quality_sample(docs.where(~held), labels.where(~held))
     return score_quality(docs, fit_quality(sample, share)).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+ORACLES["op2_warc_revisits"] = r"""
+WITH cut AS (
+  SELECT page_id, html, regexp_replace(trim(url, ' '), '#.*$', '') AS u FROM pages
+), part AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)),
+                                          ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         regexp_replace(regexp_replace(regexp_extract(u, '\?(.*)$', 1),
+                                       '(^|&)(utm_[a-z]+|gclid|fbclid|ref)=[^&]*', '', 'g'), '^&', '') AS q,
+         '"' || substr(md5(coalesce(html, '')), 1, 12) || '"' AS tag, 'day-' || (page_id % 97) AS day
+  FROM cut
+), page AS (
+  SELECT *, CASE WHEN host = '' THEN u ELSE 'https://' || host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS canonical_url
+  FROM part
+), response AS (
+  SELECT page_id * 3 AS id, canonical_url, page_id * 10 AS captured, CASE WHEN page_id % 5 <> 3 THEN tag END AS etag,
+         day AS lm, 'max-age=60' AS cc, CAST(strlen(html) AS VARCHAR) AS cl, md5(coalesce(html, '')) AS body
+  FROM page WHERE page_id % 11 <> 5
+), revisit AS (
+  SELECT page_id * 3 + 1 AS record_id, canonical_url, page_id * 10 + 7 AS captured,
+         CASE WHEN page_id % 4 <> 1 THEN 'W/' || tag END AS etag, CASE WHEN page_id % 7 <> 2 THEN day END AS lm,
+         'max-age=' || (page_id % 600) AS cc FROM page
+  UNION ALL
+  SELECT page_id * 3 + 2, canonical_url, page_id * 10 + 14,
+         CASE WHEN page_id % 6 = 0 THEN '"other"' WHEN page_id % 6 < 4 THEN tag END,
+         CASE WHEN page_id % 3 <> 0 THEN 'day-x' END, 'no-cache' FROM page
+), met AS (
+  SELECT r.*, s.id, s.captured AS s_captured, s.etag AS s_etag, s.lm AS s_lm, s.cc AS s_cc, s.cl AS s_cl, s.body,
+         CASE WHEN s.id IS NULL THEN 'missing'
+              WHEN r.etag IS NOT NULL AND s.etag IS NOT NULL
+                THEN CASE WHEN regexp_replace(r.etag, '^W/', '') = regexp_replace(s.etag, '^W/', '') THEN 'resolved' ELSE 'changed' END
+              WHEN r.lm IS NOT NULL AND s.lm IS NOT NULL THEN CASE WHEN r.lm = s.lm THEN 'resolved' ELSE 'changed' END
+              ELSE 'unchecked' END AS status
+  FROM revisit r ASOF LEFT JOIN response s ON r.canonical_url = s.canonical_url AND r.captured > s.captured
+)
+SELECT record_id, canonical_url, status, id AS response_id, captured, s_captured AS response_captured,
+       CASE WHEN status = 'resolved' THEN coalesce(etag, s_etag) ELSE etag END AS etag,
+       CASE WHEN status = 'resolved' THEN coalesce(lm, s_lm) ELSE lm END AS last_modified, cc AS cache_control,
+       CASE WHEN status = 'resolved' THEN s_cl ELSE '0' END AS content_length,
+       CASE WHEN status = 'resolved' THEN body END AS payload_md5
+FROM met
+"""
