@@ -28,13 +28,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
            .select(F.col("doc_id").alias("_bad")).distinct())
     lettered = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
     # rows without doc_id cannot be named in a list of rejects: they go by their letters alone
-    return docs.where(lettered).join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    return docs.where(lettered).join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one of the smallest doc_id."""
     gone = near_duplicates(docs, size=5, percent=80).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rest = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     # repeated rows of one doc_id are one document; rows without doc_id stay as they are
     return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id is null"))
 

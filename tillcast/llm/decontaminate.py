@@ -209,4 +209,4 @@ def contaminated(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RA
 def drop_contaminated(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
     """``docs`` without the documents that hold a test item; rows without doc_id stay."""
     bad = benchmark_matches(docs, items, error_rate).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")

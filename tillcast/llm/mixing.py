@@ -79,9 +79,9 @@ def tempered_parts(rows: dict[str, int], alpha: float = ALPHA, parts: int = PART
     return {s: max(1, round(parts * n ** alpha / whole)) for s, n in rows.items()}
 
 
-def _src():
+def _src(source):
     """A key for the source; a null source is a source of its own."""
-    return F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source")))
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS,
@@ -98,7 +98,7 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
     Null source: a source of its own.  Null doc_id: sorts first in its source.  Repeated rows
     get a place each.  Texts are not read.  No rows: no rows.  Other columns are ignored."""
     spark = docs.sparkSession
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _src().alias("_src"))
+    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _src(F.col("source")).alias("_src"))
     rows = {r[0]: r[1] for r in keys.groupBy("_src").count().collect()}
     schema = ("_s string, first long, end long, base long, c long, total long, places array<int>, short long")
     share = tempered_parts(rows, alpha, parts)
@@ -119,9 +119,9 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
 
 def in_mixed_order(docs: DataFrame, **how) -> DataFrame:
     """``docs`` sorted by their place in the mix: written out, the files hold it in this order."""
-    src = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    place = (mix_sources(docs, **how).groupBy("doc_id", src.alias("_k"))
-             .agg(F.min("position").alias("_at")).withColumnRenamed("doc_id", "_id"))
-    rows = docs.withColumn("_k0", _src())
-    rows = rows.join(place, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_k0") == F.col("_k")))
-    return (rows.repartitionByRange(F.col("_at")).sortWithinPartitions("_at").select(*docs.columns))
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    place = (mix_sources(docs, **how).groupBy(F.col("doc_id").alias("_mix_id"), key.alias("_mix_key"))
+             .agg(F.min("position").alias("_mix_at")))
+    own = docs["doc_id"].cast("long").eqNullSafe(place["_mix_id"]) & (_src(docs["source"]) == place["_mix_key"])
+    return (docs.join(place, own).repartitionByRange(F.col("_mix_at")).sortWithinPartitions("_mix_at")
+            .select(*[docs[c] for c in docs.columns]))

@@ -138,8 +138,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     placed = (base.join(groups.select("cell", "pieces", "linked", "w").dropDuplicates(["cell"]), "cell")
               .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int"))
               .join(labels, ["cell", "chunk"])
-              .withColumn("single", F.when(F.col("w") > 1, 0).otherwise(1)))
-    cut = ranked(placed, [], ["label", "single", "cell", "chunk", "doc_id"])
+              .withColumn("end", F.when(F.col("w") > 1, 1).otherwise(F.pmod("cell", F.lit(2)) * 2)))
+    # single rows lie at both ends of a label, so that the borders fall between them
+    cut = ranked(placed, [], ["label", "end", "cell", "chunk", "doc_id"])
     shard = F.floor(F.col("_rank") * shards / F.lit(rows)).cast("int")
     first = F.ceil(shard * F.lit(rows) / F.lit(shards)).cast("long")
     out = cut.withColumn("shard", shard).withColumn("slot", (F.col("_rank") - first).cast("long"))
