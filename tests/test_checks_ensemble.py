@@ -20,7 +20,7 @@ def test_suite_flags_orphans_duplicates_and_null_keys(spark):
     depts = spark.createDataFrame([(1,), (2,)], "dept_id int")
     res = {r["check"]: r for r in checks.validation_suite(fact, stores, depts, {"dim_store": 45}).collect()}
     assert res["row_count_dim_store"]["passed"] is False and res["row_count_dim_store"]["value"] == "1"
-    assert res["null_keys"]["passed"] is False
+    assert res["null_values"]["passed"] is False
     assert res["duplicate_keys"]["value"] == "1"
     assert res["foreign_keys"]["passed"] is False and res["foreign_keys"]["value"] == "2"
     assert res["negative_values"]["passed"] is True and res["negative_values"]["severity"] == "warning"
@@ -40,7 +40,45 @@ def test_gate_weights_and_choice(spark):
     assert ensemble.select_best(m, "gate").first()["best_model"] == "c"
     worse = spark.createDataFrame([("gate", 1.0, 1.0), ("a", 5.0, 9.0)], METRICS)
     best = ensemble.select_best(worse, "gate").first()
-    assert best["best_model"] == "gate" and best["beats_gate"] is False   # nobody beats it: lowest RMSE
+    assert best["best_model"] == "a" and best["beats_gate"] is False      # nobody beats it: lowest RMSE of the models
+    assert ensemble.ensemble_members(m, "gate").count() == 2
+    one = spark.createDataFrame([("gate", 10.0, 10.0), ("a", 5.0, 9.0)], METRICS)
+    assert ensemble.gate_members(one, "gate").count() == 1 and ensemble.ensemble_members(one, "gate").count() == 0
+    assert [r["model"] for r in ensemble.top_two(worse, "gate").collect()] == ["a"]
+
+
+def test_suite_flags_null_sales_and_a_view_that_lost_rows(spark):
+    d = dt.date(2010, 2, 5)
+    fact = spark.createDataFrame([(1, 1, d, None), (1, 2, d, Decimal("6"))], FACT)
+    stores = spark.createDataFrame([(1, "A", 10)], "store_id int, store_type string, store_size int")
+    depts = spark.createDataFrame([(1,), (2,)], "dept_id int")
+    res = {r["check"]: r for r in checks.validation_suite(fact, stores, depts, view=fact.limit(1)).collect()}
+    assert res["null_values"]["passed"] is False and res["null_values"]["value"] == "1"
+    assert res["row_count_view"]["passed"] is False
+    assert {r["check"]: r["passed"] for r in checks.validation_suite(fact, stores, depts, view=fact).collect()}["row_count_view"]
+
+
+def test_every_store_type_has_a_column(spark):
+    d = dt.date(2010, 2, 5)
+    df = spark.createDataFrame([(d, "A", Decimal("5")), (d, "D", Decimal("6")), (d, None, Decimal("1"))],
+                               "week_date date, store_type string, weekly_sales decimal(18,2)")
+    r = eda.sales_by_store_type(df).first().asDict()
+    assert r == {"week_date": d, "type_A": 5.0, "type_D": 6.0}
+
+
+def test_skipped_pairs_are_not_samples(spark):
+    from tillcast.functions.metrics import metric_columns
+    df = spark.createDataFrame([(1.0, 2.0, False), (None, 2.0, False), (3.0, None, True)],
+                               "weekly_sales double, predicted_sales double, isholiday boolean")
+    assert df.agg(*metric_columns()).first()["n_samples"] == 1
+
+
+def test_patience_rule():
+    from tillcast.operators.models import patience_stop
+    assert patience_stop([5, 4, 3, 4, 4, 2], 2) == (3, True)       # stops before the later minimum
+    assert patience_stop([5, 4, 3, 4, 2], 3) == (5, False)
+    assert patience_stop([1, 1, 1, 1], 3) == (1, True)             # equal is not lower
+    assert patience_stop([1], 5) == (1, False)
 
 
 def test_ensemble_means_need_every_member(spark):
@@ -65,7 +103,7 @@ def test_histogram_closes_last_edge(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 4, 10]], "x double")
     h = {r["bin"]: r["count"] for r in eda.histogram(df, "x", 5).collect()}
     # width 2: [0,2) [2,4) [4,6) [6,8) [8,10]; the maximum lands in the last bin, not a sixth
-    assert h == {1: 2, 2: 2, 3: 1, 5: 1}
+    assert h == {1: 2, 2: 2, 3: 1, 4: 0, 5: 1}
 
 
 def test_null_series_mean_falls_to_top_quartile_and_zero_total(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import checks, ingest, merge
-from tillcast.operators.scoring import type_inputs
+from tillcast.operators.scoring import score_batch, type_inputs
 from tillcast.schemas import CONTRACT_NULLABLE, MODEL_INPUTS
 from tillcast.sources.raw import read_raw_csv
 from tillcast.schemas import RAW_FEATURES, RAW_STORES, RAW_TRAIN
@@ -41,6 +41,7 @@ def test_known_row_is_valid_with_absent_lags(spark):
     ({"week_of_year": 0}, "week_of_year outside 1-53"),
     ({"week_of_year": 54}, "week_of_year outside 1-53"),
     ({"store_type": None}, "store_type required"),
+    ({"isholiday": None}, "isholiday required"),
 ])
 def test_rejected_rows(spark, change, reason):
     n_valid, rs = reasons(spark, [dict(KNOWN, **change)])
@@ -54,6 +55,35 @@ def test_two_rows_and_empty_batch(spark):
         checks.require_non_empty(empty)
 
 
+def test_scoring_types_first_and_keeps_bad_rows_as_reasons(spark):
+    bad = [KNOWN, dict(KNOWN, store_id="abc"), dict(KNOWN, month="x"), dict(KNOWN, lag_1="junk"), dict(KNOWN, store_type=123),
+           dict(KNOWN, isholiday=None)]
+    cols = ["row_id"] + MODEL_INPUTS
+    raw = spark.createDataFrame([tuple([i] + [None if r.get(c) is None else str(r[c]) for c in MODEL_INPUTS]) for i, r in enumerate(bad)],
+                                "row_id int, " + ", ".join(f"`{c}` string" for c in cols[1:]))
+    scored, rejected = score_batch(raw, lambda t: t.select("row_id", F.lit(1.0).alias("predicted_sales")))
+    assert [r["row_id"] for r in scored.collect()] == [0]
+    why = {r["row_id"]: r["reasons"] for r in rejected.collect()}
+    assert "store_id unreadable" in why[1] and "month unreadable" in why[2] and why[3] == ["lag_1 unreadable"]
+    assert why[4] == ["store_type not text"] and why[5] == ["isholiday required"]
+
+
+def test_range_check_covers_every_numeric_column(spark):
+    row = dict(store_id=1, dept_id=1, week_date=dt.date(2010, 2, 5), weekly_sales=1.0, temperature=1.0, fuel_price=1.0, markdown1=1.0,
+               markdown2=1.0, markdown3=1.0, markdown4=1.0, markdown5=1.0, cpi=1.0, unemployment=1.0)
+    wrong = [dict(row, **{c: 1e11}) for c in checks.WHOLE_DIGITS] + [dict(row, dept_id=None), row]
+    bad = checks.staging_range_violations(spark.createDataFrame(
+        [tuple(r.values()) for r in wrong], ", ".join(f"{c} {'int' if c.endswith('_id') else 'date' if c == 'week_date' else 'double'}" for c in row)))
+    assert len(checks.WHOLE_DIGITS) == 10 and bad.count() == 11
+
+
+def test_two_staged_rows_of_one_store_are_an_error(spark):
+    s = "store_id int, store_type string, store_size int"
+    with pytest.raises(ValueError):
+        merge.upsert_store(spark.createDataFrame([], s), spark.createDataFrame([(1, "A", 1), (1, "B", 1)], s))
+    assert merge.upsert_store(spark.createDataFrame([], s), spark.createDataFrame([(1, "A", 1), (1, "A", 1)], s)).count() == 1
+
+
 FACT = "store_id int, dept_id int, week_date date, weekly_sales decimal(12,2), markdown1 decimal(12,2)"
 
 

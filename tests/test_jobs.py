@@ -1,29 +1,69 @@
 """The stage jobs end to end on the smallest data, into a scratch folder."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tillcast.config import Params
 from tillcast.plans import jobs
+from tillcast.schemas import FACT
 
 
 def test_stages_end_to_end(spark, tmp_path):
     out = str(tmp_path / "run")
     suite = {r["check"]: r["passed"] for r in jobs.etl(spark, SMALL, out).collect()}
-    assert suite["duplicate_keys"] and suite["foreign_keys"] and suite["null_keys"]
-    n_fact = spark.read.parquet(f"{out}/star/fact").count()
+    assert suite["duplicate_keys"] and suite["foreign_keys"] and suite["null_values"] and suite["row_count_view"]
+    fact = jobs.star_table(spark, out, "fact")
+    n_fact = fact.count()
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in FACT]
     assert spark.read.parquet(f"{out}/staging/fact_stg").count() == 0          # staging cleared
     jobs.etl(spark, SMALL, out)                                                  # re-run: upsert, no growth
-    assert spark.read.parquet(f"{out}/star/fact").count() == n_fact
+    assert jobs.star_version(spark, out) == 2 and jobs.star_table(spark, out, "fact").count() == n_fact
     jobs.split(spark, out)
+    assert spark.sql("SELECT COUNT(*) FROM vw_sales_analytics").first()[0] == n_fact
     jobs.features(spark, out)
     assert len(spark.read.parquet(f"{out}/features").columns) == 53
     jobs.eda_tables(spark, out)
     jobs.baselines(spark, out)
     assert spark.read.parquet(f"{out}/reports/baseline_results").count() == 5
-    comparison = jobs.train(spark, out, gbt_iter=3)
+    comparison = jobs.train(spark, out, Params(boosting_rounds=3, boosting_patience=2))
     rows = {r["model"]: r for r in comparison.collect()}
-    assert len(rows) == 5                                                        # ridge, 3 tree families, ensemble
+    assert 4 <= len(rows) <= 6                                   # ridge, 3 tree families, ensembles of two or more
     n_val = spark.read.parquet(f"{out}/features").where(F.col("split") == "val").count()
     assert all(r["n_samples"] == n_val for r in rows.values())                  # predictions join back by key
     report = jobs.evaluate_stage(spark, out)
-    assert report.count() == 4 and "val_rmse" in report.columns
+    assert report.count() == len(rows) and "val_rmse" in report.columns
+    record = spark.read.json(f"{out}/reports/final_selection").first()
+    assert record["best_model"] in rows and record["test_rmse"] > 0
+    assert spark.read.json(f"{out}/reports/prediction_metadata").count() == len(rows)
+    assert spark.read.parquet(f"{out}/reports/feature_importance").select("model").distinct().count() == 3
+    assert {r["stopped"] for r in spark.read.parquet(f"{out}/reports/boosting_stops").collect()} <= {"patience", "rounds"}
+
+
+def test_a_failing_job_leaves_the_published_tables(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "run")
+    jobs.etl(spark, SMALL, out)
+    before = jobs.star_table(spark, out, "fact").count()
+
+    def broken(*a, **k):
+        raise OSError("passing read error")
+
+    raw = jobs.raw_from_view(jobs.fixtures.analytics_view(spark, SMALL))
+    staged = jobs.ingest.ingest(*raw)[2]
+    jobs.sinks.append_staging(staged.limit(3), f"{out}/staging/fact_stg")
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "star_table", broken)                    # the target cannot be read
+        with pytest.raises(OSError):
+            jobs.merge_staging(spark, out)
+    assert jobs.star_version(spark, out) == 1 and jobs.star_table(spark, out, "fact").count() == before
+    # staged values that the fact cannot hold, and duplicate keys, stop the job before publishing
+    bad = staged.limit(1).withColumn("cpi", F.lit(5000.0))
+    jobs.sinks.truncate_staging(spark, f"{out}/staging/fact_stg", staged.schema)
+    jobs.sinks.append_staging(bad, f"{out}/staging/fact_stg")
+    with pytest.raises(ValueError, match="cannot hold"):
+        jobs.merge_staging(spark, out)
+    jobs.sinks.truncate_staging(spark, f"{out}/staging/fact_stg", staged.schema)
+    jobs.sinks.append_staging(staged.limit(1).unionByName(staged.limit(1)), f"{out}/staging/fact_stg")
+    with pytest.raises(ValueError, match="duplicate"):
+        jobs.merge_staging(spark, out)
+    assert jobs.star_version(spark, out) == 1 and jobs.star_table(spark, out, "fact").count() == before

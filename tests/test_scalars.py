@@ -24,7 +24,7 @@ def test_parse_date_and_try_cast(spark):
 def test_names_labels_and_first_char(spark):
     df = spark.createDataFrame([("Moving Average (4 weeks)", dt.date(2011, 11, 4), "Bx")], "m string, d date, t string")
     r = df.select(sc.safe_name("m").alias("n"), sc.month_label("d").alias("ym"), sc.first_char("t").alias("c")).first()
-    assert r["n"] == "Moving_Average__4_weeks_" and r["ym"] == "2011-11" and r["c"] == "B"
+    assert r["n"] == "Moving_Average_4_weeks" and r["ym"] == "2011-11" and r["c"] == "B"
     assert sc.normalise_name("  Fuel Price ") == "fuel_price"
 
 

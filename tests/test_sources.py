@@ -17,7 +17,7 @@ def test_predictions_partitioned_by_model(spark, tmp_path):
     sinks.write_predictions(df, path)
     back = sinks.read_predictions(spark, path, ["Naive", "Never Written"])
     assert [r["model"] for r in back.collect()] == ["Naive"]
-    assert "model_dir=Moving_Average__4_weeks_" in " ".join(p.name for p in (tmp_path / "preds").iterdir())
+    assert "model_dir=Moving_Average_4_weeks" in " ".join(p.name for p in (tmp_path / "preds").iterdir())
 
 
 def test_staging_append_and_truncate(spark, tmp_path):

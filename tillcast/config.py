@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -30,11 +30,12 @@ class Params:
     series_hist_bins: int = 30
     # model gate / ensembles
     gate_model: str = "Seasonal Naive"
-    ridge_alphas: tuple[float, ...] = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0)
     ridge_folds: int = 5
     # upper bound on forecast dates expanded per series (calendar-bounded)
     max_forecast_dates: int = 10_000
-    extra: dict = field(default_factory=dict)
+    # boosting: rounds at most, and rounds without a better validation error before stopping
+    boosting_rounds: int = 1_000
+    boosting_patience: int = 50
 
 
 DEFAULT = Params()

@@ -57,9 +57,10 @@ def metric_columns(with_wmae: bool = True, holiday_weight_value: float = 5.0,
     cols = [rmse(actual, predicted).alias("rmse"), mae(actual, predicted).alias("mae")]
     if with_wmae:
         cols.append(wmae(actual, predicted, weight=holiday_weight_value).alias("wmae"))
+    ok = _pair(actual, predicted)[2]
     cols += [mape(actual, predicted, threshold).alias("mape"),
              r_squared(actual, predicted).alias("r_squared"),
-             F.count(F.lit(1)).alias("n_samples")]
+             F.count_if(ok).alias("n_samples")]
     return cols
 
 

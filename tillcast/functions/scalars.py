@@ -104,8 +104,8 @@ def holiday_weight(flag, weight: float = 5.0) -> Column:
 # -- names and rounding ------------------------------------------------------------
 
 def safe_name(c) -> Column:
-    """File-safe model name: spaces, brackets, '=' and '/' to '_'."""
-    return F.regexp_replace(col_(c), r"[ ()=/,]", "_")
+    """File-safe model name: spaces, '+' and '/' to '_', brackets dropped."""
+    return F.regexp_replace(F.regexp_replace(col_(c), r"[ +/]", "_"), r"[()]", "")
 
 
 def round_doubles(df: DataFrame, places: int = 4, overrides: dict | None = None) -> DataFrame:

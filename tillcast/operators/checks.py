@@ -10,9 +10,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tillcast.schemas import (CONTRACT_DOUBLE_REQUIRED, CONTRACT_FLAGS, CONTRACT_INT_REQUIRED,
-                              CONTRACT_RANGES, KEYS)
+                              CONTRACT_RANGES, FACT, KEYS)
 from tillcast.session import broadcast_if_small
 
 CHECK_SCHEMA = "check string, passed boolean, severity string, value string"
@@ -30,10 +31,13 @@ def row_count_check(df: DataFrame, name: str, expected: int | None = None) -> Da
     return df.agg(*_row(f"row_count_{name}", ok, "error", n))
 
 
-def null_key_check(df: DataFrame, cols=KEYS) -> DataFrame:
-    """No null in the named columns (one pass for all of them)."""
+CRITICAL = [*KEYS, "weekly_sales"]
+
+
+def null_check(df: DataFrame, cols=CRITICAL) -> DataFrame:
+    """No null in the critical columns (one pass for all of them)."""
     nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in cols])
-    return df.agg(*_row("null_keys", nulls == 0, "error", nulls))
+    return df.agg(*_row("null_values", nulls == 0, "error", nulls))
 
 
 def duplicate_key_check(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -68,15 +72,22 @@ def value_range_check(df: DataFrame, col: str = "weekly_sales") -> DataFrame:
     return df.agg(*_row("negative_values", F.lit(True), "warning", F.count_if(F.col(col) < 0)))
 
 
+def view_count_check(view: DataFrame, fact: DataFrame) -> DataFrame:
+    """D1 for the view: as many rows as the fact, so the dimension joins neither lose nor multiply rows."""
+    n = F.count(F.lit(1))
+    return view.agg(*_row("row_count_view", n == fact.agg(n).scalar(), "error", n))
+
+
 def validation_suite(fact: DataFrame, dim_store: DataFrame, dim_dept: DataFrame,
-                     expected: dict | None = None) -> DataFrame:
-    """The six checks as one frame."""
+                     expected: dict | None = None, view: DataFrame | None = None) -> DataFrame:
+    """Row counts (with ``view`` also its own), nulls, duplicates, foreign keys, date range, value range."""
     expected = expected or {}
     parts = [
         row_count_check(dim_store, "dim_store", expected.get("dim_store")),
         row_count_check(dim_dept, "dim_dept", expected.get("dim_dept")),
         row_count_check(fact, "fact", expected.get("fact")),
-        null_key_check(fact),
+        *([view_count_check(view, fact)] if view is not None else []),
+        null_check(fact),
         duplicate_key_check(fact),
         foreign_key_check(fact, dim_store, dim_dept),
         date_range_check(fact),
@@ -98,6 +109,8 @@ def contract_reasons(df: DataFrame) -> F.Column:
         rules.append(F.when(F.col(c).isNull(), F.lit(f"{c} required")))
     if "store_type" in df.columns:
         rules.append(F.when(F.col("store_type").isNull(), F.lit("store_type required")))
+    if "isholiday" in df.columns:
+        rules.append(F.when(F.col("isholiday").isNull(), F.lit("isholiday required")))
     for c, (lo, hi) in CONTRACT_RANGES.items():
         rules.append(F.when(F.col(c).isNull() | (F.col(c) < lo) | (F.col(c) > hi), F.lit(f"{c} outside {lo}-{hi}")))
     for c in CONTRACT_FLAGS:
@@ -120,11 +133,17 @@ def require_non_empty(df: DataFrame, what: str = "batch") -> DataFrame:
     return df
 
 
+#: Whole digits that each numeric column of the fact can hold (precision less scale).
+WHOLE_DIGITS = {f.name: f.dataType.precision - f.dataType.scale for f in FACT.fields
+                if isinstance(f.dataType, DecimalType)}
+
+
 def staging_range_violations(stg: DataFrame) -> DataFrame:
-    """Staged rows that would break the fact's NOT NULL keys or NUMERIC(10,7) cpi."""
+    """Staged rows that the fact's NOT NULL keys or numeric precisions would refuse, with reasons."""
+    wide = [F.when(F.abs(F.col(c)) >= 10 ** digits, F.lit(f"{c} out of range"))
+            for c, digits in WHOLE_DIGITS.items() if c in stg.columns]
     reasons = F.filter(F.array(
         F.when(F.col("store_id").isNull() | F.col("dept_id").isNull() | F.col("week_date").isNull(),
-               F.lit("null key")),
-        F.when(F.abs(F.col("cpi")) >= 1000, F.lit("cpi out of range"))),
+               F.lit("null key")), *wide),
         lambda x: x.isNotNull())
     return stg.withColumn("reasons", reasons).where(F.size("reasons") > 0)

@@ -98,8 +98,17 @@ def weekly_totals(df: DataFrame) -> DataFrame:
     return df.groupBy("week_date").agg(F.sum("weekly_sales").cast("double").alias("total_sales"))
 
 
-def sales_by_store_type(df: DataFrame, types=("A", "B", "C")) -> DataFrame:
-    """Pivot with fixed values (no extra pass to discover them)."""
+MAX_STORE_TYPES = 1_000
+
+
+def sales_by_store_type(df: DataFrame, types=None) -> DataFrame:
+    """One column per store type found in the data (few: a report column each; beyond
+    MAX_STORE_TYPES it raises rather than drop one)."""
+    if types is None:
+        found = df.select("store_type").where("store_type is not null").distinct().limit(MAX_STORE_TYPES + 1).collect()
+        if len(found) > MAX_STORE_TYPES:
+            raise ValueError("too many store types for one column each")
+        types = sorted(r[0] for r in found)
     p = df.groupBy("week_date").pivot("store_type", list(types)).agg(F.sum("weekly_sales"))
     return p.select("week_date", *[F.col(t).cast("double").alias(f"type_{t}") for t in types])
 
@@ -185,8 +194,8 @@ def volatility_counts(stats: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int, by=()) -> DataFrame:
-    """Equal-width bins over each group's own min and max, last edge closed;
-    count and density (count / (n * width)).  Two passes: bounds, then counts."""
+    """``bins`` equal-width bins over each group's own min and max, last edge closed,
+    empty ones with count 0; count and density (count / (n * width)).  Two passes: bounds, counts."""
     by = list(by)
     x = F.col(col).cast("double")
     src = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
@@ -196,12 +205,19 @@ def histogram(df: DataFrame, col: str, bins: int, by=()) -> DataFrame:
         # one row per group: broadcast after a check, never a shuffle on a few-valued key
         j = src.join(broadcast_if_small(bounds, 100_000), by)
     else:  # one row of bounds: scalar subqueries instead of a join
-        j = src.select("_x", *[bounds.select(c).scalar().alias(c) for c in ("_lo", "_hi", "_n")])
+        j = src.select("_x", bounds.select(F.struct("_lo", "_hi", "_n")).scalar().alias("_b")).select("_x", "_b.*")
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))).cast("int") + 1,
                 F.lit(bins)))
-    g = j.groupBy(*by, idx.alias("bin"), "_lo", "_hi", "_n").agg(F.count(F.lit(1)).alias("count"))
+    found = j.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
+    edges = (bounds.where(F.col("_n") > 0).dropna(subset=by or None)
+             .withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins)))))
+    same = edges["bin"] == found["bin"]
+    for c in by:
+        same = same & edges[c].eqNullSafe(found[c])
+    g = (edges.join(found, same, "left")
+         .select(*[edges[c] for c in by], edges["bin"], "_lo", "_hi", "_n", F.coalesce("_c", F.lit(0)).alias("count")))
     return g.select(*by, "bin",
                     (F.col("_lo") + (F.col("bin") - 1) * width).alias("bin_start"),
                     (F.col("_lo") + F.col("bin") * width).alias("bin_end"),

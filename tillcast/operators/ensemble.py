@@ -21,6 +21,12 @@ def gate_members(metrics: DataFrame, gate: str, name_col: str = "model") -> Data
     return metrics.where((F.col(name_col) != gate) & (F.col("rmse") < rmse_g) & (F.col("wmae") < wmae_g))
 
 
+def ensemble_members(metrics: DataFrame, gate: str, name_col: str = "model") -> DataFrame:
+    """L12 for L13-L16: the gate-beating models if there are at least two of them, else none."""
+    m = gate_members(metrics, gate, name_col)
+    return m.where(m.agg(F.count(F.lit(1))).scalar() >= 2)
+
+
 MAX_MODELS = 10_000   # the member / weight tables hold one row per model
 
 
@@ -59,14 +65,15 @@ def choose_ensemble(simple_metrics: DataFrame, weighted_metrics: DataFrame) -> D
 
 
 def select_best(metrics: DataFrame, gate: str, name_col: str = "model") -> DataFrame:
-    """Among models beating ``gate`` on RMSE and WMAE, the lowest RMSE; if none, lowest RMSE overall."""
+    """Among models beating ``gate`` on RMSE and WMAE, the lowest RMSE; if none, the lowest RMSE
+    of all models.  The gate is a yardstick, never a candidate."""
     valid = gate_members(metrics, gate, name_col)
     best_valid = valid.agg(F.min_by(F.col(name_col), F.struct("rmse", name_col)).alias("_b"))
-    best_all = metrics.agg(F.min_by(F.col(name_col), F.struct("rmse", name_col)).alias("_b"))
+    best_all = metrics.where(F.col(name_col) != gate).agg(F.min_by(F.col(name_col), F.struct("rmse", name_col)).alias("_b"))
     return best_all.select(F.coalesce(best_valid.select("_b").scalar(), F.col("_b")).alias("best_model"),
                            (best_valid.select("_b").scalar().isNotNull()).alias("beats_gate"))
 
 
-def top_two(metrics: DataFrame, name_col: str = "model") -> DataFrame:
-    """The two lowest-RMSE models (name breaks ties)."""
-    return metrics.orderBy("rmse", name_col).limit(2)
+def top_two(metrics: DataFrame, gate: str, name_col: str = "model") -> DataFrame:
+    """The two lowest-RMSE models (name breaks ties), the gate left out."""
+    return metrics.where(F.col(name_col) != gate).orderBy("rmse", name_col).limit(2)

@@ -29,8 +29,8 @@ def upsert(target: DataFrame, staging: DataFrame, keys, columns) -> DataFrame:
 
 
 def upsert_store(target: DataFrame, staging: DataFrame) -> DataFrame:
-    """K1: insert or overwrite type and size (staging de-duplicated by D25 first)."""
-    return upsert(target, staging.distinct(), ["store_id"], ["store_id", "store_type", "store_size"])
+    """K1 (K4 checked first): insert or overwrite type and size; two different rows of one store are an error."""
+    return upsert(target, assert_unique_staging(staging.distinct(), ["store_id"]), ["store_id"], ["store_id", "store_type", "store_size"])
 
 
 def insert_missing_depts(target: DataFrame, staging: DataFrame) -> DataFrame:

@@ -243,39 +243,75 @@ MISSING = -1.0e9   # sentinel for absent lags: trees split it off on its own
 
 
 def tree_frame(df: DataFrame) -> DataFrame:
-    """Numeric inputs with the sentinel for nulls, store_type as its level index."""
-    cols = numeric_inputs(df)
-    exprs = {c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in cols}
-    exprs["store_type_idx"] = (F.ascii(F.col("store_type")) - F.ascii(F.lit("A"))).cast("double")
-    exprs["dept_id_f"] = F.col("dept_id").cast("double")
+    """Numeric inputs with the sentinel for nulls; dept and store type as text, to be indexed as
+    categories (a null type is a level of its own)."""
+    exprs = {c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numeric_inputs(df)}
+    exprs |= {f"{c}_level": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TREE_CATEGORIES}
     return df.withColumns(exprs)
 
 
+TREE_CATEGORIES = ("store_type", "dept_id")
+
+
 def tree_inputs(df: DataFrame) -> list[str]:
-    return numeric_inputs(df) + ["store_type_idx", "dept_id_f"]
+    return numeric_inputs(df) + [f"{c}_index" for c in TREE_CATEGORIES]
+
+
+def patience_stop(errors: list[float], patience: int) -> tuple[int, bool]:
+    """(rounds of the lowest error, whether ``patience`` rounds passed without a lower one)."""
+    best = 0
+    for k, e in enumerate(errors):
+        if e < errors[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
 
-def fit_gbt_family(train: DataFrame, val: DataFrame, family: str, max_iter: int, seed: int = 42):
-    """Fit each grid point of a family with early stopping on ``val``; keep the lowest val RMSE.
-    Returns (model, params, val_rmse)."""
+def _boosted(train: DataFrame, params: dict, rounds: int, seed: int):
+    """A fitted pipeline: categories as nominal features (levels unseen in training are one more
+    level), ``rounds`` trees, no improvement tolerance."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    both = durable(tree_frame(train).withColumn("_is_val", F.lit(False))
-                   .unionByName(tree_frame(val).withColumn("_is_val", F.lit(True))))
-    cols = tree_inputs(both)
-    best = None
+    names = [f"{c}_level" for c in TREE_CATEGORIES]
+    levels = max(train.agg(*[F.count_distinct(c) for c in names]).first())
+    index = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in TREE_CATEGORIES],
+                          handleInvalid="keep", stringOrderType="alphabetAsc")
+    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=rounds, maxBins=max(128, levels + 2),
+                       seed=seed, **params)
+    return Pipeline(stages=[index, VectorAssembler(inputCols=tree_inputs(train), outputCol="features"), gbt]).fit(train)
+
+
+def fit_gbt_family(train: DataFrame, val: DataFrame, family: str, rounds: int, patience: int, seed: int = 42):
+    """Fit each grid point of a family with early stopping by patience on ``val``; keep the lowest
+    validation RMSE.  Returns (model cut at its best round, params, val_rmse, list of
+    (params, rounds kept, rounds fitted, why it stopped) of all grid points).
+
+    Spark's trees cannot be continued, so the number of rounds doubles until ``patience`` rounds
+    bring no lower validation error or ``rounds`` is reached."""
+    def target(df):
+        return durable(tree_frame(df).withColumn(TARGET, F.col(TARGET).cast("double")))
+
+    tr, va = target(train), target(val)
+    best, log = None, []
     for params in GBT_FAMILIES[family]:
-        gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxBins=128,
-                           validationIndicatorCol="_is_val", seed=seed, **params)
-        model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), gbt]).fit(
-            both.withColumn(TARGET, F.col(TARGET).cast("double")))
-        pv = model.transform(both.where(F.col("_is_val")))
-        rmse = pv.agg(F.sqrt(F.avg((F.col(TARGET) - F.col("prediction")) ** 2))).first()[0]
-        if best is None or rmse < best[2]:
-            best = (model, params, rmse)
-    return best
+        fitted = min(rounds, 2 * patience)
+        while True:
+            model = _boosted(tr, params, fitted, seed)
+            seen = model.stages[-1]
+            ready = model.stages[1].transform(model.stages[0].transform(va))
+            errors = seen.evaluateEachIteration(ready, "squared")
+            kept, stopped = patience_stop(errors, patience)
+            if stopped or fitted >= rounds:
+                break
+            fitted = min(rounds, 2 * fitted)
+        log.append((params, kept, fitted, "patience" if stopped else "rounds"))
+        if best is None or errors[kept - 1] < best[2]:
+            best = (params, kept, errors[kept - 1])
+    params, kept, error = best
+    return _boosted(tr, params, kept, seed), params, error ** 0.5, log
 
 
 def gbt_predict(model, df: DataFrame, keep=KEYS) -> DataFrame:
@@ -293,14 +329,8 @@ def feature_importance(model, df: DataFrame) -> DataFrame:
 def refit_gbt(train_val: DataFrame, params: dict, n_trees: int, seed: int = 42):
     """L18 for trees: chosen parameters, refit on train + val with the number of trees the
     early-stopped fit kept (no validation rows left to stop on)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    data = durable(tree_frame(train_val).withColumn(TARGET, F.col(TARGET).cast("double")))
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max(1, n_trees), maxBins=128,
-                       seed=seed, **params)
-    return Pipeline(stages=[VectorAssembler(inputCols=tree_inputs(data), outputCol="features"), gbt]).fit(data)
+    return _boosted(durable(tree_frame(train_val).withColumn(TARGET, F.col(TARGET).cast("double"))),
+                    params, max(1, n_trees), seed)
 
 
 def tree_count(model) -> int:

@@ -22,23 +22,38 @@ INT_INPUTS = {"store_id", "dept_id", "store_size", "year", "week_of_year", "mont
 BOOL_INPUTS = {"isholiday"}
 
 
+def _typed(c: str) -> F.Column:
+    if c in STRING_INPUTS:
+        return F.col(c).cast("string")
+    if c in INT_INPUTS:
+        return F.col(c).cast("string").try_cast("int")
+    if c in BOOL_INPUTS:
+        return F.col(c).cast("string").try_cast("boolean")
+    return F.col(c).cast("string").try_cast("double")
+
+
 def type_inputs(df: DataFrame, order=MODEL_INPUTS, row_id: str = "row_id") -> DataFrame:
     """Numeric coercion (bad values to null), categorical as string, stored column order."""
-    def typed(c):
-        if c in STRING_INPUTS:
-            return F.col(c).cast("string").alias(c)
-        if c in INT_INPUTS:
-            return F.col(c).cast("string").try_cast("int").alias(c)
-        if c in BOOL_INPUTS:
-            return F.col(c).cast("string").try_cast("boolean").alias(c)
-        return F.col(c).cast("string").try_cast("double").alias(c)
-    return df.select(row_id, *[typed(c) for c in order if c in df.columns])
+    return df.select(row_id, *[_typed(c).alias(c) for c in order if c in df.columns])
+
+
+def unreadable(df: DataFrame, order=MODEL_INPUTS) -> F.Column:
+    """Reasons for values that are there but have no reading as their column's type; a store
+    type has to be text, so one that reads as a number is refused."""
+    lost = [F.when(F.col(c).isNotNull() & _typed(c).isNull(), F.lit(f"{c} unreadable"))
+            for c in order if c in df.columns and c not in STRING_INPUTS]
+    if "store_type" in df.columns:
+        lost.append(F.when(F.col("store_type").try_cast("double").isNotNull(), F.lit("store_type not text")))
+    return F.filter(F.array(*lost), lambda x: x.isNotNull())
 
 
 def score_batch(batch: DataFrame, predict, row_id: str = "row_id"):
     """(scored rows with row_id and predicted_sales, rejected rows with reasons).
-    ``predict`` maps a typed frame to (row_id, predicted_sales)."""
+    ``predict`` maps a typed frame to (row_id, predicted_sales).  Typing comes before the
+    contract: a value that does not parse is a reason of its own row, never a null that passes
+    or an error that ends the batch.  ``row_id`` may be a struct of the caller's keys."""
     checks.require_non_empty(batch, "prediction batch")
-    valid, rejected = checks.apply_contract(batch)
-    typed = type_inputs(valid, row_id=row_id)
-    return predict(typed), rejected.select(row_id, "reasons")
+    typed = type_inputs(batch.withColumn(row_id, F.struct(F.col(row_id).alias("id"), unreadable(batch).alias("junk"))), row_id=row_id)
+    judged = typed.withColumn("reasons", F.concat(f"{row_id}.junk", checks.contract_reasons(typed))).withColumn(row_id, F.col(f"{row_id}.id"))
+    valid = judged.where(F.size("reasons") == 0).drop("reasons")
+    return predict(valid), judged.where(F.size("reasons") > 0).select(row_id, "reasons")

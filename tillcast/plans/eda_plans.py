@@ -197,9 +197,10 @@ j AS (SELECT {byc}x, lo, hi, n,
   CASE WHEN hi = lo THEN 1 ELSE LEAST(CAST(FLOOR((x - lo) * {bins} / (hi - lo)) AS INTEGER) + 1, {bins}) END AS bin
   FROM src {join})""", f"""
 SELECT {byc}bin, lo + (bin - 1) * ((hi - lo) / {bins}) AS bin_start, lo + bin * ((hi - lo) / {bins}) AS bin_end,
-  COUNT(*) AS count,
-  CASE WHEN hi > lo THEN COUNT(*) / (n * ((hi - lo) / {bins})) END AS density
-FROM j GROUP BY {byc}bin, lo, hi, n""")
+  COALESCE(c, 0) AS count,
+  CASE WHEN hi > lo THEN COALESCE(c, 0) / (n * ((hi - lo) / {bins})) END AS density
+FROM bnd CROSS JOIN (SELECT UNNEST(range(1, {bins + 1})) AS bin) e
+LEFT JOIN (SELECT {byc}bin, COUNT(*) AS c FROM j GROUP BY {byc}bin) f USING ({byc}bin)""")
 
 
 @register("d19_holiday_histogram", _hist_sql(

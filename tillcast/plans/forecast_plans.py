@@ -105,7 +105,7 @@ def metric_sql(a="CAST(weekly_sales AS DOUBLE)", p="predicted_sales", wmae=True)
         cols.append(f"ROUND(SUM({w} * ABS({d})) / SUM({w}), 4) AS wmae")
     cols += [f"ROUND(AVG(CASE WHEN {a} >= {P.mape_threshold} THEN ABS({d} / {a}) * 100 END), 4) AS mape",
              f"ROUND(CASE WHEN VAR_POP({a}) * COUNT({a}) > 0 THEN 1 - SUM({d} * {d}) / (VAR_POP({a}) * COUNT({a})) END, 6) AS r_squared",
-             "COUNT(*) AS n_samples"]
+             "COUNT(*) FILTER (WHERE weekly_sales IS NOT NULL AND predicted_sales IS NOT NULL) AS n_samples"]
     return ", ".join(cols)
 
 

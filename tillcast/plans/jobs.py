@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from tillcast.operators import baselines as bl
 from tillcast.operators import checks, eda, ensemble, evaluate, ingest, merge, models, segments
 from tillcast.operators.features import build_features
 from tillcast.operators.split import with_split
-from tillcast.schemas import KEYS, VIEW_COLUMNS
+from tillcast.schemas import DIM_DEPT, DIM_STORE, FACT, KEYS, VIEW_COLUMNS
+from tillcast.session import durable
 from tillcast.sources import fixtures, sinks
 from tillcast.sources.raw import raw_from_view
 
@@ -35,50 +37,88 @@ def _p(out: str, *parts: str) -> str:
     return os.path.join(out, *parts)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:
-        return False
+    """Asked of the file system itself: an error on reading a table is never taken for its absence."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+STAR = ("dim_store", "dim_dept", "fact")
+PUBLISHED = "_PUBLISHED"
+
+
+def star_version(spark: SparkSession, out: str) -> int:
+    """The newest published version of the star tables, 0 if there is none."""
+    fs, root = _file_system(spark, _p(out, "star"))
+    if not fs.exists(root):
+        return 0
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    done = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and _exists(spark, _p(out, "star", n, PUBLISHED))]
+    return max(done, default=0)
+
+
+def star_table(spark: SparkSession, out: str, name: str, version: int | None = None) -> DataFrame:
+    version = star_version(spark, out) if version is None else version
+    return spark.read.parquet(_p(out, "star", f"v{version:06d}", name))
 
 
 def etl(spark: SparkSession, sf_dir: str, out: str, params: Params = DEFAULT) -> DataFrame:
-    """Raw tables -> staging (append) -> checks -> merge into the star tables -> staging cleared.
-    Returns the validation results (also written)."""
+    """Raw tables -> staging (append) -> checks -> a new version of the star tables -> checks ->
+    published by one marker file -> staging cleared.  Returns the validation results (also written).
+
+    Readers see a version only with its marker, so a job that fails anywhere leaves the last
+    published tables as they are; a rerun writes the next version's folder afresh."""
     raw = raw_from_view(fixtures.analytics_view(spark, sf_dir))
     st_store, st_dept, st_fact = ingest.ingest(*raw)
     for name, df in (("dim_store_stg", st_store), ("dim_dept_stg", st_dept), ("fact_stg", st_fact)):
         sinks.append_staging(df, _p(out, "staging", name))
+    return merge_staging(spark, out)
+
+
+def merge_staging(spark: SparkSession, out: str) -> DataFrame:
     stg = {n: spark.read.parquet(_p(out, "staging", n)) for n in ("dim_store_stg", "dim_dept_stg", "fact_stg")}
-    star = {}
-    for name, staged, upsert in (
-            ("dim_store", stg["dim_store_stg"], merge.upsert_store),
-            ("dim_dept", stg["dim_dept_stg"].where(F.col("dept_id").isNotNull()), merge.insert_missing_depts),
-            ("fact", stg["fact_stg"], lambda t, s: merge.upsert_fact(t, s, FACT_COLUMNS))):
-        path = _p(out, "star", name)
-        merged = upsert(spark.read.parquet(path), staged) if _exists(spark, path) else staged
-        # write beside, then swap the folder name in: the new table is complete before it is visible
-        tmp = path + ".next"
-        merged.write.mode("overwrite").parquet(tmp)
-        star[name] = tmp
-    for name, tmp in star.items():
-        spark.read.parquet(tmp).write.mode("overwrite").parquet(_p(out, "star", name))
+    refused = checks.staging_range_violations(stg["fact_stg"])
+    if not refused.isEmpty():
+        refused.write.mode("overwrite").parquet(_p(out, "reports", "staging_violations"))
+        raise ValueError("staged rows that the fact cannot hold: see reports/staging_violations")
+    typed = stg["fact_stg"].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT.fields])
+    current = star_version(spark, out)
+    upserts = {
+        "dim_store": (DIM_STORE, stg["dim_store_stg"], merge.upsert_store),
+        "dim_dept": (DIM_DEPT, stg["dim_dept_stg"].where(F.col("dept_id").isNotNull()), merge.insert_missing_depts),
+        "fact": (FACT, typed, lambda t, s: merge.upsert_fact(t, s, FACT_COLUMNS))}
+    for name, (schema, staged, upsert) in upserts.items():
+        # the first run merges into an empty table, so its keys are checked like any other's
+        target = star_table(spark, out, name, current) if current else spark.createDataFrame([], schema)
+        upsert(target, staged).write.mode("overwrite").parquet(_p(out, "star", f"v{current + 1:06d}", name))
+    fact, stores, depts = (star_table(spark, out, n, current + 1) for n in ("fact", "dim_store", "dim_dept"))
+    results = durable(checks.validation_suite(fact, stores, depts, view=_view(fact, stores, depts)))
+    results.write.mode("overwrite").parquet(_p(out, "reports", "validation"))
+    if not checks.suite_summary(results).first()["all_passed"]:
+        raise ValueError("the new star tables fail their checks and are not published: see reports/validation")
+    fs, marker = _file_system(spark, _p(out, "star", f"v{current + 1:06d}", PUBLISHED))
+    fs.create(marker, True).close()
     for name, df in stg.items():
         sinks.truncate_staging(spark, _p(out, "staging", name), df.schema)
-    fact = spark.read.parquet(_p(out, "star", "fact"))
-    results = checks.validation_suite(fact, spark.read.parquet(_p(out, "star", "dim_store")),
-                                      spark.read.parquet(_p(out, "star", "dim_dept")))
-    results.write.mode("overwrite").parquet(_p(out, "reports", "validation"))
     return results
 
 
+def _view(fact: DataFrame, stores: DataFrame, depts: DataFrame) -> DataFrame:
+    return fact.join(stores, "store_id").join(depts, "dept_id").select(*VIEW_COLUMNS)
+
+
 def view_from_star(spark: SparkSession, out: str) -> DataFrame:
-    """A11 over the written star tables."""
-    fact = spark.read.parquet(_p(out, "star", "fact"))
-    v = (fact.join(spark.read.parquet(_p(out, "star", "dim_store")), "store_id")
-             .join(spark.read.parquet(_p(out, "star", "dim_dept")), "dept_id"))
-    return v.select(*VIEW_COLUMNS)
+    """A11 over the published star tables, also registered as a view for SQL."""
+    version = star_version(spark, out)
+    v = _view(*(star_table(spark, out, n, version) for n in ("fact", "dim_store", "dim_dept")))
+    v.createOrReplaceTempView("vw_sales_analytics")
+    return v
 
 
 def split(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
@@ -131,40 +171,73 @@ def baselines(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
     segs.write.mode("overwrite").parquet(_p(out, "reports", "baseline_segments_all"))
 
 
-def train(spark: SparkSession, out: str, params: Params = DEFAULT, gbt_iter: int = 20) -> DataFrame:
-    """Ridge and three tree families on the features, ensembles of the gate-beating trees,
-    selection; test predictions of every model; comparison table and final record."""
+def _ensemble(va: DataFrame, val_preds: DataFrame, test_preds: DataFrame, members: DataFrame, name: str, params: Params):
+    """The simple or, if its validation RMSE is lower, the weighted mean of ``members`` (L13-L15):
+    (validation metrics row, test predictions) under ``name`` and the method; None without two members."""
+    if members.isEmpty():
+        return None
+    found = {}
+    for method, combine in (("simple", ensemble.simple_mean), ("weighted", ensemble.weighted_mean)):
+        m = durable(rounded(evaluate.evaluate_predictions(va, combine(val_preds, members), with_wmae=True, params=params)))
+        found[method] = (m, combine)
+    method = ensemble.choose_ensemble(found["simple"][0], found["weighted"][0]).first()["ensemble_method"]
+    label = F.lit(f"{name} ({method})").alias("model")
+    metrics, combine = found[method]
+    return metrics.select(label, "*"), combine(test_preds, members).select(label, *KEYS, "predicted_sales")
+
+
+def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
+    """Ridge and three tree families on the features; ensembles of the gate-beating trees and of the
+    two best models, simple or weighted by validation RMSE; all refit on train + val (members and
+    weights from validation) and predicted on test; selection; comparison table, prediction
+    metadata and the final record with test metrics."""
     f = spark.read.parquet(_p(out, "features"))
     tr, va, te = (f.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
     gate = spark.read.parquet(_p(out, "reports", "baseline_results"))
-    test_preds = []
     ridge = models.fit_ridge(tr, models.RIDGE_ALPHAS, params.ridge_folds)
+    both = tr.unionByName(va)
+    refit_ridge = models.fit_ridge(both, [ridge.alpha], params.ridge_folds)
     val_preds = {"Linear (Ridge)": ridge.predict(va)}
-    refit_ridge = models.fit_ridge(tr.unionByName(va), models.RIDGE_ALPHAS, params.ridge_folds)
-    test_preds.append(refit_ridge.predict(te).withColumn("model", F.lit("Linear (Ridge)")))
+    test_preds = {"Linear (Ridge)": refit_ridge.predict(te)}
+    importance, stops = None, []
     for family in models.GBT_FAMILIES:
-        m, p, _ = models.fit_gbt_family(tr, va, family, gbt_iter)
+        m, p, _, log = models.fit_gbt_family(tr, va, family, params.boosting_rounds, params.boosting_patience)
+        stops += [(family, str(q), kept, fitted, why) for q, kept, fitted, why in log]
         val_preds[family] = models.gbt_predict(m, va)
-        refit = models.refit_gbt(tr.unionByName(va), p, models.tree_count(m))
-        test_preds.append(models.gbt_predict(refit, te).withColumn("model", F.lit(family)))
-    long_val = None
-    for name, p in val_preds.items():
-        tagged = p.withColumn("model", F.lit(name))
-        long_val = tagged if long_val is None else long_val.unionByName(tagged)
-    metrics = rounded(evaluate.evaluate_predictions(va, long_val, by=["model"], with_wmae=True, params=params))
+        test_preds[family] = models.gbt_predict(models.refit_gbt(both, p, models.tree_count(m)), te)
+        one = models.feature_importance(m, tr).select(F.lit(family).alias("model"), "*")
+        importance = one if importance is None else importance.unionByName(one)
+    importance.write.mode("overwrite").parquet(_p(out, "reports", "feature_importance"))
+    spark.createDataFrame(stops, "model string, params string, kept int, fitted int, stopped string").write.mode(
+        "overwrite").parquet(_p(out, "reports", "boosting_stops"))
+
+    def long(by_model):
+        frames = [p.select(F.lit(n).alias("model"), *KEYS, "predicted_sales") for n, p in by_model.items()]
+        return durable(reduce(DataFrame.unionByName, frames))
+
+    long_val, long_test = long(val_preds), long(test_preds)
+    metrics = durable(rounded(evaluate.evaluate_predictions(va, long_val, by=["model"], with_wmae=True, params=params)))
     gate_row = gate.where(F.col("model") == params.gate_model).select("model", "rmse", "wmae")
-    trees = metrics.select("model", "rmse", "wmae").where(F.col("model").startswith("GBT")).unionByName(gate_row)
-    members = ensemble.gate_members(trees, params.gate_model)
-    ens = ensemble.weighted_mean(long_val, members)
-    ens_metrics = rounded(evaluate.evaluate_predictions(va, ens, with_wmae=True, params=params))
-    comparison = metrics.unionByName(ens_metrics.withColumn("model", F.lit("Ensemble (trees, weighted)")))
+    scores = durable(metrics.select("model", "rmse", "wmae").unionByName(gate_row))
+    trees = scores.where(F.col("model").isin(*models.GBT_FAMILIES, params.gate_model))
+    beating = ensemble.gate_members(scores, params.gate_model)
+    two = beating.join(ensemble.top_two(scores, params.gate_model).select("model"), "model", "left_semi")
+    two = two.where(two.agg(F.count(F.lit(1))).scalar() >= 2)
+    for name, members in (("Ensemble of trees", ensemble.ensemble_members(trees, params.gate_model)), ("Ensemble of the best two", two)):
+        made = _ensemble(va, long_val, long_test, durable(members), name, params)
+        if made:
+            metrics, long_test = metrics.unionByName(made[0]), long_test.unionByName(made[1])
+    comparison = durable(metrics)
     comparison.write.mode("overwrite").parquet(_p(out, "reports", "model_comparison"))
+    sinks.write_predictions(long_test, _p(out, "predictions", "models_test"))
+    written = sinks.read_predictions(spark, _p(out, "predictions", "models_test"))
+    written.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.min("week_date").alias("first_week"),
+                                 F.max("week_date").alias("last_week")).write.mode("overwrite").json(_p(out, "reports", "prediction_metadata"))
+    test_metrics = rounded(evaluate.evaluate_predictions(te, written, by=["model"], with_wmae=True, params=params))
     best = ensemble.select_best(comparison.select("model", "rmse", "wmae").unionByName(gate_row), params.gate_model)
-    long_test = test_preds[0]
-    for p in test_preds[1:]:
-        long_test = long_test.unionByName(p)
-    sinks.write_predictions(long_test.select("model", *KEYS, "predicted_sales"), _p(out, "predictions", "models_test"))
-    best.write.mode("overwrite").json(_p(out, "reports", "final_selection"))
+    (best.join(test_metrics.withColumnsRenamed({c: f"test_{c}" for c in test_metrics.columns if c != "model"}),
+               F.col("best_model") == F.col("model")).drop("model")
+     .write.mode("overwrite").json(_p(out, "reports", "final_selection")))
     return comparison
 
 

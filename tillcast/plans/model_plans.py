@@ -12,16 +12,17 @@ from tillcast.operators import ensemble as en
 from tillcast.operators import evaluate as ev
 from tillcast.operators import models as md
 from tillcast.operators import scoring as sc
-from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_features
+from tillcast.plans.feature_plans import FEATURE_CTES, shared_features
 from tillcast.plans.forecast_plans import REPORT_CTES, VAL_CTES, all_val_predictions, metric_sql, train_val_test
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import KEYS
+from tillcast.session import durable
 
 P = DEFAULT
 GATE = bl.SEASONAL_NAIVE
-# Boosting rounds per fit in the registered queries (the library default is Params-free:
-# callers pass max_iter).  Twenty rounds keep nine fits to minutes on one machine.
-QUERY_GBT_ITER = 20
+# The registered queries stop their nine fits earlier than the library's 1,000 rounds and
+# patience of 50, which would take hours on one machine; the column ``stopped`` tells.
+QUERY_ROUNDS, QUERY_PATIENCE = 20, 5
 
 
 def feature_splits(spark, sf):
@@ -41,8 +42,8 @@ WHERE dept_id IN (SELECT dept_id FROM tr) AND dept_id <> (SELECT MIN(dept_id) FR
 def q_one_hot(spark, sf):
     """L3: one indicator per level but the first (levels from train); unseen levels all zero.
     Long form: one row per (row, indicator set to 1)."""
-    train, _, _ = feature_splits(spark, sf)
-    f = features(spark, sf)
+    f = shared_features(spark, sf)
+    train = f.where(F.col("split") == "train")
     levels = {c: md.category_levels(train, c) for c in md.CATEGORICAL}
     oh = md.one_hot_columns(levels)
     wide = f.select(*KEYS, *[e.alias(n) for n, e in oh.items()])
@@ -121,10 +122,12 @@ def q_ridge_metrics(spark, sf):
 def _gbt_query(family):
     def q(spark, sf):
         train, val, _ = feature_splits(spark, sf)
-        model, params, rmse = md.fit_gbt_family(train, val, family, QUERY_GBT_ITER)
+        model, params, rmse, log = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
         m = rounded(ev.evaluate_predictions(val, md.gbt_predict(model, val), with_wmae=True, params=P))
-        return m.select(F.lit(family).alias("model"), F.lit(str(params)).alias("params"), "*")
-    q.__doc__ = f"{family}: three-point grid, early stopping on validation rows, best by val RMSE"
+        _, kept, fitted, why = next(x for x in log if x[0] == params)
+        return m.select(F.lit(family).alias("model"), F.lit(str(params)).alias("params"), F.lit(kept).alias("n_trees"),
+                        F.lit(fitted).alias("rounds_fitted"), F.lit(why).alias("stopped"), "*")
+    q.__doc__ = f"{family}: three-point grid, early stopping by patience on validation rows, best by val RMSE"
     return q
 
 
@@ -135,9 +138,14 @@ register("l9_gbt_level_wise")(_gbt_query("GBT level-wise"))
 
 @register("l10_feature_importance")
 def q_importance(spark, sf):
+    """Importances of the best fit of each of the three families."""
     train, val, _ = feature_splits(spark, sf)
-    model, _, _ = md.fit_gbt_family(train, val, "GBT ordered", QUERY_GBT_ITER)
-    return md.feature_importance(model, train)
+    out = None
+    for family in md.GBT_FAMILIES:
+        model, *_ = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
+        one = md.feature_importance(model, train).select(F.lit(family).alias("model"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # -- L12-L17, F8 on baseline forecasts (SQL-checkable) ---------------------------------------------------
@@ -147,7 +155,8 @@ m AS (SELECT p.model, a.store_id, a.dept_id, a.week_date, a.weekly_sales, a.isho
       FROM va a JOIN predsn p USING (store_id, dept_id, week_date)),
 r AS (SELECT model, """ + metric_sql() + """ FROM m GROUP BY model),
 g AS (SELECT rmse AS g_rmse, wmae AS g_wmae FROM r WHERE model = '""" + GATE + """'),
-mem AS (SELECT r.* FROM r, g WHERE r.model <> '""" + GATE + """' AND r.rmse < g.g_rmse AND r.wmae < g.g_wmae),
+mem0 AS (SELECT r.* FROM r, g WHERE r.model <> '""" + GATE + """' AND r.rmse < g.g_rmse AND r.wmae < g.g_wmae),
+mem AS (SELECT * FROM mem0 WHERE (SELECT COUNT(*) FROM mem0) >= 2),
 wts AS (SELECT model, (1.0 / rmse) / (SELECT SUM(1.0 / rmse) FROM mem) AS weight FROM mem),
 es AS (SELECT store_id, dept_id, week_date, AVG(predicted_sales) AS predicted_sales FROM predsn
        WHERE model IN (SELECT model FROM mem) GROUP BY 1, 2, 3 HAVING COUNT(*) = (SELECT COUNT(*) FROM mem)),
@@ -158,14 +167,17 @@ mw AS (SELECT """ + metric_sql() + """ FROM va a JOIN ew USING (store_id, dept_i
 
 
 def baseline_metrics(spark, sf):
+    """Forecasts, actuals and one metric row per model, each materialised once: gate, weights,
+    choice and selection all read the few metric rows again and again."""
     preds, val = all_val_predictions(spark, sf)
-    return preds, val, rounded(ev.evaluate_predictions(val, preds, by=["model"], with_wmae=True, params=P))
+    preds, val = durable(preds), durable(val)
+    return preds, val, durable(rounded(ev.evaluate_predictions(val, preds, by=["model"], with_wmae=True, params=P)))
 
 
 @register("l12_ensemble_members", with_base(ENS_CTES, "SELECT model, rmse, wmae FROM mem"))
 def q_members(spark, sf):
     _, _, r = baseline_metrics(spark, sf)
-    return en.gate_members(r, GATE).select("model", "rmse", "wmae")
+    return en.ensemble_members(r, GATE).select("model", "rmse", "wmae")
 
 
 @register("l13_simple_ensemble", with_base(ENS_CTES, """
@@ -173,7 +185,7 @@ SELECT store_id, dept_id, week_date, ROUND(predicted_sales, 6) AS predicted_sale
 def q_simple(spark, sf):
     """L13 (a mean of four values often ends in 5 at the 5th place: compared at 6 places)."""
     preds, _, r = baseline_metrics(spark, sf)
-    e = en.simple_mean(preds, en.gate_members(r, GATE))
+    e = en.simple_mean(preds, en.ensemble_members(r, GATE))
     return e.withColumn("predicted_sales", F.round("predicted_sales", 6))
 
 
@@ -181,7 +193,7 @@ def q_simple(spark, sf):
 SELECT store_id, dept_id, week_date, ROUND(predicted_sales, 4) AS predicted_sales FROM ew"""))
 def q_weighted(spark, sf):
     preds, _, r = baseline_metrics(spark, sf)
-    e = en.weighted_mean(preds, en.gate_members(r, GATE))
+    e = en.weighted_mean(preds, en.ensemble_members(r, GATE))
     return e.withColumn("predicted_sales", F.round("predicted_sales", 4))
 
 
@@ -190,36 +202,37 @@ SELECT CASE WHEN mw.rmse < ms.rmse THEN 'weighted' ELSE 'simple' END AS ensemble
   LEAST(mw.rmse, ms.rmse) AS rmse FROM ms, mw"""))
 def q_choice(spark, sf):
     preds, val, r = baseline_metrics(spark, sf)
-    mem = en.gate_members(r, GATE)
+    mem = en.ensemble_members(r, GATE)
     ms = rounded(ev.evaluate_predictions(val, en.simple_mean(preds, mem), with_wmae=True, params=P))
     mw = rounded(ev.evaluate_predictions(val, en.weighted_mean(preds, mem), with_wmae=True, params=P))
     return en.choose_ensemble(ms, mw)
 
 
 @register("l17_model_selection", with_base(ENS_CTES, """
-SELECT COALESCE((SELECT arg_min(model, (rmse, model)) FROM mem), (SELECT arg_min(model, (rmse, model)) FROM r)) AS best_model,
-  (SELECT COUNT(*) FROM mem) > 0 AS beats_gate"""))
+SELECT COALESCE((SELECT arg_min(model, (rmse, model)) FROM mem0),
+    (SELECT arg_min(model, (rmse, model)) FROM r WHERE model <> '""" + GATE + """')) AS best_model,
+  (SELECT COUNT(*) FROM mem0) > 0 AS beats_gate"""))
 def q_select(spark, sf):
     _, _, r = baseline_metrics(spark, sf)
     return en.select_best(r, GATE)
 
 
-@register("f8_top_two_models", with_base(ENS_CTES, "SELECT model, rmse FROM r ORDER BY rmse, model LIMIT 2"))
+@register("f8_top_two_models", with_base(ENS_CTES, "SELECT model, rmse FROM r WHERE model <> '" + GATE + "' ORDER BY rmse, model LIMIT 2"))
 def q_top_two(spark, sf):
     _, _, r = baseline_metrics(spark, sf)
-    return en.top_two(r).select("model", "rmse")
+    return en.top_two(r, GATE).select("model", "rmse")
 
 
 @register("l16_top_two_ensemble", with_base(ENS_CTES + """,
-t2 AS (SELECT model FROM (SELECT model FROM r ORDER BY rmse, model LIMIT 2)),
-mem2 AS (SELECT * FROM mem WHERE model IN (SELECT model FROM t2)),
+t2 AS (SELECT model FROM r WHERE model <> '""" + GATE + """' ORDER BY rmse, model LIMIT 2),
+mem2 AS (SELECT * FROM mem0 WHERE model IN (SELECT model FROM t2)),
 e2 AS (SELECT store_id, dept_id, week_date, AVG(predicted_sales) AS predicted_sales FROM predsn
        WHERE model IN (SELECT model FROM mem2) GROUP BY 1, 2, 3 HAVING COUNT(*) = (SELECT COUNT(*) FROM mem2))""",
 "SELECT " + metric_sql() + " FROM va a JOIN e2 USING (store_id, dept_id, week_date) HAVING (SELECT COUNT(*) FROM mem2) >= 2"))
 def q_top_two_ens(spark, sf):
     """Ensemble of the gate-beating members among the two best results (none if fewer than 2)."""
     preds, val, r = baseline_metrics(spark, sf)
-    mem = en.gate_members(r, GATE).join(en.top_two(r).select("model"), "model", "left_semi")
+    mem = en.gate_members(r, GATE).join(en.top_two(r, GATE).select("model"), "model", "left_semi")
     e = en.simple_mean(preds, mem)
     m = rounded(ev.evaluate_predictions(val, e, with_wmae=True, params=P))
     return m.where(mem.agg(F.count(F.lit(1))).scalar() >= 2)
@@ -229,9 +242,9 @@ def q_top_two_ens(spark, sf):
 
 @register("l18_refit_test_metrics")
 def q_refit(spark, sf):
-    """Ridge refit on train + val with the chosen alpha, scored on test."""
-    train, val, test = feature_splits(spark, sf)
-    model = md.fit_ridge(train.unionByName(val), md.RIDGE_ALPHAS, P.ridge_folds)
+    """Ridge refit on train + val with the alpha chosen on train, scored on test."""
+    chosen, train, val, test = ridge_on(spark, sf)
+    model = md.fit_ridge(train.unionByName(val), [chosen.alpha], P.ridge_folds)
     return rounded(ev.evaluate_predictions(test, model.predict(test), with_wmae=True, params=P))
 
 
@@ -239,7 +252,7 @@ def q_refit(spark, sf):
 def q_comparison(spark, sf):
     """Validation metrics of baselines, ridge and the baseline ensemble in one frame."""
     preds, val_raw, r = baseline_metrics(spark, sf)
-    mem = en.gate_members(r, GATE)
+    mem = en.ensemble_members(r, GATE)
     ens = rounded(ev.evaluate_predictions(val_raw, en.weighted_mean(preds, mem), with_wmae=True, params=P))
     model, _, val, _ = ridge_on(spark, sf)
     ridge = rounded(ev.evaluate_predictions(val, model.predict(val), with_wmae=True, params=P))
@@ -251,20 +264,21 @@ def q_comparison(spark, sf):
 def q_scoring(spark, sf):
     """Score the test feature rows as one batch, row id kept."""
     model, _, _, test = ridge_on(spark, sf)
-    batch = test.withColumn("row_id", F.xxhash64(*KEYS))
+    batch = test.withColumn("row_id", F.struct(*KEYS))
 
     def predict(typed):
         return model.predict(typed, keep=["row_id"])
 
     scored, rejected = sc.score_batch(batch, predict)
-    return scored.join(batch.select("row_id", *KEYS), "row_id").select(*KEYS, "predicted_sales")
+    return scored.select("row_id.*", "predicted_sales")
 
 
 L19_CTES = REPORT_CTES + """,
 m AS (SELECT p.model, a.weekly_sales, a.isholiday, p.predicted_sales FROM va a JOIN predsn p USING (store_id, dept_id, week_date)),
 r AS (SELECT model, """ + metric_sql() + """ FROM m GROUP BY model),
 g AS (SELECT rmse AS g_rmse, wmae AS g_wmae FROM r WHERE model = '""" + GATE + """'),
-mem AS (SELECT r.* FROM r, g WHERE r.model <> '""" + GATE + """' AND r.rmse < g.g_rmse AND r.wmae < g.g_wmae),
+mem0 AS (SELECT r.* FROM r, g WHERE r.model <> '""" + GATE + """' AND r.rmse < g.g_rmse AND r.wmae < g.g_wmae),
+mem AS (SELECT * FROM mem0 WHERE (SELECT COUNT(*) FROM mem0) >= 2),
 wts AS (SELECT model, (1.0 / rmse) / (SELECT SUM(1.0 / rmse) FROM mem) AS weight FROM mem),
 ewt AS (SELECT p.store_id, p.dept_id, p.week_date, SUM(p.predicted_sales * w.weight) AS predicted_sales
         FROM predsn_t p JOIN wts w USING (model) GROUP BY 1, 2, 3 HAVING COUNT(*) = (SELECT COUNT(*) FROM mem))"""
@@ -276,8 +290,8 @@ def q_refit_ensemble(spark, sf):
     """Members chosen and weighted on validation, refit on train + val, combined on test."""
     train, val, test = train_val_test(spark, sf)
     gv = bl.forecast_grid(train, val, P)
-    r = rounded(ev.evaluate_predictions(val, bl.all_predictions(gv, P), by=["model"], with_wmae=True, params=P))
-    members = en.gate_members(r, GATE)
+    r = durable(rounded(ev.evaluate_predictions(val, bl.all_predictions(gv, P), by=["model"], with_wmae=True, params=P)))
+    members = durable(en.ensemble_members(r, GATE))
     gt = bl.forecast_grid(train.unionByName(val), test, P)
     combined = en.weighted_mean(bl.all_predictions(gt, P), members)
     return rounded(ev.evaluate_predictions(test, combined, with_wmae=True, params=P))
@@ -286,10 +300,14 @@ def q_refit_ensemble(spark, sf):
 
 @register("l18_gbt_refit_test_metrics")
 def q_gbt_refit(spark, sf):
-    """L18 (trees): best 'GBT ordered' grid point chosen on validation, refit on train + val with
-    its kept tree count, scored on test."""
+    """L18 (trees): the best grid point of each family chosen on validation, refit on train + val
+    with its kept tree count, scored on test."""
     train, val, test = feature_splits(spark, sf)
-    model, params, _ = md.fit_gbt_family(train, val, "GBT ordered", QUERY_GBT_ITER)
-    refit = md.refit_gbt(train.unionByName(val), params, md.tree_count(model))
-    m = rounded(ev.evaluate_predictions(test, md.gbt_predict(refit, test), with_wmae=True, params=P))
-    return m.select(F.lit("GBT ordered").alias("model"), F.lit(md.tree_count(refit)).alias("n_trees"), "*")
+    out = None
+    for family in md.GBT_FAMILIES:
+        model, params, _, _ = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
+        refit = md.refit_gbt(train.unionByName(val), params, md.tree_count(model))
+        m = rounded(ev.evaluate_predictions(test, md.gbt_predict(refit, test), with_wmae=True, params=P))
+        one = m.select(F.lit(family).alias("model"), F.lit(md.tree_count(refit)).alias("n_trees"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -26,6 +26,11 @@ def star(spark, sf):
     return fact, fx.dim_store(spark, sf), fx.dim_dept(spark, sf)
 
 
+def suite(spark, sf):
+    fact, stores, depts = star(spark, sf)
+    return ck.validation_suite(fact, stores, depts, expected=EXPECTED, view=fx.analytics_view(spark, sf, fact))
+
+
 def staged(spark, sf):
     return ig.ingest(*raw_from_view(shared_view(spark, sf)))
 
@@ -35,9 +40,10 @@ checks AS (
   SELECT 'row_count_dim_store' AS "check", COUNT(*) = 5 AS passed, 'error' AS severity, CAST(COUNT(*) AS VARCHAR) AS value FROM dim_store
   UNION ALL SELECT 'row_count_dim_dept', COUNT(*) > 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM dim_dept
   UNION ALL SELECT 'row_count_fact', COUNT(*) > 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM fact
-  UNION ALL SELECT 'null_keys', n = 0, 'error', CAST(n AS VARCHAR) FROM (SELECT
+  UNION ALL SELECT 'row_count_view', COUNT(*) = (SELECT COUNT(*) FROM fact), 'error', CAST(COUNT(*) AS VARCHAR) FROM v
+  UNION ALL SELECT 'null_values', n = 0, 'error', CAST(n AS VARCHAR) FROM (SELECT
       COUNT(*) FILTER (WHERE store_id IS NULL) + COUNT(*) FILTER (WHERE dept_id IS NULL)
-      + COUNT(*) FILTER (WHERE week_date IS NULL) AS n FROM fact)
+      + COUNT(*) FILTER (WHERE week_date IS NULL) + COUNT(*) FILTER (WHERE weekly_sales IS NULL) AS n FROM fact)
   UNION ALL SELECT 'duplicate_keys', COUNT(*) = 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM (
       SELECT 1 FROM fact GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1)
   UNION ALL SELECT 'foreign_keys', COUNT(*) = 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM (
@@ -50,14 +56,14 @@ checks AS (
 
 @register("j1_validation_suite", with_base(SUITE_SQL_CTES, "SELECT * FROM checks"))
 def q_suite(spark, sf):
-    return ck.validation_suite(*star(spark, sf), expected=EXPECTED)
+    return suite(spark, sf)
 
 
 @register("j1_suite_summary", with_base(SUITE_SQL_CTES, """
 SELECT COUNT(*) FILTER (WHERE passed) AS n_passed, COUNT(*) AS n_checks,
   BOOL_AND(passed OR severity = 'warning') AS all_passed FROM checks"""))
 def q_suite_summary(spark, sf):
-    return ck.suite_summary(ck.validation_suite(*star(spark, sf), expected=EXPECTED))
+    return ck.suite_summary(suite(spark, sf))
 
 
 @register("j2_c3_orphans", with_base("", """
@@ -95,6 +101,7 @@ def q_nulls(spark, sf):
 def _contract_sql() -> str:
     rules = [(f"{c} required", f"{c} IS NULL") for c in CONTRACT_INT_REQUIRED]
     rules.append(("store_type required", "store_type IS NULL"))
+    rules.append(("isholiday required", "isholiday IS NULL"))
     rules += [(f"{c} outside {lo}-{hi}", f"({c} IS NULL OR {c} < {lo} OR {c} > {hi})") for c, (lo, hi) in CONTRACT_RANGES.items()]
     rules += [(f"{c} not 0/1", f"({c} IS NULL OR {c} NOT IN (0, 1))") for c in CONTRACT_FLAGS]
     rules += [(f"{c} required", f"{c} IS NULL") for c in CONTRACT_DOUBLE_REQUIRED]
@@ -153,7 +160,9 @@ def q_staged_dims(spark, sf):
 
 @register("j5_staging_violations", with_base(RAW_FEATURE_CTES, """
 SELECT COUNT(*) AS n_violations FROM stg
-WHERE store_id IS NULL OR dept_id IS NULL OR week_date IS NULL OR ABS(cpi) >= 1000"""))
+WHERE store_id IS NULL OR dept_id IS NULL OR week_date IS NULL OR ABS(weekly_sales) >= 1e10
+  OR ABS(temperature) >= 1e4 OR ABS(fuel_price) >= 1e3 OR ABS(cpi) >= 1e3 OR ABS(unemployment) >= 1e3
+  OR GREATEST(ABS(markdown1), ABS(markdown2), ABS(markdown3), ABS(markdown4), ABS(markdown5)) >= 1e10"""))
 def q_violations(spark, sf):
     _, _, fact_stg = staged(spark, sf)
     return ck.staging_range_violations(fact_stg).agg(F.count(F.lit(1)).alias("n_violations"))
@@ -227,21 +236,33 @@ def q_insert_depts(spark, sf):
     return mg.insert_missing_depts(dd.where(F.col("dept_id") <= 20), dd)
 
 
-FP_COLS = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+FP_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+           "l_returnflag", "l_linestatus", "l_shipdate"]
+# Renderings that both engines write alike: money in hundredths, dates in days
+FP_SQL = {c: f"CAST(CAST(ROUND({c} * 100) AS BIGINT) AS VARCHAR)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+FP_SQL |= {"l_shipdate": "CAST(datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS VARCHAR)"}
+FP_LINE = "concat_ws('|', " + ", ".join(FP_SQL.get(c, f"CAST({c} AS VARCHAR)") for c in FP_COLS) + ")"
+
+
+def fingerprint_rows(spark, sf):
+    """Every column of every line item, as text lines."""
+    li = fx.table(spark, sf, "lineitem")
+    li = li.withColumns({c: F.rint(F.col(c) * 100).cast("long") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")})
+    return table_lines(li.withColumn("l_shipdate", F.unix_date(F.to_date("l_shipdate"))), FP_COLS)
 
 
 @register("a9_source_fingerprint", with_base("", f"""
 SELECT COUNT(*) AS n_lines,
-  CAST(SUM(CAST(('0x' || substr(md5(line), 1, 15)) AS BIGINT)) AS VARCHAR) AS digest
-FROM (SELECT concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in FP_COLS)}) AS line FROM lineitem)"""))
+  concat_ws('-', {', '.join(f"CAST(SUM(CAST(('0x' || substr(md5(line), {i}, 8)) AS BIGINT)) AS VARCHAR)" for i in (1, 9, 17, 25))}) AS digest
+FROM (SELECT {FP_LINE} AS line FROM lineitem)"""))
 def q_fingerprint(spark, sf):
-    """Line count and order-free digest of a text rendering of lineitem's keys."""
-    return fingerprint_lines(table_lines(fx.table(spark, sf, "lineitem"), FP_COLS))
+    """Line count and order-free digest of a text rendering of lineitem."""
+    return fingerprint_lines(fingerprint_rows(spark, sf))
 
 
 @register("b21_safe_model_names", with_base("""
 sv AS (SELECT 1)""", """
-SELECT model, regexp_replace(model, '[ ()=/,]', '_', 'g') AS model_dir FROM (VALUES """ + ", ".join(
+SELECT model, regexp_replace(regexp_replace(model, '[ +/]', '_', 'g'), '[()]', '', 'g') AS model_dir FROM (VALUES """ + ", ".join(
     f"('{n}')" for n in ["Naive", "Seasonal Naive", "Moving Average (4 weeks)", "Seasonal Average (k=3)", "Hybrid Fallback"])
     + ") t(model)"))
 def q_safe_names(spark, sf):
@@ -256,10 +277,10 @@ __all__ = ["KEYS"]
 
 
 @register("h10_line_sha256", with_base("", f"""
-SELECT COUNT(DISTINCT sha256(line)) AS n_distinct, MIN(sha256(line)) AS first_digest
-FROM (SELECT concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in FP_COLS)}) AS line FROM lineitem)"""))
+SELECT COUNT(*) AS n_lines, MIN(sha256(line)) AS first_digest, MAX(sha256(line)) AS last_digest
+FROM (SELECT {FP_LINE} AS line FROM lineitem)"""))
 def q_sha(spark, sf):
-    """sha256 per line of the same rendering; distinct digests and the smallest one."""
+    """sha256 per line of the same rendering; the smallest and largest digest (no shuffle of rows)."""
     from tillcast.functions.scalars import line_digest
-    d = table_lines(fx.table(spark, sf, "lineitem"), FP_COLS).select(line_digest(F.col("value")).alias("h"))
-    return d.agg(F.countDistinct("h").alias("n_distinct"), F.min("h").alias("first_digest"))
+    d = fingerprint_rows(spark, sf).select(line_digest(F.col("value")).alias("h"))
+    return d.agg(F.count(F.lit(1)).alias("n_lines"), F.min("h").alias("first_digest"), F.max("h").alias("last_digest"))

@@ -45,22 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     target = configured or tempfile.mkdtemp(prefix="tillcast-ckpt-")
     sc.setCheckpointDir(target)
     return target
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss).  Where a session
-    offers no checkpoint folder at all, the frame is returned with its lineage: results are
-    the same, only recomputation on failure is longer."""
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception as exc:  # pragma: no cover - depends on the deployment
-        if "checkpoint" not in str(exc).lower():
-            raise
-        return df
+    """Cut lineage with a reliable checkpoint (survives executor loss).  Errors are raised: frames
+    that are tagged by partition must not be recomputed with another partitioning."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -126,22 +126,8 @@ def dim_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-# dimension joins broadcast only below these sizes (checked per run), sort-merge beyond
+# dimension joins broadcast only below this size (checked each time), sort-merge beyond
 DIM_BROADCAST_ROWS = 100_000
-_DIM_CHECKED: dict = {}
-
-
-def _checked_dim(spark: SparkSession, sf_dir: str, name: str, dim: DataFrame) -> DataFrame:
-    """Size check once per (application, source folder, dimension), like a table statistic;
-    every later query of the session reuses the decision."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # Spark Connect
-        app = id(spark)
-    key = (app, sf_dir, name)
-    if key not in _DIM_CHECKED:
-        _DIM_CHECKED[key] = broadcast_if_small(dim, DIM_BROADCAST_ROWS) is not dim
-    return F.broadcast(dim) if _DIM_CHECKED[key] else dim
 
 
 def analytics_view(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None) -> DataFrame:
@@ -149,8 +135,8 @@ def analytics_view(spark: SparkSession, sf_dir: str, fact: DataFrame | None = No
     The fact keeps its own partitioning: the dimensions are broadcast after a size check, so
     no exchange on a dimension key (e.g. dept alone) is imposed on later series windows."""
     fact = fact if fact is not None else fact_sales(spark, sf_dir)
-    stores = _checked_dim(spark, sf_dir, "dim_store", dim_store(spark, sf_dir))
-    depts = _checked_dim(spark, sf_dir, "dim_dept", dim_dept(spark, sf_dir))
+    stores = broadcast_if_small(dim_store(spark, sf_dir), DIM_BROADCAST_ROWS)
+    depts = broadcast_if_small(dim_dept(spark, sf_dir), DIM_BROADCAST_ROWS)
     v = fact.join(stores, "store_id").join(depts, "dept_id")
     return v.select(*VIEW_COLUMNS)
 

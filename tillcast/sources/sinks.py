@@ -25,8 +25,9 @@ def truncate_staging(spark: SparkSession, path: str, schema) -> None:
 
 def write_splits(df_with_split: DataFrame, path: str) -> None:
     """One table partitioned by split (a split read prunes the others), rows sorted
-    by (store, dept, week) inside each task so that row-group statistics stay selective."""
-    (df_with_split.sortWithinPartitions("store_id", "dept_id", "week_date")
+    by (split, store, dept, week) inside each task: the writer needs them by split first and would
+    otherwise sort anew, losing the order that keeps row-group statistics selective."""
+    (df_with_split.sortWithinPartitions("split", "store_id", "dept_id", "week_date")
         .write.mode("overwrite").partitionBy("split").parquet(path))
 
 
@@ -50,5 +51,7 @@ def read_predictions(spark: SparkSession, path: str, models=None) -> DataFrame:
     """One partitioned read; asked-for models that were never written are simply absent."""
     df = spark.read.parquet(path)
     if models is not None:
-        df = df.where(F.col("model").isin(list(models)))
+        # the folder name prunes partitions; the model name tells names apart that share a folder
+        folders = [r[0] for r in spark.createDataFrame([(m,) for m in models], "m string").select(safe_name(F.col("m"))).collect()]
+        df = df.where(F.col("model_dir").isin(folders) & F.col("model").isin(list(models)))
     return df.drop("model_dir")
