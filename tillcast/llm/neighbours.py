@@ -28,8 +28,9 @@ MOST_CENTROIDS = 4_096
 REPLICAS = 4
 BORDER_RATIO = 1.25
 DEGREE = 16
-AIM = 0.975
+AIM = 0.965
 SLICE_ROWS = 4_096
+BUCKET_ROWS = 65_536
 
 
 @dataclass(frozen=True)
@@ -140,8 +141,8 @@ def nearest(rows: DataFrame, is_query, k: int = 5) -> DataFrame:
     ``is_query``: a condition on vec_id.  Rows of equal vectors are one entry of the index that
     carries their k + 1 smallest ids, which is all that a top-k with ties by id can need, so a
     vector that a third of all rows share is scored once.  Every distinct vector is indexed;
-    only the centroids are fitted on a sample (SAMPLE rows at most).  A list is dealt out in
-    slices of about SLICE_ROWS entries, so that no task holds a long list.
+    only the centroids are fitted on a sample (SAMPLE rows at most).  Lists are
+    dealt out in buckets and slices of bounded size, so that no task holds a long list.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite
     components take no part, nor do rows without vec_id.  Repeated rows count once; one vec_id
@@ -165,8 +166,12 @@ def nearest(rows: DataFrame, is_query, k: int = 5) -> DataFrame:
     queries = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "h")
     asked_vectors = durable(distinct.join(queries.select("h").distinct(), "h", "left_semi").select("h", "v"))
     asked = asked_vectors.count()
-    # equal query vectors ask once; both sides of a list are dealt out in bounded slices
-    slices = max(1, math.ceil(n * 2 / len(index.centroids) / SLICE_ROWS))
+    # lists are dealt out in buckets, long lists and many queries in slices: a task holds about
+    # BUCKET_ROWS entries and SLICE_ROWS queries at most, and answers a query once per bucket
+    entries = 2 * n
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / BUCKET_ROWS))
+    buckets = min(buckets, len(index.centroids))
+    slices = max(1, math.ceil(entries / len(index.centroids) / SLICE_ROWS))
     ask_slices = max(1, math.ceil(asked / SLICE_ROWS))
 
     def assigner(search: bool):
@@ -185,41 +190,52 @@ def nearest(rows: DataFrame, is_query, k: int = 5) -> DataFrame:
         return make
 
     shape = "id long, v array<double>, lists array<long>"
-    every = F.explode(F.sequence(F.lit(0), F.lit(ask_slices - 1)))
+    bucket = F.pmod("list", F.lit(buckets)).cast("int").alias("bucket")
     posts = (map_rows(distinct.select(F.col("h").alias("id"), "v"), assigner(False), shape)
-             .select(F.explode("lists").alias("list"), F.pmod("id", F.lit(slices)).cast("int").alias("slice"), "id", "v")
-             .withColumn("ask_slice", every))
-    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+             .select(F.explode("lists").alias("list"), "id", "v")
+             .select("list", bucket, "id", "v", F.pmod("id", F.lit(slices)).cast("int").alias("slice"))
+             .withColumn("ask_slice", F.explode(F.sequence(F.lit(0), F.lit(ask_slices - 1)))))
     asks = (map_rows(asked_vectors.select(F.col("h").alias("id"), "v"), assigner(True), shape)
-            .select(F.explode("lists").alias("list"), "id", "v",
-                    F.pmod(F.xxhash64("id"), F.lit(ask_slices)).cast("int").alias("ask_slice"))
-            .withColumn("slice", every))
+            .select(F.explode("lists").alias("list"), "id", "v").select("list", bucket, "id", "v")
+            .groupBy("id", "v", "bucket").agg(F.collect_list("list").alias("lists"))
+            .withColumn("ask_slice", F.pmod(F.xxhash64("id"), F.lit(ask_slices)).cast("int"))
+            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
 
     def score(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out: dict = {"query_h": [], "h": [], "score": []}
-        if len(asked) and len(held):
-            x = np.stack(held["v"].to_numpy())
-            nx, hs = np.linalg.norm(x, axis=1), held["id"].to_numpy()
-            take = min(len(hs), 2 * k + 2)
-            for at in range(0, len(asked), 512):
-                part = asked.iloc[at:at + 512]
-                q = np.stack(part["v"].to_numpy())
-                s = (q @ x.T) / np.linalg.norm(q, axis=1)[:, None] / nx
-                # everything that reaches the take-th best, ties included: nothing is cut by chance
-                floor = -np.partition(-s, take - 1, axis=1)[:, take - 1:take] - 1e-9
+        empty = pd.DataFrame({"query_h": np.empty(0, np.int64), "h": np.empty(0, np.int64), "score": np.empty(0)})
+        if not len(asked) or not len(held):
+            return empty
+        q, x = np.stack(asked["v"].to_numpy()), np.stack(held["v"].to_numpy())
+        q, x = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (q, x))
+        hs, ids, of_list = held["id"].to_numpy(), asked["id"].to_numpy(), held["list"].to_numpy()
+        asks_for: dict = {}
+        for i, wanted in enumerate(asked["lists"]):
+            for w in wanted:
+                asks_for.setdefault(int(w), []).append(i)
+        who, what, near = [], [], []
+        for w, at in asks_for.items():
+            entries = np.flatnonzero(of_list == w)
+            if len(entries):
+                s = q[at] @ x[entries].T
+                take = min(len(entries), k + 1)
+                floor = -np.partition(-s, take - 1, axis=1)[:, take - 1:take] - 1e-9     # ties included
                 i, j = np.nonzero(s >= floor)
-                out["query_h"].append(part["id"].to_numpy()[i])
-                out["h"].append(hs[j])
-                out["score"].append(s[i, j])
-        return pd.DataFrame({c: np.concatenate(v) if v else np.empty(0) for c, v in out.items()}).astype(
-            {"query_h": "int64", "h": "int64", "score": "float64"})
+                who.append(np.array(at)[i])
+                what.append(hs[entries[j]])
+                near.append(s[i, j])
+        if not who:
+            return empty
+        out = pd.DataFrame({"q": np.concatenate(who), "h": np.concatenate(what), "score": np.concatenate(near)})
+        out = out.groupby(["q", "h"], as_index=False)["score"].max()       # an entry of several lists
+        out = out[out.groupby("q")["score"].rank(method="min", ascending=False) <= k + 1]
+        return pd.DataFrame({"query_h": ids[out["q"]], "h": out["h"].to_numpy(), "score": out["score"].to_numpy()})
 
-    place = ["list", "slice", "ask_slice"]
+    place = ["bucket", "slice", "ask_slice"]
     found = (asks.groupBy(*place).cogroup(posts.groupBy(*place))
              .applyInPandas(score, "query_h long, h long, score double"))
-    best = Window.partitionBy("query_h").orderBy(F.desc("score"), "h")
+    best = Window.partitionBy("query_h").orderBy(F.desc(F.round("score", 9)))
     few = (found.groupBy("query_h", "h").agg(F.max("score").alias("score"))
-           .withColumn("r", F.row_number().over(best)).where(F.col("r") <= 2 * k + 2).select("query_h", "h"))
+           .withColumn("r", F.rank().over(best)).where(F.col("r") <= k + 1).select("query_h", "h"))
     exact = (few.join(distinct.withColumnRenamed("v", "cv"), "h")
              .join(asked_vectors.select(F.col("h").alias("query_h"), "v"), "query_h")
              .select("query_h", cosine("v", "cv").alias("score"), F.explode("ids").alias("vec_id"))
