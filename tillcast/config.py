@@ -31,7 +31,7 @@ class Params:
     # model gate / ensembles
     gate_model: str = "Seasonal Naive"
     ridge_folds: int = 5
-    # upper bound on forecast dates expanded per series (calendar-bounded)
+    # forecast (week, year) pairs are broadcast up to this many, joined by sort-merge beyond
     max_forecast_dates: int = 10_000
     # boosting: rounds at most, and rounds without a better validation error before stopping
     boosting_rounds: int = 1_000

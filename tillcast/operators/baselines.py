@@ -12,7 +12,7 @@ Plan shape, whatever the number of series:
   The same aggregation yields the first row of the year before (C6), so the
   grid needs a single join.  ``first_in_week`` is that lookup on its own.
 * the forecast grid is series x forecast dates (C5): the dates are the
-  validation calendar (checked to be at most ``max_forecast_dates``) and are
+  validation calendar (one array from a scalar subquery) and are
   expanded in place with ``explode``, so no join is needed for the grid.
 
 Money stays an exact decimal until the final prediction column, which is double.
@@ -20,7 +20,7 @@ Money stays an exact decimal until the final prediction column, which is double.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import DEFAULT, Params
@@ -37,21 +37,15 @@ HYBRID = "Hybrid Fallback"
 BASELINE_NAMES = [NAIVE, SEASONAL_NAIVE, MOVING_AVERAGE, SEASONAL_AVERAGE, HYBRID]
 
 
-def forecast_dates(actual: DataFrame, params: Params = DEFAULT) -> list:
-    """The sorted distinct dates to forecast.  A calendar: bounded, and checked."""
-    cap = params.max_forecast_dates
-    rows = actual.select("week_date").distinct().orderBy("week_date").limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise ValueError(f"more than {cap} forecast dates; raise Params.max_forecast_dates")
-    return [r[0] for r in rows]
+def forecast_dates(actual: DataFrame) -> Column:
+    """The sorted distinct dates to forecast, one array: a calendar, found by a scalar
+    subquery, so neither the driver nor the plan's size depends on its length."""
+    return actual.agg(F.array_sort(F.collect_set("week_date"))).scalar()
 
 
-def expand_dates(df: DataFrame, dates: list) -> DataFrame:
+def expand_dates(df: DataFrame, dates: Column) -> DataFrame:
     """Every row once per forecast date, with the date's calendar year and ISO week."""
-    if not dates:
-        return df.withColumn("week_date", F.lit(None).cast("date")).where(F.lit(False))
-    arr = F.array(*[F.lit(d) for d in dates])
-    return (df.withColumn("week_date", F.explode(arr))
+    return (df.withColumn("_dates", dates).withColumn("week_date", F.explode("_dates")).drop("_dates")
               .withColumn("_fyear", F.year("week_date"))
               .withColumn("_fweek", F.weekofyear("week_date")))
 
@@ -104,7 +98,7 @@ def seasonal_matches(train: DataFrame, actual: DataFrame, k: int, params: Params
 def forecast_grid(train: DataFrame, actual: DataFrame, params: Params = DEFAULT,
                   dates: list | None = None) -> DataFrame:
     """Series x dates with every lookup the five rules need (one wide frame)."""
-    dates = dates if dates is not None else forecast_dates(actual, params)
+    dates = dates if dates is not None else forecast_dates(actual)
     summ = series_summary(train, (params.moving_average_window, 4))
     grid = expand_dates(summ, dates)
     sm = seasonal_matches(train, actual, params.seasonal_k, params)

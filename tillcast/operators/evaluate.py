@@ -36,7 +36,7 @@ def evaluate_by_segments(actual: DataFrame, predicted: DataFrame, segment_cols,
     m = scored_pairs(actual, predicted)
     missing = [c for c in segment_cols if c not in m.columns]
     if missing:
-        raise ValueError(f"Column '{missing[0]}' not found in merged DataFrame")
+        raise ValueError(f"no such segment column: {', '.join(missing)}")
     seg = F.explode(F.array(*[F.struct(F.lit(c).alias("segment_type"), F.col(c).cast("string").alias("segment"))
                               for c in segment_cols]))
     s = m.select("*", seg.alias("_s")).select("*", "_s.segment_type", "_s.segment").drop("_s")

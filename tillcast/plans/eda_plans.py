@@ -8,6 +8,7 @@ from tillcast.operators import eda
 from tillcast.plans.feature_plans import shared_view, view
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import MARKDOWNS, VIEW_COLUMNS
+from tillcast.session import durable
 
 N_TOP_STORES = 3   # only 5 stores in the stand-in data; 10 would return all of them
 N_TOP_DEPTS = 15
@@ -69,7 +70,7 @@ o AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE CAST(weekly_sales AS DOUBLE)
 @register("d8_iqr_outliers", with_base(IQR_CTES, """
 SELECT q1, q3, iqr, lower_bound, upper_bound, outliers_count, outliers_count / n * 100 AS outliers_pct FROM b, o"""))
 def q_iqr(spark, sf):
-    return eda.iqr_outliers(view(spark, sf))
+    return eda.iqr_outliers(shared_view(spark, sf), materialized=True)
 
 
 @register("d29_sanity_summary", with_base(IQR_CTES + """,
@@ -206,13 +207,13 @@ LEFT JOIN (SELECT {byc}bin, COUNT(*) AS c FROM j GROUP BY {byc}bin) f USING ({by
 @register("d19_holiday_histogram", _hist_sql(
     "SELECT isholiday, CAST(weekly_sales AS DOUBLE) AS x FROM v WHERE weekly_sales IS NOT NULL", 50, "isholiday"))
 def q_hist_holiday(spark, sf):
-    return eda.histogram(view(spark, sf), "weekly_sales", 50, by=["isholiday"])
+    return eda.histogram(shared_view(spark, sf), "weekly_sales", 50, by=["isholiday"])
 
 
 @register("d20_series_length_histogram", _hist_sql(
     "SELECT CAST(COUNT(*) AS DOUBLE) AS x FROM v GROUP BY store_id, dept_id", 30, None))
 def q_hist_len(spark, sf):
-    return eda.histogram(eda.weeks_per_series(view(spark, sf)), "n_weeks", 30)
+    return eda.histogram(durable(eda.weeks_per_series(view(spark, sf))), "n_weeks", 30)
 
 
 @register("d21_dashboard_weekly", with_base("", """

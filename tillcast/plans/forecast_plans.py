@@ -138,7 +138,7 @@ def q_dates(spark, sf):
 def q_grid(spark, sf):
     """Series x dates expanded in place."""
     train, val = train_val(spark, sf)
-    g = bl.expand_dates(bl.series_summary(train), bl.forecast_dates(val, P))
+    g = bl.expand_dates(bl.series_summary(train), bl.forecast_dates(val))
     return g.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("week_date").alias("n_dates"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import checks as ck
 from tillcast.operators import ingest as ig
 from tillcast.operators import merge as mg
-from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_view
+from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_features, shared_view
 from tillcast.session import durable
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import (CONTRACT_DOUBLE_REQUIRED, CONTRACT_FLAGS, CONTRACT_INT_REQUIRED,
@@ -93,7 +93,7 @@ def q_counts(spark, sf):
     f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in ["store_id", "dept_id", "week_date", "weekly_sales", "isholiday"])
     + " FROM fact"))
 def q_nulls(spark, sf):
-    fact, _, _ = star(spark, sf)
+    fact = fx.fact_sales(spark, sf)
     cols = ["store_id", "dept_id", "week_date", "weekly_sales", "isholiday"]
     return fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
@@ -121,10 +121,10 @@ def q_contract(spark, sf):
     return v.unionByName(r).where(F.col("n_rows") > 0)
 
 
-@register("j4_non_empty_batch")
+@register("j4_non_empty_batch", with_base(FEATURE_CTES, "SELECT COUNT(*) AS n_rows FROM features WHERE split = 'test'"))
 def q_non_empty(spark, sf):
     """Raises on an empty batch; otherwise the batch's row count (rows-only check)."""
-    f = ck.require_non_empty(features(spark, sf).where(F.col("split") == "test"), "scoring batch")
+    f = ck.require_non_empty(shared_features(spark, sf).where(F.col("split") == "test"), "scoring batch")
     return f.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
