@@ -61,3 +61,19 @@ def test_contiguous_folds(spark):
     assert sizes == {0: 5, 1: 5, 2: 4, 3: 4, 4: 4}
     first = f.where((F.col("store_id") == 2) & (F.col("week_date") == 0)).first()["fold"]
     assert first == 2                                          # position 11
+
+
+def test_ridge_by_gradient_equals_the_exact_solution(spark):
+    from tillcast.operators import models as md
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 3))
+    y = x @ [2.0, -1.0, 0.5] + 3 + rng.normal(size=200)
+    rows = [(*map(float, r), float(t), i % 4) for i, (r, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double, fold int")
+    alphas = (0.1, 10.0, 100.0)
+    exact = md.ridge_cv(md.fold_statistics(df, ["a", "b", "c"], "y"), alphas)
+    near = md.ridge_by_gradient(df, ["a", "b", "c"], "y", alphas, 4)
+    assert near[0] == exact[0]
+    np.testing.assert_allclose(near[1], exact[1], rtol=1e-4)
+    np.testing.assert_allclose(near[3], exact[3], atol=1e-4)
+    assert abs(near[2] - exact[2]) < 1e-4

@@ -66,8 +66,11 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fit_medians(train: DataFrame, cols: list[str]) -> dict:
-    """L4: exact median per column (one distributed percentile pass over the long form)."""
-    med = exact_percentiles(_long(train, cols), "x", [0.5], by=["feature"]).collect()
+    """L4: exact median of the columns that hold a null, which are all that need one (one count
+    pass, then one distributed percentile pass over the long form of those); 0 for the others."""
+    nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    some = [c for c in cols if nulls[c]]
+    med = exact_percentiles(_long(train, some), "x", [0.5], by=["feature"]).collect() if some else []
     found = {r["feature"]: r["value"] for r in med}
     return {c: found.get(c, 0.0) for c in cols}
 
@@ -109,7 +112,7 @@ def fit_linear_prep(train: DataFrame) -> LinearPrep:
     levels = {c: category_levels(train, c) for c in CATEGORICAL}
     encoded = train.withColumns(one_hot_columns(levels))
     cols = numeric_inputs(train) + list(one_hot_columns(levels))
-    med = fit_medians(encoded, cols)
+    med = fit_medians(encoded, numeric_inputs(train)) | dict.fromkeys(one_hot_columns(levels), 0.0)
     imputed = encoded.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(med[c]))) for c in cols})
     return LinearPrep(levels, cols, med, fit_scaler(imputed, cols))
 
@@ -221,11 +224,44 @@ def fit_ridge(train: DataFrame, alphas=RIDGE_ALPHAS, folds: int = 5) -> RidgeMod
     train = durable(train.select(*KEYS, *[c for c in MODEL_INPUTS if c not in KEYS], TARGET))
     prep = fit_linear_prep(train)
     scaled = contiguous_folds(prep.transform(train), folds)
-    stats = fold_statistics(scaled, prep.inputs, TARGET)
-    alpha, scores, c, w = ridge_cv(stats, alphas)
+    if folds * (len(prep.inputs) + 1) ** 2 > MOST_CELLS:
+        alpha, scores, c, w = ridge_by_gradient(scaled, prep.inputs, TARGET, alphas, folds)
+    else:
+        alpha, scores, c, w = ridge_cv(fold_statistics(scaled, prep.inputs, TARGET), alphas)
     return RidgeModel(prep, alpha, c, w, scores)
 
 
+#: Cells of the per-fold products that tasks and driver may hold (8 bytes each); with more
+#: inputs the fits go by gradient, whose memory grows with the inputs, not their square.
+MOST_CELLS = 20_000_000
+
+
+def ridge_by_gradient(df: DataFrame, cols: list[str], label: str, alphas, folds: int, fold_col: str = "fold"):
+    """The same choice and fit as ``ridge_cv`` by distributed l-bfgs: (alpha, scores, intercept, coefficients)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    y = F.col(label).cast("double")
+    data = durable(VectorAssembler(inputCols=cols, outputCol="features").transform(
+        df.where(F.col(label).isNotNull()).withColumn(label, y)).select("features", label, fold_col))
+
+    def fit(rows, alpha):
+        # Spark penalises the mean squared error of the label scaled by its deviation, the ridge
+        # formula the sum of the plain one
+        n, spread = rows.agg(F.count(F.lit(1)), F.stddev_samp(label)).first()
+        return LinearRegression(featuresCol="features", labelCol=label, regParam=alpha * (spread or 1.0) / n, elasticNetParam=0.0,
+                                standardization=False, solver="l-bfgs", maxIter=500, tol=1e-10).fit(rows)
+
+    def mse(model, rows):
+        return model.transform(rows).agg(F.avg((F.col(label) - F.col("prediction")) ** 2)).first()[0]
+
+    scores = [float(np.mean([mse(fit(data.where(F.col(fold_col) != k), a), data.where(F.col(fold_col) == k))
+                             for k in range(folds)])) for a in alphas]
+    alpha = alphas[int(np.argmin(scores))]
+    best = fit(data, alpha)
+    return alpha, scores, float(best.intercept), best.coefficients.toArray()
+
+
 # -- L7-L10: boosted trees ------------------------------------------------------------------------------
 
 # Three parameter families standing in for the three boosting libraries

@@ -23,12 +23,13 @@ def volume_quartiles(df: DataFrame) -> DataFrame:
     (edges inclusive; a null mean falls through to Q4 like the reference)."""
     means = series_means(df)
     q = percentile_columns(means, "series_mean", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    m = F.col("series_mean")
-    label = (F.when(m <= q.select("p25").scalar(), QUARTILE_LABELS[0])
-              .when(m <= q.select("p50").scalar(), QUARTILE_LABELS[1])
-              .when(m <= q.select("p75").scalar(), QUARTILE_LABELS[2])
+    m, at = F.col("series_mean"), F.col("_q")
+    label = (F.when(m <= at["p25"], QUARTILE_LABELS[0])
+              .when(m <= at["p50"], QUARTILE_LABELS[1])
+              .when(m <= at["p75"], QUARTILE_LABELS[2])
               .otherwise(QUARTILE_LABELS[3]))
-    return means.select(*SERIES, "series_mean", label.alias("volume_quartile"))
+    points = q.select(F.struct("p25", "p50", "p75")).scalar()      # one subquery for the three
+    return means.withColumn("_q", points).select(*SERIES, "series_mean", label.alias("volume_quartile"))
 
 
 def top_departments(df: DataFrame, n: int = 10) -> DataFrame:

@@ -12,6 +12,7 @@ from tillcast.operators import evaluate as ev
 from tillcast.operators import segments as sg
 from tillcast.operators.split import take_split
 from tillcast.plans.feature_plans import SPLIT_SQL, split_view
+from tillcast.session import durable
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import KEYS, SERIES
 
@@ -330,7 +331,8 @@ cmp AS (SELECT store_id, dept_id, week_date, CAST(a.weekly_sales AS DOUBLE) AS a
 def _comparison(spark, sf):
     g, val = grid(spark, sf)
     s, d = ONE_SERIES
-    one = val.where((F.col("store_id") == s) & (F.col("dept_id") == d))
+    here = (F.col("store_id") == s) & (F.col("dept_id") == d)
+    one, g = val.where(here), durable(g.where(here))      # the grid of one series, planned once
     fc = {short: bl.predictions(g, name, P) for short, name in CMP.items()}
     return ev.compare_forecasts(one, fc)
 
@@ -362,4 +364,4 @@ SELECT * FROM predsn WHERE model = COALESCE((SELECT MAX(model) FROM predsn WHERE
                                             (SELECT MIN(model) FROM predsn))"""))
 def q_pick(spark, sf):
     preds, _ = all_val_predictions(spark, sf)
-    return ev.pick_predictions(preds, bl.HYBRID)
+    return ev.pick_predictions(durable(preds), bl.HYBRID)
