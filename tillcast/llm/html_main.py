@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.arrow_rows import map_rows
 from tillcast.llm.html_blocks import Block, blocks
+from tillcast.llm.sampling import labelled_sample
 
 PATH_CELLS = 128
 WORD_CELLS = 48
@@ -283,9 +284,8 @@ def fit_labeller(pages: list[str], seed: int = 3) -> Labeller:
 
 def page_sample(pages: DataFrame, most: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
     """At most ``most`` pages of up to ``chars`` characters, chosen by a hash of the page."""
-    rows = (pages.where(F.length("html").between(1, chars)).select("html", F.xxhash64("html").alias("k"))
-            .orderBy("k", "html").limit(most).collect())
-    return [r[0] for r in rows]
+    keyed = pages.where(F.length("html").between(1, chars)).select(F.col("html").alias("text"), F.lit("page").alias("kind"))
+    return [r[2] for r in labelled_sample(keyed, "kind", most, chars)]
 
 
 def main_text(page: list[Block], share: np.ndarray) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.arrow_rows import map_rows
-from tillcast.llm.sampling import labelled_sample
+from tillcast.llm.sampling import hash_share, labelled_sample
 
 DICTIONARY_BYTES = 32_768
 DICTIONARY_TEXT_BYTES = 3_000
@@ -107,8 +107,10 @@ def quality_sample(docs: DataFrame, labels: DataFrame) -> tuple[list, float]:
     disagree, or that are null, teaches nothing."""
     said = (labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
             .agg(F.min("quality").alias("quality"), F.max("quality").alias("_q")).where("quality = _q"))
-    rows = docs.select("doc_id", "text").join(said, F.col("doc_id") == F.col("_id")).select("text", "quality")
     counts = {r[0]: r[1] for r in said.groupBy("quality").count().collect()}
+    # a bounded share of the labelled ids is broadcast to fetch texts: documents are not shuffled
+    chosen = said.where(hash_share(F.xxhash64("_id"), F.col("quality"), counts, 3 * SAMPLE_PER_LABEL)).select("_id", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "quality")
     share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
     return [(r[0], r[2]) for r in labelled_sample(rows, "quality", SAMPLE_PER_LABEL, SAMPLE_TEXT_CHARS)], share
 

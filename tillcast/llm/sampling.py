@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,13 +13,27 @@ def crc_of(col: str) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+SPACE = 1 << 30
+
+
+def hash_share(key: Column, label: Column, sizes: dict, most: int) -> Column:
+    """Whether a row is among a hash share of its label's rows that is expected to hold ``most``
+    of ``sizes[label]``: what is kept does not grow with the input."""
+    keep = F.lit(False)
+    for value, n in sizes.items():
+        keep = keep | ((label == F.lit(value)) & (F.pmod(key, F.lit(SPACE)) < F.lit(math.ceil(SPACE * min(1.0, most / max(1, n))))))
+    return keep
+
+
 def labelled_sample(rows: DataFrame, label: str, per_label: int, most_chars: int) -> list:
-    """At most ``per_label`` rows of each label, chosen by a hash of the text (so the same
-    rows on any partitioning), of texts up to ``most_chars`` characters.  The rank limit is
-    applied before the shuffle too, so at most ``per_label`` rows a task and label move;
-    the driver gets labels * per_label * most_chars characters at most."""
-    key = F.xxhash64("text")
-    w = Window.partitionBy(label).orderBy("_key", "text")
-    fit = (rows.where(F.length("text").between(1, most_chars)).select("text", label, key.alias("_key"))
-           .withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= per_label))
-    return sorted(fit.select(label, "_key", "text").collect())
+    """At most ``per_label`` different texts of each label, chosen by a hash of the text (so the
+    same on any partitioning), of up to ``most_chars`` characters.  A hash share of about twice as
+    many is taken first, so what is shuffled and collected is bounded by labels * per_label *
+    most_chars, whatever the input.  Returns (label, key, text) rows."""
+    keyed = rows.where(F.length("text").between(1, most_chars)).select("text", label, F.xxhash64("text").alias("_key"))
+    sizes = {r[0]: r[1] for r in keyed.groupBy(label).agg(F.approx_count_distinct("_key")).collect()}
+    few = (keyed.where(hash_share(F.col("_key"), F.col(label), sizes, 2 * per_label))
+           .groupBy(label, "_key").agg(F.min("text").alias("text")))
+    w = Window.partitionBy(label).orderBy(F.xxhash64("_key"), "_key")
+    return sorted(few.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= per_label)
+                  .select(label, "_key", "text").collect())
