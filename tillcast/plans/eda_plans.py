@@ -9,6 +9,7 @@ from tillcast.plans.feature_plans import shared_view, view
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import MARKDOWNS, VIEW_COLUMNS
 from tillcast.session import durable
+from tillcast.sources.fixtures import DEFECT_CTES, defective, fact_sales
 
 N_TOP_STORES = 3   # only 5 stores in the stand-in data; 10 would return all of them
 N_TOP_DEPTS = 15
@@ -28,18 +29,18 @@ def q_missing(spark, sf):
     return eda.missing_values(view(spark, sf))
 
 
-@register("d4_duplicate_key_groups", with_base("", """
-SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM v
+@register("d4_duplicate_key_groups", with_base(DEFECT_CTES, """
+SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM bad
 GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1"""))
 def q_dup_groups(spark, sf):
-    return eda.duplicate_groups(view(spark, sf))
+    return eda.duplicate_groups(defective(fact_sales(spark, sf)))
 
 
-@register("d5_surplus_duplicates", with_base("", """
+@register("d5_surplus_duplicates", with_base(DEFECT_CTES, """
 SELECT CAST(COALESCE(SUM(c - 1), 0) AS BIGINT) AS duplicates
-FROM (SELECT COUNT(*) AS c FROM v GROUP BY store_id, dept_id, week_date)"""))
+FROM (SELECT COUNT(*) AS c FROM bad GROUP BY store_id, dept_id, week_date)"""))
 def q_surplus(spark, sf):
-    return eda.surplus_duplicates(view(spark, sf))
+    return eda.surplus_duplicates(defective(fact_sales(spark, sf)))
 
 
 @register("d6_date_range", with_base("", "SELECT MIN(week_date) AS min_date, MAX(week_date) AS max_date, COUNT(*) AS n_rows FROM v"))
@@ -151,10 +152,10 @@ def q_weeks(spark, sf):
     return eda.weeks_per_series(view(spark, sf))
 
 
-@register("d15_cold_start_series", with_base("", """
-SELECT store_id, dept_id, COUNT(*) AS n_weeks FROM v GROUP BY store_id, dept_id HAVING COUNT(*) < 26"""))
+@register("d15_cold_start_series", with_base(DEFECT_CTES, """
+SELECT store_id, dept_id, COUNT(*) AS n_weeks FROM bad GROUP BY store_id, dept_id HAVING COUNT(*) < 26"""))
 def q_cold(spark, sf):
-    return eda.cold_start(view(spark, sf))
+    return eda.cold_start(defective(fact_sales(spark, sf)))
 
 
 SERIES_STATS_CTE = f"""
@@ -265,12 +266,12 @@ def q_dtypes(spark, sf):
     return eda.dtypes_frame(view(spark, sf))
 
 
-@register("f6_duplicate_groups_head", with_base("", """
-SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM v GROUP BY store_id, dept_id, week_date
-HAVING COUNT(*) > 1 ORDER BY store_id, dept_id, week_date LIMIT 5"""))
+@register("f6_duplicate_groups_head", with_base(DEFECT_CTES, """
+SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM bad GROUP BY store_id, dept_id, week_date
+HAVING COUNT(*) > 1 ORDER BY store_id NULLS FIRST, dept_id, week_date LIMIT 5"""))
 def q_dup_head(spark, sf):
     """the first five duplicate key groups (top-k over the duplicate groups only)."""
-    return eda.duplicate_groups(view(spark, sf)).orderBy("store_id", "dept_id", "week_date").limit(5)
+    return eda.duplicate_groups(defective(fact_sales(spark, sf))).orderBy("store_id", "dept_id", "week_date").limit(5)
 
 
 @register("b16_markdown_flags", with_base("", f"""

@@ -27,7 +27,9 @@ def star(spark, sf):
 
 
 def suite(spark, sf):
+    """The suite over the fact with planted faults, so that each check has something to find."""
     fact, stores, depts = star(spark, sf)
+    fact = durable(fx.defective(fact))
     return ck.validation_suite(fact, stores, depts, expected=EXPECTED, view=fx.analytics_view(spark, sf, fact))
 
 
@@ -35,22 +37,22 @@ def staged(spark, sf):
     return ig.ingest(*raw_from_view(shared_view(spark, sf)))
 
 
-SUITE_SQL_CTES = """
+SUITE_SQL_CTES = fx.DEFECT_CTES + """,
 checks AS (
   SELECT 'row_count_dim_store' AS "check", COUNT(*) = 5 AS passed, 'error' AS severity, CAST(COUNT(*) AS VARCHAR) AS value FROM dim_store
   UNION ALL SELECT 'row_count_dim_dept', COUNT(*) > 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM dim_dept
-  UNION ALL SELECT 'row_count_fact', COUNT(*) > 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM fact
-  UNION ALL SELECT 'row_count_view', COUNT(*) = (SELECT COUNT(*) FROM fact), 'error', CAST(COUNT(*) AS VARCHAR) FROM v
+  UNION ALL SELECT 'row_count_fact', COUNT(*) > 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM bad
+  UNION ALL SELECT 'row_count_view', COUNT(*) = (SELECT COUNT(*) FROM bad), 'error', CAST(COUNT(*) AS VARCHAR) FROM bad JOIN dim_store USING (store_id) JOIN dim_dept USING (dept_id)
   UNION ALL SELECT 'null_values', n = 0, 'error', CAST(n AS VARCHAR) FROM (SELECT
       COUNT(*) FILTER (WHERE store_id IS NULL) + COUNT(*) FILTER (WHERE dept_id IS NULL)
-      + COUNT(*) FILTER (WHERE week_date IS NULL) + COUNT(*) FILTER (WHERE weekly_sales IS NULL) AS n FROM fact)
+      + COUNT(*) FILTER (WHERE week_date IS NULL) + COUNT(*) FILTER (WHERE weekly_sales IS NULL) AS n FROM bad)
   UNION ALL SELECT 'duplicate_keys', COUNT(*) = 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM (
-      SELECT 1 FROM fact GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1)
+      SELECT 1 FROM bad GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1)
   UNION ALL SELECT 'foreign_keys', COUNT(*) = 0, 'error', CAST(COUNT(*) AS VARCHAR) FROM (
-      SELECT 1 FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_store s WHERE s.store_id = f.store_id)
-      UNION ALL SELECT 1 FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_dept d WHERE d.dept_id = f.dept_id))
-  UNION ALL SELECT 'date_range', TRUE, 'warning', CAST(MIN(week_date) AS VARCHAR) || ' .. ' || CAST(MAX(week_date) AS VARCHAR) FROM fact
-  UNION ALL SELECT 'negative_values', TRUE, 'warning', CAST(COUNT(*) FILTER (WHERE weekly_sales < 0) AS VARCHAR) FROM fact
+      SELECT 1 FROM bad f WHERE NOT EXISTS (SELECT 1 FROM dim_store s WHERE s.store_id = f.store_id)
+      UNION ALL SELECT 1 FROM bad f WHERE NOT EXISTS (SELECT 1 FROM dim_dept d WHERE d.dept_id = f.dept_id))
+  UNION ALL SELECT 'date_range', TRUE, 'warning', CAST(MIN(week_date) AS VARCHAR) || ' .. ' || CAST(MAX(week_date) AS VARCHAR) FROM bad
+  UNION ALL SELECT 'negative_values', TRUE, 'warning', CAST(COUNT(*) FILTER (WHERE weekly_sales < 0) AS VARCHAR) FROM bad
 )"""
 
 
@@ -66,11 +68,12 @@ def q_suite_summary(spark, sf):
     return ck.suite_summary(suite(spark, sf))
 
 
-@register("j2_c3_orphans", with_base("", """
-SELECT 'store_id' AS key, COUNT(*) AS n_orphans FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_store s WHERE s.store_id = f.store_id)
-UNION ALL SELECT 'dept_id', COUNT(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_dept d WHERE d.dept_id = f.dept_id)"""))
+@register("j2_c3_orphans", with_base(fx.DEFECT_CTES, """
+SELECT 'store_id' AS key, COUNT(*) AS n_orphans FROM bad f WHERE NOT EXISTS (SELECT 1 FROM dim_store s WHERE s.store_id = f.store_id)
+UNION ALL SELECT 'dept_id', COUNT(*) FROM bad f WHERE NOT EXISTS (SELECT 1 FROM dim_dept d WHERE d.dept_id = f.dept_id)"""))
 def q_orphans(spark, sf):
     fact, ds, dd = star(spark, sf)
+    fact = fx.defective(fact)
     a = ck.orphans(fact, ds, "store_id").agg(F.lit("store_id").alias("key"), F.count(F.lit(1)).alias("n_orphans"))
     b = ck.orphans(fact, dd, "dept_id").agg(F.lit("dept_id").alias("key"), F.count(F.lit(1)).alias("n_orphans"))
     return a.unionByName(b)
@@ -158,14 +161,12 @@ def q_staged_dims(spark, sf):
     return a.unionByName(b)
 
 
-@register("j5_staging_violations", with_base(RAW_FEATURE_CTES, """
-SELECT COUNT(*) AS n_violations FROM stg
-WHERE store_id IS NULL OR dept_id IS NULL OR week_date IS NULL OR ABS(weekly_sales) >= 1e10
-  OR ABS(temperature) >= 1e4 OR ABS(fuel_price) >= 1e3 OR ABS(cpi) >= 1e3 OR ABS(unemployment) >= 1e3
-  OR GREATEST(ABS(markdown1), ABS(markdown2), ABS(markdown3), ABS(markdown4), ABS(markdown5)) >= 1e10"""))
+@register("j5_staging_violations", with_base(fx.DEFECT_CTES, """
+SELECT 'null key' AS reason, COUNT(*) AS n_violations FROM bad WHERE store_id IS NULL OR dept_id IS NULL OR week_date IS NULL
+UNION ALL SELECT 'cpi out of range', COUNT(*) FROM bad WHERE ABS(cpi) >= 1e3"""))
 def q_violations(spark, sf):
-    _, _, fact_stg = staged(spark, sf)
-    return ck.staging_range_violations(fact_stg).agg(F.count(F.lit(1)).alias("n_violations"))
+    v = ck.staging_range_violations(fx.defective(fx.fact_sales(spark, sf)))
+    return v.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_violations"))
 
 
 # -- merges: target = rows up to mid-2000, staging = restated rows from 2000 on --------------
@@ -208,11 +209,13 @@ def q_upsert_fact(spark, sf):
                       "fuel_price", "cpi", "unemployment") else F.col(c) for c in FACT_COLS])
 
 
-@register("k4_staging_duplicate_keys", with_base(MERGE_CTES, """
-SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM stgm GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1"""))
+@register("k4_staging_duplicate_keys", with_base(fx.DEFECT_CTES, f"""
+SELECT store_id, dept_id, week_date, COUNT(*) AS n_rows FROM bad WHERE week_date >= DATE '{STAGING_START}'
+GROUP BY store_id, dept_id, week_date HAVING COUNT(*) > 1"""))
 def q_stage_dups(spark, sf):
-    _, staging = merge_inputs(spark, sf)
+    """K4: the duplicate keys for which an update merge of this staging is refused."""
     from tillcast.operators.eda import duplicate_groups
+    staging = fx.defective(fx.fact_sales(spark, sf)).where(F.col("week_date") >= F.lit(STAGING_START).cast("date"))
     return duplicate_groups(staging)
 
 

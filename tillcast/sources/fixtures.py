@@ -198,3 +198,26 @@ v AS (
     f.markdown4, f.markdown5, f.cpi, f.unemployment
   FROM fact f JOIN dim_store s ON f.store_id = s.store_id JOIN dim_dept d ON f.dept_id = d.dept_id
 )"""
+
+
+def defective(fact: DataFrame) -> DataFrame:
+    """The fact with faults that depend on the keys alone, for the checks to find: unknown and null
+    stores, unknown departments (which are also short series), null sales, cpi beyond its precision,
+    repeated rows."""
+    h = F.col("store_id") * 31 + F.col("dept_id") * 17 + F.datediff("week_date", F.lit("1992-01-01").cast("date"))
+    rows = fact.withColumn("_h", h).withColumns({
+        "store_id": F.when(F.col("_h") % 113 == 4, 99).when(F.col("_h") % 101 != 0, F.col("store_id")),
+        "dept_id": F.when(F.col("_h") % 109 == 3, F.col("dept_id") + 900).otherwise(F.col("dept_id")),
+        "weekly_sales": F.when(F.col("_h") % 103 != 1, F.col("weekly_sales")),
+        "cpi": (F.when(F.col("_h") % 107 == 2, F.col("cpi") + 2000).otherwise(F.col("cpi"))).cast("decimal(12,7)")})
+    return rows.unionByName(rows.where(F.col("_h") % 127 == 5)).drop("_h")
+
+
+DEFECT_CTES = """
+marked AS (SELECT *, store_id * 31 + dept_id * 17 + datediff('day', DATE '1992-01-01', week_date) AS h FROM fact),
+faulty AS (
+  SELECT CASE WHEN h % 113 = 4 THEN 99 WHEN h % 101 <> 0 THEN store_id END AS store_id,
+    CASE WHEN h % 109 = 3 THEN dept_id + 900 ELSE dept_id END AS dept_id, week_date,
+    CASE WHEN h % 103 <> 1 THEN weekly_sales END AS weekly_sales,
+    CASE WHEN h % 107 = 2 THEN cpi + 2000 ELSE cpi END AS cpi, h FROM marked),
+bad AS (SELECT * FROM faulty UNION ALL SELECT * FROM faulty WHERE h % 127 = 5)"""
