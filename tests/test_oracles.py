@@ -9,8 +9,8 @@ from tools.oracle_check import compare
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-SLOW = {"l7_gbt_leaf_wise", "l8_gbt_ordered", "l9_gbt_level_wise", "l10_feature_importance",
-        "l19_l20_model_comparison", "l18_refit_test_metrics", "l18_gbt_refit_test_metrics"}
+# Further boosted fits of the kind that l7 runs: minutes each
+SLOW = {"l8_gbt_ordered", "l9_gbt_level_wise", "l10_feature_importance", "l18_gbt_refit_test_metrics"}
 
 
 def test_every_oracle_has_a_query():
@@ -25,8 +25,12 @@ def test_matches_oracle(spark, duck, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_rows_only_query_runs(spark, key):
-    df = QUERIES[key](spark, SMALL)
-    assert df.count() >= 0
+    rows = QUERIES[key](spark, SMALL).collect()
+    assert rows
+    if key.startswith(("l7_", "l11_", "l18_", "l19_")):
+        assert all(r["rmse"] > 0 and r["n_samples"] > 0 for r in rows)
+    if key == "l7_gbt_leaf_wise":
+        assert rows[0]["stopped"] in ("patience", "rounds") and rows[0]["n_trees"] <= rows[0]["rounds_fitted"]
 
 
 def test_entry_smoke(spark):
