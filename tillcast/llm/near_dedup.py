@@ -219,8 +219,10 @@ def near_classes(reps: DataFrame, texts: DataFrame, size: int, percent: int) ->
     """
     classes = Classes()
     rows = candidate_tables(reps)
-    sets = durable(shingle_sets(texts.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"),
-                                size))
+    members = texts.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # repeated rows of a representative are one set, so that they multiply no pair
+    members = members.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
+    sets = durable(shingle_sets(members, size))
     apart = rows.where("a <> rep")
     classes.link(_verified(apart.select("a", "na", F.col("rep").alias("b"), F.col("n").alias("nb")), sets, percent))
     # a table of two is settled by its star; of the others the members beside the centre remain
