@@ -81,11 +81,20 @@ def fit_languages(sample: list[tuple[str, str]], landmarks: int = 40, ridge: flo
     if not sets:
         return LanguageModel((), np.zeros((CELLS, 0)))
     marks = [s for lang in languages for s in [s for x, s in sets if x == lang][:landmarks]]
-    rows = np.zeros((CELLS, len(marks)), np.float32)
+    # only the landmarks' own cells carry weight: the matrix has a row for each of those
+    cells = np.unique(np.concatenate(marks))
+    place = np.full(CELLS, -1, np.int32)
+    place[cells] = np.arange(len(cells))
+    rows = np.zeros((len(cells), len(marks)), np.float32)
     for j, s in enumerate(marks):
-        rows[s, j] = 1 / np.sqrt(len(s))
-    k = np.stack([rows[s].sum(0) / np.sqrt(len(s)) for _, s in sets]).astype(np.float64)
-    k_mm = np.stack([rows[s].sum(0) / np.sqrt(len(s)) for s in marks]).astype(np.float64)
+        rows[place[s], j] = 1 / np.sqrt(len(s))
+
+    def kernel(s):
+        at = place[s]
+        return rows[at[at >= 0]].sum(0) / np.sqrt(len(s))
+
+    k = np.stack([kernel(s) for _, s in sets]).astype(np.float64)
+    k_mm = np.stack([kernel(s) for s in marks]).astype(np.float64)
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
     values = np.maximum(values, 1e-6)
     root = vectors / np.sqrt(values) @ vectors.T
@@ -93,8 +102,9 @@ def fit_languages(sample: list[tuple[str, str]], landmarks: int = 40, ridge: flo
     y = np.array([[1.0 if lang == x else -1.0 for x in languages] for lang, _ in sets])
     mean = y.mean(0) if len(languages) > 1 else np.zeros(1)
     beta = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ (y - mean))
-    # the class means are carried by the weights' own scale: languages of few rows are not pushed down
-    return LanguageModel(languages, rows.astype(np.float64) @ (root @ beta))
+    weights = np.zeros((CELLS, len(languages)))
+    weights[cells] = rows @ (root @ beta).astype(np.float32)
+    return LanguageModel(languages, weights)
 
 
 def language_sample(docs: DataFrame, per_language: int = 400, most_chars: int = 20_000) -> list:
