@@ -123,6 +123,17 @@ def test_shard_edges(spark, hostile, no_docs):
     assert sum(len(g) > 1 for t, g in groups.items() if t != hot) <= 9 and len(groups[hot]) <= 9
 
 
+def test_linked_pairs_meet_though_one_line_is_in_every_text(spark):
+    everywhere = "this one footer stands at the end of every single text here"
+    rows = [(i, f"text {i}\nthe line that only pair number {i // 2:06d} has in common\n{everywhere}") for i in range(4000)]
+    out = shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    law_holds(out, 16, 4000)
+    at = {r.doc_id: r.shard for r in out}
+    apart = sum(at[i] != at[i + 1] for i in range(0, 4000, 2))
+    print("pairs apart", apart)
+    assert all(r.linked for r in out) and apart < 400
+
+
 def test_licenses_equal_brute_force_windows(spark):
     rng = random.Random(6)
     docs = []

@@ -2,9 +2,10 @@
 
 Vertices are the groups of equal texts (a group moves as one), links are the lines that
 different texts share.  Every round each group looks at the shards of the groups it shares
-lines with and wants the shard where most of them are; moves are admitted by gain, up to the
-free capacity of the wanted shard.  Groups without links then fill the shards up, and a cut of
-the resulting order at exact quantiles makes the row counts at most one apart (law ``rows``).
+lines with and wants the shard where most of them are; moves against each other are swapped,
+and what is left is admitted by gain, up to the free capacity of the wanted shard.  Groups
+without links then fill the shards up, and a cut of the resulting order at exact quantiles
+makes the row counts at most one apart (law ``rows``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from tillcast.llm.ranks import ranked
 from tillcast.session import durable
 
 SHARDS = 16
-ROUNDS = 4
+ROUNDS = 8
 LINE_CHARS = 40
 GAIN_STEPS = 8
 
@@ -40,20 +41,72 @@ def _moves(state: DataFrame, edges: DataFrame, shards: int, step: int) -> DataFr
 
     A line pulls with the share of its groups that each shard holds, so a line that very many
     texts share pulls weakly and evenly.  The histogram of a line is combined map-side and is
-    one row of ``shards`` numbers.  Even and odd rounds move up and down, so that two linked
-    groups do not swap places for ever."""
+    one row of ``shards`` numbers.  A hash picks the half of the groups that may move in a round,
+    so that two linked groups do not swap places for ever."""
     placed = edges.join(state.select("cell", "chunk", "label"), "cell")
     count = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)) for k in range(shards)]
     hist = durable(placed.groupBy("hub").agg(F.array(*count).alias("h"), F.count(F.lit(1)).alias("n")))
     pull = [F.sum(F.col("h")[k] / F.col("n")) for k in range(shards)]
     wants = (placed.join(hist, "hub").groupBy("cell", "chunk", "label")
              .agg(F.array(*pull).alias("p"), F.sum(1 / F.col("n")).alias("self"), F.count(F.lit(1)).alias("degree")))
-    own = F.get("p", F.col("label")) - F.col("self")
-    best = F.array_max("p")
+    # what a group itself adds to its own shard does not hold it there
+    wants = wants.withColumn("p", F.transform("p", lambda x, k: x - F.when(k == F.col("label"), F.col("self")).otherwise(0)))
+    own, best = F.get("p", F.col("label")), F.array_max("p")
     out = wants.select("cell", "chunk", "label", (F.array_position("p", best) - 1).cast("int").alias("target"),
                        ((best - own) / F.col("degree")).alias("gain"))
-    way = F.col("target") > F.col("label") if step % 2 == 0 else F.col("target") < F.col("label")
-    return out.where((F.col("gain") > 1e-9) & way)
+    turn = F.pmod(F.xxhash64("cell", "chunk", F.lit(~step)), F.lit(2)) == 0
+    return out.where((F.col("gain") > 1e-9) & (F.col("target") != F.col("label")) & turn)
+
+
+def _cycle(rest: dict) -> list:
+    """A shortest cycle of shards along which volume still wants to move, or none."""
+    best: list = []
+    for a in sorted({a for a, _ in rest}):
+        paths = {a: [a]}
+        queue = [a]
+        for x in queue:
+            if best and len(paths[x]) >= len(best):
+                break
+            if (x, a) in rest:
+                best = paths[x]
+                break
+            for y in sorted(t for f, t in rest if f == x and t not in paths):
+                paths[y] = [*paths[x], y]
+                queue.append(y)
+    return best
+
+
+def _flows(volumes: dict, load: dict, quota: float) -> dict:
+    """How much of each ``volumes[from, to, gain step]`` moves.  Volumes in a cycle (two shards
+    that want each other's groups, or more) change no load and go first; the rest goes by gain
+    into free capacity, which every move opens where it comes from."""
+    rest = {}
+    for (a, b, _), v in volumes.items():
+        rest[a, b] = rest.get((a, b), 0.0) + v
+    flow = dict.fromkeys(rest, 0.0)
+    while ring := _cycle(rest):
+        hops = list(zip(ring, ring[1:] + ring[:1]))
+        least = min(rest[h] for h in hops)
+        for h in hops:
+            flow[h] += least
+            rest[h] -= least
+            if rest[h] <= 1e-9:
+                del rest[h]
+    out = {}
+    for a, b, level in sorted(volumes, key=lambda k: -k[2]):
+        out[a, b, level] = min(volumes[a, b, level], flow[a, b])
+        flow[a, b] -= out[a, b, level]
+    load, moved = dict(load), True
+    while moved:
+        moved = False
+        for k in sorted(volumes, key=lambda k: (-k[2], -volumes[k], k)):
+            take = min(volumes[k] - out[k], quota - load[k[1]])
+            if take > 1e-6 * quota:
+                out[k] += take
+                load[k[1]] += take
+                load[k[0]] -= take
+                moved = True
+    return out
 
 
 def _admit(state: DataFrame, moves: DataFrame, quota: float, shards: int, step: int) -> DataFrame:
@@ -63,13 +116,9 @@ def _admit(state: DataFrame, moves: DataFrame, quota: float, shards: int, step:
     load |= {r[0]: float(r[1]) for r in state.groupBy("label").agg(F.sum("w")).collect()}
     m = durable(moves.join(state.select("cell", "chunk", "w"), ["cell", "chunk"]).withColumn(
         "level", F.least(F.floor(F.col("gain") * GAIN_STEPS), F.lit(GAIN_STEPS - 1)).cast("int")))
-    volumes = m.groupBy("label", "target", "level").agg(F.sum("w").alias("v")).collect()
-    admitted = []
-    for r in sorted(volumes, key=lambda r: (-r["level"], -float(r["v"]), r["label"], r["target"])):
-        take = max(0.0, min(float(r["v"]), quota - load[r["target"]]))
-        load[r["target"]] += take
-        load[r["label"]] -= take
-        admitted.append((r["label"], r["target"], r["level"], take / float(r["v"])))
+    volumes = {(r[0], r[1], r[2]): float(r[3])
+               for r in m.groupBy("label", "target", "level").agg(F.sum("w")).collect()}
+    admitted = [(*k, take / volumes[k]) for k, take in sorted(_flows(volumes, load, quota).items())]
     share = state.sparkSession.createDataFrame(admitted, "label int, target int, level int, share double")
     luck = F.pmod(F.xxhash64("cell", "chunk", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)
     go = (m.join(F.broadcast(share), ["label", "target", "level"]).where(luck < F.col("share"))
