@@ -71,6 +71,23 @@ def test_language_edges(spark, hostile, no_docs):
     assert {r.lang_pred for r in predict_languages(hostile, one).collect()} == {"de", "und"}
 
 
+def test_long_texts_and_pages_teach(spark):
+    words = {"en": "the river runs past the old mill and ", "de": "der alte Müller zählt die Säcke und "}
+    docs = spark.createDataFrame([(i, w * (900 + i), lang) for i, (lang, w) in enumerate(words.items())],
+                                 "doc_id long, text string, lang string")
+    sample = language_sample(docs)
+    assert sorted(lang for lang, _ in sample) == ["de", "en"] and all(len(t) == 20_000 for _, t in sample)
+    said = predict_languages(docs, fit_languages(sample)).collect()
+    assert {r.doc_id: r.lang_pred for r in said} == {0: "en", 1: "de"}
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    assert {q for q, _ in quality_sample(docs, labels)[0]} == {0, 1}
+    page = ("<html><body><nav><p>Home</p></nav><article>" + "<p>Some words of the article, of one length.</p>" * 2000
+            + "</article><footer><p>Contact</p></footer></body></html>")
+    assert page_sample(spark.createDataFrame([(1, page)], "page_id long, html string")) == [page]
+    with pytest.raises(ValueError):
+        fit_labeller(["<html></html>"])
+
+
 def auc(score, good):
     rank = np.argsort(np.argsort(score)) + 1
     n = good.sum()

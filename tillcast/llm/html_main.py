@@ -269,7 +269,8 @@ def altered(page: str, rng) -> str:
 
 
 def fit_labeller(pages: list[str], seed: int = 3) -> Labeller:
-    """The labeller trained on the pages and two altered copies of each."""
+    """The labeller trained on the pages and two altered copies of each.  Pages without a block
+    teach nothing; if there are pages but none teaches, an error is raised."""
     rng = np.random.default_rng(seed)
     data = []
     for page in pages:
@@ -279,13 +280,16 @@ def fit_labeller(pages: list[str], seed: int = 3) -> Labeller:
             if len(seq) > TRAIN_BLOCKS:
                 seq = seq[:TRAIN_BLOCKS // 2] + seq[-TRAIN_BLOCKS // 2:]
             data.append((vectors(seq), weak_labels(seq)))
+    if pages and not any(len(x) for x, _ in data[::3]):      # the altered copies have put-in blocks
+        raise ValueError("no page of the sample has a text block to train on")
     return train(data, seed=seed)
 
 
 def page_sample(pages: DataFrame, most: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
-    """At most ``most`` pages of up to ``chars`` characters, chosen by a hash of the page."""
-    keyed = pages.where(F.length("html").between(1, chars)).select(F.col("html").alias("text"), F.lit("page").alias("kind"))
-    return [r[2] for r in labelled_sample(keyed, "kind", most, chars)]
+    """At most ``most`` whole pages, chosen by a hash of the page: fewer when they are long, so that
+    there are about ``most`` * ``chars`` characters at most, but one page at least."""
+    keyed = pages.where(F.length("html") > 0).select(F.col("html").alias("text"), F.lit("page").alias("kind"))
+    return [r[2] for r in labelled_sample(keyed, "kind", most, chars, whole=True)]
 
 
 def main_text(page: list[Block], share: np.ndarray) -> str:
