@@ -16,15 +16,15 @@ from tillcast.llm.queries import table
 from tillcast.llm.sharding import shard_documents
 from tillcast.session import ensure_checkpoint_dir
 
-#: A document goes if its best language has less than this share of the score.
-LEAST_SCORE = 0.28
+#: A document goes if its best language leads by less than this share of the sample's median lead.
+LEAST_MARGIN = 0.025
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; those without letters, or that no language claims, go."""
     model = fit_languages(language_sample(docs))
     said = predict_languages(docs, model)
-    bad = (said.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < LEAST_SCORE))
+    bad = (said.where((F.col("lang_pred") == UNDETERMINED) | (F.col("margin") < LEAST_MARGIN))
            .select(F.col("doc_id").alias("_bad")).distinct())
     lettered = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
     # rows without doc_id cannot be named in a list of rejects: they go by their letters alone

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from corpus_pipeline import STAGES, run
 from pyspark.sql import functions as F
@@ -39,6 +41,20 @@ def test_stages_against_brute_force(spark, tmp_path):
         assert order == sorted(order)
 
 
+def test_languages_are_rejected_alike_for_any_number_of_them(spark):
+    def word(rng, k):      # language k has letters of its own among shared ones
+        return "".join(rng.choice([chr(0x4E00 + 8 * k + rng.randrange(8)), rng.choice("abcdefgh")]) for _ in range(6))
+
+    schema = "doc_id long, text string, lang string"
+    for languages in (1, 2, 4, 40):
+        rng = random.Random(languages)
+        rows = [(k * 20 + i, " ".join(word(rng, k) for _ in range(60)), f"l{k:02d}") for k in range(languages) for i in range(20)]
+        short = [(10_000 + k, " ".join(word(rng, k) for _ in range(4)), None) for k in range(languages)]
+        junk = [(20_000, "щжыэ юяфц ъьчш", None)]
+        left = {r.doc_id for r in corpus_pipeline.language_id(spark, spark.createDataFrame(rows + short + junk, schema), SF).collect()}
+        assert left == {r[0] for r in rows + short}
+
+
 def test_run_writes_the_stages(spark):
     rows = run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {"doc_id", "shard", "slot"} <= set(rows[0].asDict())

@@ -34,6 +34,7 @@ UNDETERMINED = "und"
 class LanguageModel:
     languages: tuple
     weights: np.ndarray          # (CELLS, languages)
+    usual: float = 1.0           # median margin of the sample's own texts
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """(texts, languages) ridge outputs: the presence matrix times the weights."""
@@ -48,6 +49,15 @@ class LanguageModel:
         return out
 
 
+def margins(scores: np.ndarray) -> np.ndarray:
+    """Best ridge output less the runner-up's (of one language alone, its output).  The targets of
+    right and wrong language are 2 apart however many languages there are."""
+    if scores.shape[1] < 2:
+        return scores.max(1)
+    top = np.partition(scores, -2, axis=1)[:, -2:]
+    return top[:, 1] - top[:, 0]
+
+
 def presence(text: str) -> np.ndarray:
     """Sorted cells of the n-grams present in the whole text."""
     words = set(text.lower().split())
@@ -104,7 +114,7 @@ def fit_languages(sample: list[tuple[str, str]], landmarks: int = 40, ridge: flo
     beta = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ (y - mean))
     weights = np.zeros((CELLS, len(languages)))
     weights[cells] = rows @ (root @ beta).astype(np.float32)
-    return LanguageModel(languages, weights)
+    return LanguageModel(languages, weights, float(np.median(margins(phi @ beta))) or 1.0)
 
 
 def language_sample(docs: DataFrame, per_language: int = 400, most_chars: int = 20_000) -> list:
@@ -114,10 +124,12 @@ def language_sample(docs: DataFrame, per_language: int = 400, most_chars: int =
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred, score for every row, from the whole text alone.
+    """doc_id, lang_pred, score, margin for every row, from the whole text alone.
 
-    ``score`` is the softmax share (0 to 1) of the chosen language.  Null, empty or
-    letter-free text: ``und`` and score 0.  Ties go to the language that sorts first.
+    ``score`` is the softmax share (0 to 1) of the chosen language, at least 1 / languages.
+    ``margin`` is its lead over the runner-up as a multiple of the sample's median lead, which
+    does not depend on the number of languages.  Null, empty or letter-free text: ``und``, score
+    and margin 0.  Ties go to the language that sorts first.
     Repeated rows get equal results; a null doc_id is carried along.  With nothing to learn
     from, every row is ``und``.  No rows: no rows.  Columns other than doc_id and text are
     ignored."""
@@ -128,18 +140,19 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
         def fn(cols):
             texts = cols["text"].to_pylist()
-            pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            pred, score, margin = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
             at = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if m.languages else []
             if at:
                 s = m.scores([texts[i] for i in at])
                 best = s.argmax(1)
                 e = np.exp(3 * (s - s.max(1, keepdims=True)))
                 score[at] = 1 / e.sum(1)
+                margin[at] = margins(s) / m.usual
                 for i, b in zip(at, best):
                     pred[i] = m.languages[b]
-            return {"doc_id": cols["doc_id"], "lang_pred": pred, "score": score}
+            return {"doc_id": cols["doc_id"], "lang_pred": pred, "score": score, "margin": margin}
 
         return fn
 
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make,
-                    "doc_id long, lang_pred string, score double")
+                    "doc_id long, lang_pred string, score double, margin double")
