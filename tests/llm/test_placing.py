@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillcast.llm.licenses import TEMPLATES, Template, band_count, license_hits, licenses_of, words_of
+from tillcast.llm.licenses import all_templates, TEMPLATES, Template, band_count, license_hits, licenses_of, words_of
 from tillcast.llm.mixing import in_mixed_order, mix_sources, period, phases
 from tillcast.llm.neighbours import nearest
 from tillcast.llm.queries import QUERIES
@@ -163,6 +163,18 @@ def test_licenses_equal_brute_force_windows(spark):
                 assert got[i, name] <= whole + 1e-9 and whole >= 0.8
 
 
+def test_common_licenses_are_found(spark):
+    body = dict(all_templates())["GPL-2-whole"]
+    docs = {1: "A page. Licensed under CC BY-ND 4.0. More of it.", 2: "some words before\n" + body + "\nand after",
+            3: "# " + TEMPLATES["ISC"].replace(" this software ", " this\n# software "), 4: "GNU Affero is named here",
+            5: TEMPLATES["Unlicense"], 6: TEMPLATES["EPL-2.0"], 7: TEMPLATES["AGPL-3.0-or-later-header"], 8: TEMPLATES["BSD-disclaimer"]}
+    rows = licenses_of(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).where("containment = 1").collect()
+    got = {(r.doc_id, r.template) for r in rows}
+    assert {(1, "CC-BY-ND-4.0-short"), (2, "GPL-2-whole"), (3, "ISC"), (5, "Unlicense"), (6, "EPL-2.0"),
+            (7, "AGPL-3.0-or-later-header"), (8, "BSD-disclaimer")} <= got
+    assert not any(i == 4 for i, _ in got)
+
+
 def test_license_edges_and_bands(spark, hostile, no_docs):
     assert band_count(10, 10, 1.0) == 1
     for t, window in ((1, 8), (80, 130)):

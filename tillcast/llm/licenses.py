@@ -11,6 +11,7 @@ the bands retrieve is decided by the exact containment of shingles.
 from __future__ import annotations
 
 import math
+import pkgutil
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -60,7 +61,75 @@ TEMPLATES = {
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     "all-rights-reserved": "All rights reserved.",
-}
+    "GPL-2.0-or-later-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "GPL-2.0-only-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License version 2 as published by the Free Software Foundation."),
+    "GPL-warranty": (
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+        "for more details."),
+    "LGPL-2.1-or-later-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."),
+    "LGPL-3.0-or-later-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "AGPL-3.0-or-later-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."),
+    "MIT-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"),
+    "BSD-3-Clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "EPL-1.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "v1.0 which accompanies this distribution"),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software."),
+} | {
+    f"CC-BY{code}-4.0-notice": (
+        f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License.")
+    for code, name in (("-SA", "ShareAlike"), ("-ND", "NoDerivatives"), ("-NC", "NonCommercial"),
+                       ("-NC-SA", "NonCommercial-ShareAlike"), ("-NC-ND", "NonCommercial-NoDerivatives"))
+} | {f"CC-BY{code}-4.0-short": f"Licensed under CC BY{code} 4.0." for code in ("-ND", "-NC-SA", "-NC-ND")}
+
+#: Whole licenses, in license_texts.
+BODIES = ("Apache-2.0", "Artistic", "CC0-1.0", "GFDL-1.3", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0")
+
+
+def all_templates() -> list[tuple[str, str]]:
+    """(name, text) of the notices and of the whole licenses."""
+    whole = {f"{n}-whole": pkgutil.get_data("tillcast.llm", f"license_texts/{n}.txt").decode() for n in BODIES}
+    return sorted((TEMPLATES | whole).items())
 
 
 def words_of(text: str) -> list[bytes]:
@@ -102,6 +171,7 @@ class Bands:
     seeds: np.ndarray
     lows: np.ndarray      # (bands, templates)
     templates: tuple
+    least: int            # shingles that a text needs to hold any of the templates
 
     @staticmethod
     def of(templates: list[Template], contained: float) -> Bands:
@@ -111,7 +181,8 @@ class Bands:
         n = max(band_count(len(t.shingles), blocks * stride, contained) for t in templates)
         seeds = mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
         lows = np.array([[_permuted(t.shingles, s).min() for t in templates] for s in seeds], np.uint64)
-        return Bands(size, stride, blocks, seeds, lows, tuple(templates))
+        least = min(math.ceil(contained * len(t.shingles) - 1e-9) for t in templates)
+        return Bands(size, stride, blocks, seeds, lows, tuple(templates), max(1, least))
 
     def retrieve(self, grams: np.ndarray) -> set[tuple[int, int]]:
         """(first shingle of a window, template) pairs that agree in a band."""
@@ -137,13 +208,15 @@ def scan(texts: list[str], classes: list[Bands], hashes: WordHashes, contained:
     """(text, template, containment, first word, words) of the windows that hold a template.
     Texts are laid end to end; a shingle never spans two of them, and a window that does is
     judged by its part in each."""
-    words = [hashes.of(words_of(t or "")) for t in texts]
-    ends = np.cumsum([len(w) for w in words])
-    flat = np.concatenate([*words, np.empty(0, np.uint64)])
-    owner = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    every = [hashes.of(words_of(t or "")) for t in texts]
     for c in classes:
-        if len(flat) < c.size:
+        # shorter texts cannot hold enough of any template of the class
+        long = [i for i, w in enumerate(every) if len(w) - c.size + 1 >= c.least]
+        if not long:
             continue
+        words = [every[i] for i in long]
+        ends = np.cumsum([len(w) for w in words])
+        flat, owner = np.concatenate(words), np.repeat(np.arange(len(words)), [len(w) for w in words])
         grams = gram_hashes(flat, c.size)
         grams[owner[:len(grams)] != owner[c.size - 1:]] = NONE
         for first, j in sorted(c.retrieve(grams)):
@@ -153,7 +226,7 @@ def scan(texts: list[str], classes: list[Bands], hashes: WordHashes, contained:
                 share = len(np.intersect1d(grams[a:b], t.shingles)) / len(t.shingles)
                 if share >= contained - 1e-12:
                     begin = int(ends[text - 1]) if text else 0
-                    yield text, t.name, share, int(a) - begin, int(min(b + c.size - 1, ends[text]) - a)
+                    yield long[text], t.name, share, int(a) - begin, int(min(b + c.size - 1, ends[text]) - a)
 
 
 def license_hits(docs: DataFrame, templates: list[tuple[str, str]] | None = None, shingle: int = SHINGLE,
@@ -161,14 +234,14 @@ def license_hits(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     """Windows that hold a template: doc_id, template, containment (share of the template's
     distinct shingles in the window), first_word, words (of the window).
 
-    ``templates``: (name, text) pairs, by default TEMPLATES.  They go to the tasks in blocks of
+    ``templates``: (name, text) pairs, by default all_templates().  They go to the tasks in blocks of
     BLOCK_TEMPLATES, each block reading the documents once; documents are never shuffled.
     Templates of fewer words than ``shingle`` are one shingle of all their words; those without
     words match nothing.  Null, empty or wordless texts have no window.  Null doc_id is carried;
     repeated rows give their hits each.  No rows on either side: no rows.  Other columns are
     ignored."""
     spark = docs.sparkSession
-    known = [Template.of(n, x or "", shingle) for n, x in sorted(templates if templates is not None else TEMPLATES.items())]
+    known = [Template.of(n, x or "", shingle) for n, x in sorted(templates if templates is not None else all_templates())]
     known = [t for t in known if t]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     parts = []
