@@ -114,3 +114,21 @@ def test_null_series_mean_falls_to_top_quartile_and_zero_total(spark):
     assert q[5] == segments.QUARTILE_LABELS[3] and q[1] == segments.QUARTILE_LABELS[0]
     top = [r["dept_id"] for r in segments.top_departments(df, 10).collect()]
     assert 5 in top                                     # all-null total counts as 0, still ranked
+
+
+def test_boosting_queries_use_the_full_rounds_and_patience(monkeypatch):
+    from tillcast.config import DEFAULT
+    from tillcast.plans import model_plans as mp
+
+    class Asked(Exception):
+        pass
+
+    def asked(train, val, family, rounds, patience, *rest):
+        raise Asked(rounds, patience)
+
+    monkeypatch.setattr(mp, "feature_splits", lambda spark, sf: (None, None, None))
+    monkeypatch.setattr(mp.md, "fit_gbt_family", asked)
+    for q in (mp._gbt_query("GBT ordered"), mp.q_importance):
+        with pytest.raises(Asked) as said:
+            q(None, "")
+        assert said.value.args == (DEFAULT.boosting_rounds, DEFAULT.boosting_patience) == (1000, 50)

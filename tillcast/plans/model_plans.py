@@ -20,9 +20,7 @@ from tillcast.session import durable
 
 P = DEFAULT
 GATE = bl.SEASONAL_NAIVE
-# The registered queries stop their nine fits earlier than the library's 1,000 rounds and
-# patience of 50, which would take hours on one machine; the column ``stopped`` tells.
-QUERY_ROUNDS, QUERY_PATIENCE = 20, 5
+QUERY_ROUNDS, QUERY_PATIENCE = P.boosting_rounds, P.boosting_patience
 
 
 def feature_splits(spark, sf):
