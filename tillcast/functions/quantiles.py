@@ -1,19 +1,15 @@
 """Exact percentiles (linear interpolation, as pandas / numpy / DuckDB quantile_cont)
-without pulling a whole column or group into one aggregation buffer.
-
-Spark's ``percentile`` keeps every distinct value of a group in one buffer on
-one task, and ``percentile_approx`` is not exact.  Here the rank search is
-distributed instead:
-
-1. count rows per distinct (group, value) -- map-side combined;
-2. materialise those counts (the source is read once), range-partition them
-   by (group, value), tag each row with its partition and cut lineage with a
-   reliable checkpoint so that the tagging is stable if a task is re-run;
-3. total rows per (group, partition): at most groups x partitions rows;
-   a running sum over partitions gives each partition's first rank;
-4. a running sum within (group, partition) gives each value's rank span;
-5. keep the (at most two per requested probability) values whose span holds
-   rank floor(q(n-1)) or ceil(q(n-1)) and interpolate.
+without sorting or shuffling the values, and without a group's values in one buffer.
+
+Spark's ``percentile`` keeps every distinct value of a group in one buffer on one task, and
+``percentile_approx`` is not exact but bounded: the value it gives lies at most n / accuracy ranks
+off.  So it serves to find a narrow bracket that must hold the wanted ranks:
+
+1. cut values of each group at CUTS equal steps, by the mergeable sketch (one small row a task);
+2. one pass counts, for each wanted rank, the rows below its bracket and the rows of every value
+   inside it (about 4 / CUTS of the group), both combined map-side;
+3. where a bracket still holds more than MOST rows, its rows are narrowed in the same way;
+4. running counts inside the brackets give the two values around each rank.
 """
 
 from __future__ import annotations
@@ -21,50 +17,83 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.session import durable
+from tillcast.session import broadcast_if_small, durable
+
+#: Steps between cut values, and the ranks of the sketch: an error of a tenth of a step.
+CUTS, ACCURACY = 1_000, 10_000
+#: Rows of one bracket that a window may order; more are narrowed first.
+MOST = 5_000_000
+#: Rows of the bracket table (group x probability) that are broadcast.
+MOST_TARGETS = 100_000
+
+
+def _same(keys, left: str, right: str):
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return out
+
+
+def _brackets(rows: DataFrame, keys: list[str], targets: DataFrame | None, probs) -> DataFrame:
+    """keys, prob, lo, hi (wanted ranks among ``rows``), frac, n, least, most (the bracket)."""
+    steps = F.array(*[F.lit(k / CUTS) for k in range(CUTS + 1)])
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+                                     F.percentile_approx("_v", steps, ACCURACY).alias("_cuts"))
+    if targets is None:
+        wanted = sketch.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs]))).withColumn("_rank", F.col("prob") * (F.col("n") - 1))
+        wanted = wanted.withColumns({"lo": F.floor("_rank"), "hi": F.ceil("_rank"), "frac": F.col("_rank") - F.floor("_rank")})
+    else:
+        wanted = sketch.alias("s").join(targets.alias("t"), _same(keys, "s", "t")).select("s.*", "t.lo", "t.hi", "t.frac")
+    # one step of slack on either side; a small group is its own bracket
+    low = F.floor(F.col("lo") * CUTS / F.col("n")) - 1
+    high = F.floor(F.col("hi") * CUTS / F.col("n")) + 3
+    small = F.col("n") <= 10 * CUTS
+    return wanted.withColumns({
+        "least": F.when(small | (low < 1), F.col("_min")).otherwise(F.get("_cuts", low.cast("int"))),
+        "most": F.when(small | (high >= CUTS), F.col("_max")).otherwise(F.get("_cuts", high.cast("int")))}).drop("_cuts", "_min", "_max", "_rank")
 
 
 def exact_percentiles(df: DataFrame, value: str, probs, by=(), materialized: bool = False) -> DataFrame:
     """Long result: ``by`` columns, ``prob``, ``value`` (double), one row per group and prob.
     Nulls are skipped; a group with no value yields no row.  ``materialized``: ``df`` is
-    already a checkpoint (or narrow ops over one), so counting it twice is cheap and the
-    counts need no checkpoint of their own."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    counts = (df.where(F.col(value).isNotNull())
-                .select(*by, F.col(value).cast("double").alias("_v"))
-                .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    already a checkpoint (or narrow ops over one), so reading it twice is cheap."""
+    by, probs = list(by), [float(p) for p in probs]
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     if not materialized:
-        counts = durable(counts)
-    # the range sampler and the tagging both read the materialised counts, not the source
-    ranged = durable(counts.repartitionByRange(*by, "_v")
-                     .withColumn("_part", F.spark_partition_id()))
-    per_part = ranged.groupBy(*by, "_part").agg(F.sum("_c").alias("_pc"))
-    w_parts = (Window.partitionBy(*by) if by else Window).orderBy("_part")
-    w_group = Window.partitionBy(*by) if by else Window.partitionBy()
-    offsets = per_part.select(
-        *by, "_part",
-        (F.sum("_pc").over(w_parts.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_pc")).alias("_off"),
-        F.sum("_pc").over(w_group).alias("_n"))
-    w_in = (Window.partitionBy(*by, "_part").orderBy("_v")
-            .rowsBetween(Window.unboundedPreceding, 0))
-    spans = (ranged.withColumn("_run", F.sum("_c").over(w_in))
-                   .join(offsets, by + ["_part"])
-                   .select(*by, "_v", "_n",
-                           (F.col("_off") + F.col("_run") - F.col("_c")).alias("_start"),
-                           (F.col("_off") + F.col("_run")).alias("_end")))
-    rank = F.col("prob") * (F.col("_n") - 1)
-    lo, hi = F.floor(rank), F.ceil(rank)
-    hit_lo = (F.col("_start") <= lo) & (lo < F.col("_end"))
-    hit_hi = (F.col("_start") <= hi) & (hi < F.col("_end"))
-    picked = (spans.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
-                   .where(hit_lo | hit_hi)
-                   .groupBy(*by, "prob")
-                   .agg(F.max(F.when(hit_lo, F.col("_v"))).alias("_lo"),
-                        F.max(F.when(hit_hi, F.col("_v"))).alias("_hi"),
-                        F.first(rank - lo).alias("_frac")))
-    return picked.select(*by, "prob",
-                         (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
+        rows = durable(rows)
+    keys, targets = by, None
+    while True:
+        brackets = durable(_brackets(rows, keys, targets, probs))
+        keys = [*by, "prob"]
+        met = rows.alias("r").join(broadcast_if_small(brackets, MOST_TARGETS).alias("b"),
+                                   _same(by if targets is None else keys, "r", "b") & (F.col("_v") <= F.col("most")))
+        met = met.select(*[F.col(f"b.{k}").alias(k) for k in keys], "_v", "least")
+        largest = brackets.agg(F.max("n")).first()[0]
+        if not largest or 4 * largest / CUTS <= MOST:
+            break
+        # narrower: the rows inside the brackets are the rows of the next turn, ranks count from there
+        below = met.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("least")).alias("_below"))
+        targets = durable(brackets.alias("b").join(below.alias("c"), _same(keys, "b", "c"))
+                          .select(*[F.col(f"b.{k}").alias(k) for k in keys], (F.col("lo") - F.col("_below")).alias("lo"),
+                                  (F.col("hi") - F.col("_below")).alias("hi"), "frac"))
+        fewer = durable(met.where(F.col("_v") >= F.col("least")).select(*keys, "_v"))
+        if fewer.groupBy(*keys).count().agg(F.max("count")).first()[0] >= largest:      # ties: nothing left to narrow
+            met = fewer.withColumn("least", F.col("_v"))
+            brackets = targets
+            break
+        rows = fewer
+    # rows below a bracket are one row without a value, which comes first
+    inside = met.groupBy(*keys, F.when(F.col("_v") >= F.col("least"), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    spans = inside.withColumn("_end", F.sum("_c").over(running))
+    spans = spans.alias("s").join(broadcast_if_small(brackets, MOST_TARGETS).alias("b"), _same(keys, "s", "b")).select(
+        "s.*", "b.lo", "b.hi", "b.frac")
+
+    def at(rank):
+        return F.max(F.when((F.col("_end") - F.col("_c") <= F.col(rank)) & (F.col(rank) < F.col("_end")), F.col("_v")))
+
+    picked = spans.groupBy(*keys).agg(at("lo").alias("_lo"), at("hi").alias("_hi"), F.first("frac").alias("_frac"))
+    return picked.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
 
 
 def percentile_columns(df: DataFrame, value: str, named_probs: dict, by=(),
