@@ -127,7 +127,7 @@ def test_boosting_queries_use_the_full_rounds_and_patience(monkeypatch):
         raise Asked(rounds, patience)
 
     monkeypatch.setattr(mp, "feature_splits", lambda spark, sf: (None, None, None))
-    monkeypatch.setattr(mp.md, "fit_gbt_family", asked)
+    monkeypatch.setattr(mp.md, "fit_gbt_families", asked)
     for q in (mp._gbt_query("GBT ordered"), mp.q_importance):
         with pytest.raises(Asked) as said:
             q(None, "")

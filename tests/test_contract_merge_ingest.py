@@ -68,6 +68,19 @@ def test_scoring_types_first_and_keeps_bad_rows_as_reasons(spark):
     assert why[4] == ["store_type not text"] and why[5] == ["isholiday required"]
 
 
+def test_absent_columns_are_refused_or_null(spark):
+    lags = [c for c in MODEL_INPUTS if c in CONTRACT_NULLABLE]
+    raw = spark.createDataFrame([(0, *[str(KNOWN[c]) for c in MODEL_INPUTS if c in KNOWN])],
+                                ", ".join(["row_id int", *[f"`{c}` string" for c in MODEL_INPUTS if c in KNOWN]]))
+    assert not set(lags) & set(raw.columns)
+    scored, rejected = score_batch(raw, lambda t: t.select("row_id", (F.coalesce("lag_1", F.lit(1.0))).alias("predicted_sales")))
+    assert [r["predicted_sales"] for r in scored.collect()] == [1.0] and rejected.count() == 0
+    for gone, why in (("isholiday", "isholiday required"), ("store_type", "store_type required"), ("store_id", "store_id required"),
+                      ("month", "month outside 1-12"), ("has_markdown", "has_markdown not 0/1"), ("cpi", "cpi required")):
+        scored, rejected = score_batch(raw.drop(gone), lambda t: t.select("row_id", F.lit(1.0).alias("predicted_sales")))
+        assert scored.count() == 0 and rejected.first()["reasons"] == [why]
+
+
 def test_range_check_covers_every_numeric_column(spark):
     row = dict(store_id=1, dept_id=1, week_date=dt.date(2010, 2, 5), weekly_sales=1.0, temperature=1.0, fuel_price=1.0, markdown1=1.0,
                markdown2=1.0, markdown3=1.0, markdown4=1.0, markdown5=1.0, cpi=1.0, unemployment=1.0)
@@ -132,3 +145,23 @@ def test_ingest_raw_csv(spark, tmp_path):
     assert rows[2]["markdown1"] == 5.5 and rows[0]["markdown1"] is None
     assert rows[3]["isholiday"] is None                      # junk flag: null, never matches
     assert sorted(r[0] for r in depts.collect() if r[0] is not None) == [1, 2, 3]
+
+
+def test_lines_that_are_no_rows_are_refused_with_reasons(spark, tmp_path):
+    (tmp_path / "stores.csv").write_text("Store,Type,Size\n1,A,100\n2,B\n,C,5\nx,C,5\n")
+    (tmp_path / "features.csv").write_text(
+        "Store,Date,Temperature,Fuel_Price,MarkDown1,MarkDown2,MarkDown3,MarkDown4,MarkDown5,CPI,Unemployment,IsHoliday\n"
+        "1,2010-02-05,42.31,2.572,NA,NA,NA,NA,NA,211.1,8.1,FALSE\n1,2010-02-12,42.31,2.572,NA,NA,NA,NA,211.1,8.1,TRUE\n")
+    (tmp_path / "train.csv").write_text(
+        "Store,Dept,Date,Weekly_Sales,IsHoliday\n1,1,2010-02-05,\"24,924.50\",FALSE\n1,1,2010-02-12,46039.49,TRUE\n1,1,2010-02-19,41595.55\n"
+        "\n1,1,2010-02-30,3,FALSE\nx,,2010-02-26,1,FALSE\n1,2,2010-03-05,5,FALSE,6\n")
+    lines = [spark.read.text(str(tmp_path / f)) for f in ("stores.csv", "features.csv", "train.csv")]
+    (stores, depts, fact), refused = ingest.ingest_lines(*lines)
+    assert [tuple(r) for r in stores.collect()] == [(1, "A", 100)] and [r.dept_id for r in depts.collect()] == [1]
+    got = {r.week_date: (r.weekly_sales, r.temperature) for r in fact.collect()}
+    assert got == {dt.date(2010, 2, 5): (None, 42.31), dt.date(2010, 2, 12): (46039.49, None)}
+    why = sorted((r.table, r.line, r.reasons) for r in refused.collect())
+    assert [(t, x) for t, _, x in why] == [
+        ("features", ["wrong number of fields"]), ("stores", ["store missing"]), ("stores", ["wrong number of fields"]), ("stores", ["store unreadable"]),
+        ("train", ["blank line"]), ("train", ["wrong number of fields"]), ("train", ["date unreadable"]), ("train", ["wrong number of fields"]),
+        ("train", ["store unreadable", "dept missing"])]

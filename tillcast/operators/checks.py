@@ -78,22 +78,64 @@ def view_count_check(view: DataFrame, fact: DataFrame) -> DataFrame:
     return view.agg(*_row("row_count_view", n == fact.agg(n).scalar(), "error", n))
 
 
+#: What the suite asks of the fact; profiles of disjoint sets of keys add up.
+PROFILE_SUMS = ("n_rows", "nulls", "duplicates", "orphans", "negatives", "view_rows")
+
+
+def fact_profile(fact: DataFrame, dim_store: DataFrame, dim_dept: DataFrame, by=(), max_dim_rows: int = 100_000) -> DataFrame:
+    """Everything the suite asks of the fact, in one pass over it: rows, nulls in the critical columns,
+    key groups with more than one row, orphans of either dimension, negative sales, rows of the view,
+    first and last week; one row per ``by`` (one in all without).
+
+    Rows are combined by key first, which is what counts duplicates; the dimensions then meet one
+    row a key, broadcast after a size check."""
+    by, one = list(by), F.count(F.lit(1))
+    keyed = (fact.groupBy(*by, *KEYS).agg(one.alias("_n"), F.count_if(F.col("weekly_sales").isNull()).alias("_no_sales"),
+                                          F.count_if(F.col("weekly_sales") < 0).alias("_negative"))
+             .join(broadcast_if_small(dim_store.groupBy("store_id").agg(one.alias("_stores")), max_dim_rows), "store_id", "left")
+             .join(broadcast_if_small(dim_dept.groupBy("dept_id").agg(one.alias("_depts")), max_dim_rows), "dept_id", "left"))
+    n, absent = F.col("_n"), lambda c: F.col(c).isNull().cast("long")
+    sums = {"n_rows": n, "nulls": n * reduce(lambda a, b: a + b, map(absent, KEYS)) + F.col("_no_sales"),
+            "duplicates": (n > 1).cast("long"), "orphans": n * (absent("_stores") + absent("_depts")), "negatives": F.col("_negative"),
+            "view_rows": n * F.coalesce("_stores", F.lit(0)) * F.coalesce("_depts", F.lit(0))}
+    return keyed.groupBy(*by).agg(*[F.coalesce(F.sum(e), F.lit(0)).alias(c) for c, e in sums.items()],
+                                  F.min("week_date").alias("first_week"), F.max("week_date").alias("last_week"))
+
+
+def total_profile(profiles: DataFrame) -> DataFrame:
+    """One profile from those of disjoint sets of keys."""
+    return profiles.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PROFILE_SUMS],
+                        F.min("first_week").alias("first_week"), F.max("last_week").alias("last_week"))
+
+
+def suite_rows(profile: DataFrame, n_stores: F.Column, n_depts: F.Column, expected: dict | None = None,
+               n_view: F.Column | None = None) -> DataFrame:
+    """The checks as rows of (check, passed, severity, value), from the one row of ``profile``."""
+    expected = expected or {}
+
+    def counted(name, n):
+        want = expected.get(name)
+        return (f"row_count_{name}", n == want if want is not None else n > 0, "error", n)
+
+    def none(name, c):
+        return (name, F.col(c) == 0, "error", F.col(c))
+
+    checks = [counted("dim_store", n_stores), counted("dim_dept", n_depts), counted("fact", F.col("n_rows")),
+              *([("row_count_view", n_view == F.col("n_rows"), "error", n_view)] if n_view is not None else []),
+              none("null_values", "nulls"), none("duplicate_keys", "duplicates"), none("foreign_keys", "orphans"),
+              ("date_range", F.lit(True), "warning", F.concat_ws(" .. ", F.col("first_week").cast("string"), F.col("last_week").cast("string"))),
+              ("negative_values", F.lit(True), "warning", F.col("negatives"))]
+    rows = F.array(*[F.struct(F.lit(name).alias("check"), passed.alias("passed"), F.lit(severity).alias("severity"),
+                              value.cast("string").alias("value")) for name, passed, severity, value in checks])
+    return profile.select(F.explode(rows).alias("_c")).select("_c.*")
+
+
 def validation_suite(fact: DataFrame, dim_store: DataFrame, dim_dept: DataFrame,
                      expected: dict | None = None, view: DataFrame | None = None) -> DataFrame:
     """Row counts (with ``view`` also its own), nulls, duplicates, foreign keys, date range, value range."""
-    expected = expected or {}
-    parts = [
-        row_count_check(dim_store, "dim_store", expected.get("dim_store")),
-        row_count_check(dim_dept, "dim_dept", expected.get("dim_dept")),
-        row_count_check(fact, "fact", expected.get("fact")),
-        *([view_count_check(view, fact)] if view is not None else []),
-        null_check(fact),
-        duplicate_key_check(fact),
-        foreign_key_check(fact, dim_store, dim_dept),
-        date_range_check(fact),
-        value_range_check(fact),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    n = F.count(F.lit(1))
+    return suite_rows(fact_profile(fact, dim_store, dim_dept), dim_store.agg(n).scalar(), dim_dept.agg(n).scalar(), expected,
+                      None if view is None else view.agg(n).scalar())
 
 
 def suite_summary(results: DataFrame) -> DataFrame:
@@ -103,20 +145,20 @@ def suite_summary(results: DataFrame) -> DataFrame:
 
 
 def contract_reasons(df: DataFrame) -> F.Column:
-    """Array of rule violations of a scoring row (empty when valid)."""
+    """Array of rule violations of a scoring row (empty when valid).  A required field that the
+    batch has no column for is missing in every row, as a request without it would be refused."""
+    def field(c):
+        return F.col(c) if c in df.columns else F.lit(None)
+
     rules = []
-    for c in CONTRACT_INT_REQUIRED:
-        rules.append(F.when(F.col(c).isNull(), F.lit(f"{c} required")))
-    if "store_type" in df.columns:
-        rules.append(F.when(F.col("store_type").isNull(), F.lit("store_type required")))
-    if "isholiday" in df.columns:
-        rules.append(F.when(F.col("isholiday").isNull(), F.lit("isholiday required")))
+    for c in [*CONTRACT_INT_REQUIRED, "store_type", "isholiday"]:
+        rules.append(F.when(field(c).isNull(), F.lit(f"{c} required")))
     for c, (lo, hi) in CONTRACT_RANGES.items():
-        rules.append(F.when(F.col(c).isNull() | (F.col(c) < lo) | (F.col(c) > hi), F.lit(f"{c} outside {lo}-{hi}")))
+        rules.append(F.when(field(c).isNull() | (field(c) < lo) | (field(c) > hi), F.lit(f"{c} outside {lo}-{hi}")))
     for c in CONTRACT_FLAGS:
-        rules.append(F.when(F.col(c).isNull() | ~F.col(c).isin(0, 1), F.lit(f"{c} not 0/1")))
+        rules.append(F.when(field(c).isNull() | ~field(c).isin(0, 1), F.lit(f"{c} not 0/1")))
     for c in CONTRACT_DOUBLE_REQUIRED:
-        rules.append(F.when(F.col(c).isNull(), F.lit(f"{c} required")))
+        rules.append(F.when(field(c).isNull(), F.lit(f"{c} required")))
     return F.filter(F.array(*rules), lambda x: x.isNotNull())
 
 

@@ -86,6 +86,38 @@ def build_features(view_with_split: DataFrame, params: Params = DEFAULT) -> Data
     return doubles(df.select(*cols, *extra, "split"))
 
 
+# -- L1 for new weeks only ------------------------------------------------------------------------
+
+def context_rows(params: Params = DEFAULT) -> int:
+    """Rows of a series that the features of its next row, and of its own last row, can look back on."""
+    return max(*params.lags, *params.rolling_windows) + 1
+
+
+def tail_state(view_with_split: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The last rows of every series: all that later weeks need to know of the past."""
+    latest = Window.partitionBy(*SERIES).orderBy(F.desc("week_date"))
+    return (view_with_split.withColumn("_at", F.row_number().over(latest)).where(F.col("_at") <= context_rows(params)).drop("_at"))
+
+
+def restated(state: DataFrame, new: DataFrame) -> DataFrame:
+    """New rows that are not later than what their series already has: features after them change, so
+    they need a rebuild."""
+    last = state.groupBy(*SERIES).agg(F.max("week_date").alias("_last"))
+    return new.join(last, SERIES).where(F.col("week_date") <= F.col("_last")).drop("_last")
+
+
+def appended_features(state: DataFrame, new: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """L1 for rows of later weeks: the features of ``new`` and, since the week after a row says whether
+    a holiday follows, of the last old row of each series that goes on.  The windows run over the
+    state's rows and the new ones alone; both meet on the series keys, in the windows' own exchange."""
+    first_new = new.groupBy(*SERIES).agg(F.min("week_date").alias("_first"))
+    last_old = state.groupBy(*SERIES).agg(F.max("week_date").alias("_last"))
+    since = first_new.join(last_old, SERIES, "left").select(*SERIES, F.coalesce("_last", "_first").alias("_since"))
+    touched = state.join(since.select(*SERIES), SERIES, "left_semi")
+    built = build_features(touched.unionByName(new), params)
+    return built.join(since, SERIES).where(F.col("week_date") >= F.col("_since")).drop("_since")
+
+
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Null count per column in one pass, as (column_name, null_count)."""
     columns = columns or df.columns

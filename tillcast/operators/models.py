@@ -10,9 +10,10 @@ driver.  Data is read once, whatever the number of alphas and folds; what
 reaches the driver is bounded by folds x features^2.  The fitted model is
 a linear Column expression, so scoring stays in whole-stage codegen.
 
-Boosted trees (L7-L9): Spark ML ``GBTRegressor`` in three parameter families
-standing in for the three boosting libraries, early stopping on the
-validation rows through ``validationIndicatorCol``.
+Boosted trees (L7-L9): three parameter families standing in for the three
+boosting libraries.  Spark ML grows the trees, one a round; the rows' scores
+live in a checkpointed frame (``Boosting``), so a fit can go on until patience
+on the validation rows ends it.
 """
 
 from __future__ import annotations
@@ -214,6 +215,10 @@ class RidgeModel:
         terms = [F.col(c) * F.lit(float(wi)) for c, wi in zip(self.prep.inputs, self.coef)]
         return F.lit(float(self.intercept)) + sum(terms[1:], terms[0])
 
+    @property
+    def inputs(self) -> list[str]:
+        return self.prep.columns
+
     def predict(self, df: DataFrame, keep=KEYS) -> DataFrame:
         t = self.prep.transform(df)
         return t.select(*keep, self.prediction().alias("predicted_sales"))
@@ -304,56 +309,193 @@ def patience_stop(errors: list[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def _boosted(train: DataFrame, params: dict, rounds: int, seed: int):
-    """A fitted pipeline: categories as nominal features (levels unseen in training are one more
-    level), ``rounds`` trees, no improvement tolerance."""
+def tree_prep(train: DataFrame):
+    """The fitted stages before the trees: categories as nominal features (levels unseen in training
+    are one more level) and the input vector; and the bins that the largest category needs."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
 
     names = [f"{c}_level" for c in TREE_CATEGORIES]
-    levels = max(train.agg(*[F.count_distinct(c) for c in names]).first())
     index = StringIndexer(inputCols=names, outputCols=[f"{c}_index" for c in TREE_CATEGORIES],
                           handleInvalid="keep", stringOrderType="alphabetAsc")
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=rounds, maxBins=max(128, levels + 2),
-                       seed=seed, **params)
-    return Pipeline(stages=[index, VectorAssembler(inputCols=tree_inputs(train), outputCol="features"), gbt]).fit(train)
+    prep = Pipeline(stages=[index, VectorAssembler(inputCols=tree_inputs(train), outputCol="features")]).fit(train)
+    return prep, max(TREE_BINS, max(map(len, prep.stages[0].labelsArray)) + 2)
+
+
+#: Bins of a numeric input: the most for which Spark finds the edges on 10,000 sampled rows, whatever the table.
+TREE_BINS = 100
+#: Rounds between two checkpoints of the rows' state.  In between, a row's score is its last written
+#: one plus the trees grown since.
+STATE_ROUNDS = 20
+
+
+class Boosting:
+    """A boosted fit that goes on: every training row has its current score in a checkpointed frame, a
+    round grows one tree on the residuals and adds it, so no round is ever fitted twice.
+
+    The first tree is fitted to the target itself and counts whole, the others count ``stepSize``
+    each, as in Spark's own boosting.  With ``held`` rows their error after every round is known."""
+
+    def __init__(self, rows: DataFrame, params: dict, bins: int, seed: int, held: DataFrame | None = None):
+        self.params, self.bins, self.seed = dict(params), bins, seed
+        self.rows, self.held = self._start(rows), None if held is None else self._start(held)
+        self.trees, self.errors = [], []
+
+    @staticmethod
+    def _start(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col(TARGET).isNotNull()).select("features", TARGET, F.lit(0.0).alias("score"))
+
+    def weight(self, k: int) -> float:
+        return float(self.params["stepSize"]) if k else 1.0
+
+    def _grown(self, rows: DataFrame, k: int):
+        from pyspark.ml.regression import RandomForestRegressor
+
+        shape = {p: v for p, v in self.params.items() if p != "stepSize"}
+        one = RandomForestRegressor(featuresCol="features", labelCol="residual", numTrees=1, bootstrap=False, maxBins=self.bins,
+                                    seed=self.seed + k, **{"featureSubsetStrategy": "all", **shape})
+        return one.fit(rows.select("features", (F.col(TARGET) - F.col("score")).alias("residual")))
+
+    def _scored(self, rows: DataFrame, tree, k: int) -> DataFrame:
+        return tree.transform(rows).withColumn("score", F.col("score") + F.lit(self.weight(k)) * F.col("prediction")).drop("prediction")
+
+    def advance(self, rounds: int) -> None:
+        """Grow ``rounds`` more trees."""
+        target = len(self.trees) + rounds
+        while len(self.trees) < target:
+            first, rows = len(self.trees), self.rows
+            for k in range(first, min(first + STATE_ROUNDS, target)):
+                self.trees.append(self._grown(rows, k))
+                rows = self._scored(rows, self.trees[k], k)
+            self.rows = durable(rows)
+            if self.held is not None:
+                self._measure(first)
+
+    def _measure(self, first: int) -> None:
+        """The error of the held rows after each new round, in one pass over them."""
+        rows, errors = self.held, []
+        for k in range(first, len(self.trees)):
+            rows = self._scored(rows, self.trees[k], k).withColumn(f"score_{k}", F.col("score"))
+            errors.append(F.avg((F.col(TARGET) - F.col(f"score_{k}")) ** 2).alias(f"e{k}"))
+        seen = durable(rows)
+        self.errors += [e if e is not None else float("inf") for e in seen.agg(*errors).first()]
+        self.held = seen.select("features", TARGET, "score")
+
+    def until(self, rounds: int, patience: int) -> tuple[int, str]:
+        """Go on until ``patience`` rounds bring no lower error, or ``rounds`` are grown:
+        (rounds of the lowest error, what stopped it)."""
+        while True:
+            kept, stopped = patience_stop(self.errors, patience) if self.errors else (0, False)
+            if stopped or len(self.trees) >= rounds:
+                return kept, "patience" if stopped else "rounds"
+            self.advance(min(STATE_ROUNDS, rounds - len(self.trees)))
 
+    def model(self, kept: int):
+        """The first ``kept`` trees as one Spark model: it predicts, tells importances and can be saved."""
+        from pyspark.ml.regression import GBTRegressionModel
 
-def fit_gbt_family(train: DataFrame, val: DataFrame, family: str, rounds: int, patience: int, seed: int = 42):
-    """Fit each grid point of a family with early stopping by patience on ``val``; keep the lowest
-    validation RMSE.  Returns (model cut at its best round, params, val_rmse, list of
-    (params, rounds kept, rounds fitted, why it stopped) of all grid points).
+        session = self.rows.sparkSession
+        jvm, gateway = session._jvm, session.sparkContext._gateway
+        trees = [t._java_obj.trees() for t in self.trees[:kept]]
+        each = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, kept)
+        weights = gateway.new_array(jvm.double, kept)
+        for k, t in enumerate(trees):
+            each[k], weights[k] = t[0], self.weight(k)
+        width = int(self.trees[0].numFeatures)
+        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"boosted_{self.seed}_{kept}", each, weights, width))
 
-    Spark's trees cannot be continued, so the number of rounds doubles until ``patience`` rounds
-    bring no lower validation error or ``rounds`` is reached."""
-    def target(df):
-        return durable(tree_frame(df).withColumn(TARGET, F.col(TARGET).cast("double")))
 
-    tr, va = target(train), target(val)
-    best, log = None, []
-    for params in GBT_FAMILIES[family]:
-        fitted = min(rounds, 2 * patience)
-        while True:
-            model = _boosted(tr, params, fitted, seed)
-            seen = model.stages[-1]
-            ready = model.stages[1].transform(model.stages[0].transform(va))
-            errors = seen.evaluateEachIteration(ready, "squared")
-            kept, stopped = patience_stop(errors, patience)
-            if stopped or fitted >= rounds:
-                break
-            fitted = min(rounds, 2 * fitted)
-        log.append((params, kept, fitted, "patience" if stopped else "rounds"))
-        if best is None or errors[kept - 1] < best[2]:
-            best = (params, kept, errors[kept - 1])
-    params, kept, error = best
-    return _boosted(tr, params, kept, seed), params, error ** 0.5, log
+def _tree_target(df: DataFrame) -> DataFrame:
+    return tree_frame(df).withColumn(TARGET, F.col(TARGET).cast("double"))
+
+
+def _at_once(spark, jobs: list, parallelism: int) -> list:
+    """Independent fits side by side: the jobs of one round are small and leave most cores idle."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        return [r.get() for r in [pool.apply_async(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
+@dataclass
+class FittedTrees:
+    model: object               # PipelineModel: categories, vector, trees
+    params: dict
+    rmse: float                 # of the validation rows
+    log: list                   # (params, rounds kept, rounds grown, what stopped it) of every grid point
+
+    @property
+    def trees(self) -> int:
+        return tree_count(self.model)
+
+
+def fit_gbt_families(train: DataFrame, val: DataFrame, families, rounds: int, patience: int, seed: int = 42,
+                     parallelism: int = 9) -> dict[str, FittedTrees]:
+    """Every grid point of every family is grown until patience on ``val`` ends it; of each family
+    the one of the lowest validation RMSE stays, cut at its best round.  Rows are prepared once for
+    all grid points, and no round is grown twice."""
+    from pyspark.ml import PipelineModel
+
+    tr, va = _tree_target(train), _tree_target(val)
+    prep, bins = tree_prep(durable(tr))
+    tr, va = (durable(prep.transform(x).select("features", TARGET)) for x in (tr, va))
+    grid = [(family, params) for family in families for params in GBT_FAMILIES[family]]
+
+    def grow(params):
+        fit = Boosting(tr, params, bins, seed, va)
+        return fit, *fit.until(rounds, patience)
+
+    grown = _at_once(train.sparkSession, [lambda p=params: grow(p) for _, params in grid], parallelism)
+    out = {}
+    for family in families:
+        mine = [(params, *g) for (f, params), g in zip(grid, grown) if f == family]
+        params, fit, kept, _ = min(mine, key=lambda m: m[1].errors[m[2] - 1])
+        out[family] = FittedTrees(PipelineModel([*prep.stages, fit.model(kept)]), params, fit.errors[kept - 1] ** 0.5,
+                                  [(p, k, len(b.trees), why) for p, b, k, why in mine])
+    return out
 
 
 def gbt_predict(model, df: DataFrame, keep=KEYS) -> DataFrame:
     return model.transform(tree_frame(df)).select(*keep, F.col("prediction").alias("predicted_sales"))
 
 
+@dataclass
+class TreeModel:
+    """A fitted pipeline of trees with the interface of the other models."""
+    pipeline: object
+
+    @property
+    def inputs(self) -> list[str]:
+        return list(self.pipeline.stages[1].getInputCols())
+
+    def predict(self, df: DataFrame, keep=KEYS) -> DataFrame:
+        return gbt_predict(self.pipeline, df, keep)
+
+
+@dataclass
+class EnsembleModel:
+    """The weighted sum of its members' predictions (equal weights: the simple mean)."""
+    members: dict
+    weights: dict
+
+    @property
+    def inputs(self) -> list[str]:
+        return list(self.weights)
+
+    def predict(self, df: DataFrame, keep=KEYS) -> DataFrame:
+        """Each member adds its prediction as a column, so no rows are joined or shuffled; each sees the
+        row as it came, not as another member has prepared it."""
+        out, done = df.select(F.struct("*").alias("_row")), []
+        for i, model in enumerate(self.members.values()):
+            seen = out.select("_row.*", "_row", *done)
+            out = model.predict(seen, keep=["_row", *done]).withColumnRenamed("predicted_sales", f"_member_{i}")
+            done.append(f"_member_{i}")
+        total = sum((F.col(c) * F.lit(float(self.weights[n])) for c, n in zip(done, self.members)), F.lit(0.0))
+        return out.select(*[f"_row.{c}" for c in keep], total.alias("predicted_sales"))
+
+
 def feature_importance(model, df: DataFrame) -> DataFrame:
     """(feature, importance) of a fitted pipeline's tree stage (p rows)."""
     imp = model.stages[-1].featureImportances.toArray()
@@ -362,11 +504,21 @@ def feature_importance(model, df: DataFrame) -> DataFrame:
                                            "feature string, importance double")
 
 
-def refit_gbt(train_val: DataFrame, params: dict, n_trees: int, seed: int = 42):
-    """L18 for trees: chosen parameters, refit on train + val with the number of trees the
-    early-stopped fit kept (no validation rows left to stop on)."""
-    return _boosted(durable(tree_frame(train_val).withColumn(TARGET, F.col(TARGET).cast("double"))),
-                    params, max(1, n_trees), seed)
+def refit_gbts(train_val: DataFrame, chosen: dict[str, FittedTrees], seed: int = 42, parallelism: int = 9) -> dict:
+    """L18 for trees: the chosen parameters of each family, grown on train + val for as many rounds as the
+    early-stopped fit kept (no validation rows are left to stop on)."""
+    from pyspark.ml import PipelineModel
+
+    rows = _tree_target(train_val)
+    prep, bins = tree_prep(durable(rows))
+    rows = durable(prep.transform(rows).select("features", TARGET))
+
+    def grow(fitted):
+        fit = Boosting(rows, fitted.params, bins, seed)
+        fit.advance(max(1, fitted.trees))
+        return PipelineModel([*prep.stages, fit.model(max(1, fitted.trees))])
+
+    return dict(zip(chosen, _at_once(train_val.sparkSession, [lambda c=c: grow(c) for c in chosen.values()], parallelism)))
 
 
 def tree_count(model) -> int:

@@ -22,19 +22,17 @@ INT_INPUTS = {"store_id", "dept_id", "store_size", "year", "week_of_year", "mont
 BOOL_INPUTS = {"isholiday"}
 
 
-def _typed(c: str) -> F.Column:
+def _typed(c: str, there: bool = True) -> F.Column:
+    text = (F.col(c) if there else F.lit(None)).cast("string")
     if c in STRING_INPUTS:
-        return F.col(c).cast("string")
-    if c in INT_INPUTS:
-        return F.col(c).cast("string").try_cast("int")
-    if c in BOOL_INPUTS:
-        return F.col(c).cast("string").try_cast("boolean")
-    return F.col(c).cast("string").try_cast("double")
+        return text
+    return text.try_cast("int" if c in INT_INPUTS else "boolean" if c in BOOL_INPUTS else "double")
 
 
 def type_inputs(df: DataFrame, order=MODEL_INPUTS, row_id: str = "row_id") -> DataFrame:
-    """Numeric coercion (bad values to null), categorical as string, stored column order."""
-    return df.select(row_id, *[_typed(c).alias(c) for c in order if c in df.columns])
+    """Numeric coercion (bad values to null), categorical as string, stored column order; inputs
+    that the batch has no column for are null."""
+    return df.select(row_id, *[_typed(c, c in df.columns).alias(c) for c in order])
 
 
 def unreadable(df: DataFrame, order=MODEL_INPUTS) -> F.Column:

@@ -11,7 +11,7 @@ from tillcast.schemas import MARKDOWNS, VIEW_COLUMNS
 from tillcast.session import durable
 from tillcast.sources.fixtures import DEFECT_CTES, defective, fact_sales
 
-N_TOP_STORES = 3   # only 5 stores in the stand-in data; 10 would return all of them
+N_TOP_STORES = 10   # the stand-in data has 5
 N_TOP_DEPTS = 15
 
 ANY_MD = "COALESCE(" + ", ".join(MARKDOWNS) + ") IS NOT NULL"
@@ -260,9 +260,14 @@ def q_neg_head(spark, sf):
             .select("store_id", "dept_id", "week_date", F.col("weekly_sales").cast("double")))
 
 
-@register("d28_dtypes")
+# Names that Spark gives to the types of the view's columns
+TYPES = {"store_id": "int", "store_type": "string", "store_size": "int", "dept_id": "int", "week_date": "date", "isholiday": "boolean"}
+
+
+@register("d28_dtypes", with_base("", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{TYPES.get(c, 'DTYPE_' + c)}' AS data_type, COUNT({c}) AS non_null FROM v" for c in VIEW_COLUMNS)))
 def q_dtypes(spark, sf):
-    """Schema listing of the analytics view (metadata; rows-only check)."""
+    """Schema listing of the analytics view, with the non-null values of each column."""
     return eda.dtypes_frame(view(spark, sf))
 
 

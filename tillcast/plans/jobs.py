@@ -2,7 +2,7 @@
 
     python -m tillcast.plans.jobs --sf /root/testdata/sf0.01 --out <shared folder> [stage ...]
 
-Stages: etl, split, features, eda, baselines, train, evaluate (default: all, in order).
+Stages: etl, split, features, eda, baselines, train, evaluate, score (default: all, in order).
 Each stage reads what the previous one wrote (Parquet; predictions partitioned by model,
 splits partitioned by split), so a stage can be re-run alone.  ``out`` must be a folder
 every executor can reach (the same rule as ``spark.checkpoint.dir``).
@@ -20,15 +20,15 @@ from pyspark.sql import functions as F
 from tillcast.config import DEFAULT, Params
 from tillcast.functions.metrics import rounded
 from tillcast.operators import baselines as bl
-from tillcast.operators import checks, eda, ensemble, evaluate, ingest, merge, models, segments
-from tillcast.operators.features import build_features
+from tillcast.operators import checks, eda, ensemble, evaluate, ingest, merge, models, scoring, segments
+from tillcast.operators.features import appended_features, build_features, restated, tail_state
 from tillcast.operators.split import with_split
 from tillcast.schemas import DIM_DEPT, DIM_STORE, FACT, KEYS, VIEW_COLUMNS
 from tillcast.session import durable
-from tillcast.sources import fixtures, sinks
+from tillcast.sources import fixtures, model_store, sinks, star_store
 from tillcast.sources.raw import raw_from_view
 
-STAGES = ["etl", "split", "features", "eda", "baselines", "train", "evaluate"]
+STAGES = ["etl", "split", "features", "eda", "baselines", "train", "evaluate", "score"]
 FACT_COLUMNS = ["store_id", "dept_id", "week_date", "weekly_sales", "isholiday", "temperature", "fuel_price",
                 "markdown1", "markdown2", "markdown3", "markdown4", "markdown5", "cpi", "unemployment"]
 
@@ -37,75 +37,82 @@ def _p(out: str, *parts: str) -> str:
     return os.path.join(out, *parts)
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the file system itself: an error on reading a table is never taken for its absence."""
-    fs, p = _file_system(spark, path)
-    return fs.exists(p)
-
-
-STAR = ("dim_store", "dim_dept", "fact")
-PUBLISHED = "_PUBLISHED"
-
-
 def star_version(spark: SparkSession, out: str) -> int:
     """The newest published version of the star tables, 0 if there is none."""
-    fs, root = _file_system(spark, _p(out, "star"))
-    if not fs.exists(root):
-        return 0
-    names = [st.getPath().getName() for st in fs.listStatus(root)]
-    done = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and _exists(spark, _p(out, "star", n, PUBLISHED))]
-    return max(done, default=0)
+    return star_store.published(spark, out)
 
 
 def star_table(spark: SparkSession, out: str, name: str, version: int | None = None) -> DataFrame:
     version = star_version(spark, out) if version is None else version
-    return spark.read.parquet(_p(out, "star", f"v{version:06d}", name))
+    if name == "fact":
+        return star_store.read_fact(spark, out, version)
+    return spark.read.parquet(star_store.folder(out, version, name))
+
+
+def stage_raw(spark: SparkSession, out: str, raw: tuple, batch: str) -> None:
+    """Raw tables -> typed staging rows of one batch; staged again under the same name, it counts once."""
+    for name, df in zip(("dim_store_stg", "dim_dept_stg", "fact_stg"), ingest.ingest(*raw)):
+        star_store.stage(df, out, name, batch)
 
 
 def etl(spark: SparkSession, sf_dir: str, out: str, params: Params = DEFAULT) -> DataFrame:
-    """Raw tables -> staging (append) -> checks -> a new version of the star tables -> checks ->
-    published by one marker file -> staging cleared.  Returns the validation results (also written).
-
-    Readers see a version only with its marker, so a job that fails anywhere leaves the last
-    published tables as they are; a rerun writes the next version's folder afresh."""
-    raw = raw_from_view(fixtures.analytics_view(spark, sf_dir))
-    st_store, st_dept, st_fact = ingest.ingest(*raw)
-    for name, df in (("dim_store_stg", st_store), ("dim_dept_stg", st_dept), ("fact_stg", st_fact)):
-        sinks.append_staging(df, _p(out, "staging", name))
+    """Staging cleared (A5), so that a load which failed leaves nothing in the way of the next -> raw
+    tables staged -> merged, checked and published.  Returns the validation results (also written)."""
+    star_store.clear_staging(spark, out)
+    stage_raw(spark, out, raw_from_view(fixtures.analytics_view(spark, sf_dir)), "etl")
+    return merge_staging(spark, out)
+
+
+def etl_files(spark: SparkSession, out: str, stores: str, features: str, train: str, batch: str = "files") -> DataFrame:
+    """The load from the raw CSV files themselves: lines that are no rows go to reports/refused_lines with
+    their reasons, the rest is staged, merged, checked and published."""
+    star_store.clear_staging(spark, out)
+    staging, refused = ingest.ingest_lines(*(spark.read.text(p) for p in (stores, features, train)))
+    refused.write.mode("overwrite").parquet(_p(out, "reports", "refused_lines"))
+    for name, df in zip(("dim_store_stg", "dim_dept_stg", "fact_stg"), staging):
+        star_store.stage(df, out, name, batch)
     return merge_staging(spark, out)
 
 
 def merge_staging(spark: SparkSession, out: str) -> DataFrame:
-    stg = {n: spark.read.parquet(_p(out, "staging", n)) for n in ("dim_store_stg", "dim_dept_stg", "fact_stg")}
-    refused = checks.staging_range_violations(stg["fact_stg"])
+    """K1-K4 on the stored star schema: checks on staging -> a new version -> checks -> published by one
+    marker file -> staging cleared.
+
+    The fact is rewritten in the months that staging touches and read in no other: a key lies in one
+    month, dimensions only grow, so what the profiles in the manifest say of untouched months still
+    holds.  Readers see a version only with its marker; a load that fails anywhere leaves the last
+    published one as it was."""
+    stores, depts, staged = (star_store.staged(spark, out, n) for n in ("dim_store_stg", "dim_dept_stg", "fact_stg"))
+    refused = checks.staging_range_violations(staged)
     if not refused.isEmpty():
         refused.write.mode("overwrite").parquet(_p(out, "reports", "staging_violations"))
         raise ValueError("staged rows that the fact cannot hold: see reports/staging_violations")
-    typed = stg["fact_stg"].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT.fields])
-    current = star_version(spark, out)
-    upserts = {
-        "dim_store": (DIM_STORE, stg["dim_store_stg"], merge.upsert_store),
-        "dim_dept": (DIM_DEPT, stg["dim_dept_stg"].where(F.col("dept_id").isNotNull()), merge.insert_missing_depts),
-        "fact": (FACT, typed, lambda t, s: merge.upsert_fact(t, s, FACT_COLUMNS))}
-    for name, (schema, staged, upsert) in upserts.items():
+    typed = staged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT.fields])
+    base = star_version(spark, out)
+    version = star_store.claim(spark, out)
+
+    def current(name, schema):
         # the first run merges into an empty table, so its keys are checked like any other's
-        target = star_table(spark, out, name, current) if current else spark.createDataFrame([], schema)
-        upsert(target, staged).write.mode("overwrite").parquet(_p(out, "star", f"v{current + 1:06d}", name))
-    fact, stores, depts = (star_table(spark, out, n, current + 1) for n in ("fact", "dim_store", "dim_dept"))
-    results = durable(checks.validation_suite(fact, stores, depts, view=_view(fact, stores, depts)))
+        return star_table(spark, out, name, base) if base else spark.createDataFrame([], schema)
+
+    merge.upsert_store(current("dim_store", DIM_STORE), stores).write.mode("overwrite").parquet(star_store.folder(out, version, "dim_store"))
+    merge.insert_missing_depts(current("dim_dept", DIM_DEPT), depts.where(F.col("dept_id").isNotNull())).write.mode("overwrite").parquet(
+        star_store.folder(out, version, "dim_dept"))
+    touched = [r[0] for r in typed.select(star_store.month_of()).distinct().collect()]      # months, whatever the rows
+    dims = [star_table(spark, out, n, version) for n in ("dim_store", "dim_dept")]
+    entries = star_store.manifest(spark, out, base).where(~F.col("month").isin(touched))
+    if touched:
+        star_store.write_fact(merge.upsert_fact(star_store.read_fact(spark, out, base, touched), typed, FACT_COLUMNS), out, version)
+        new = checks.fact_profile(star_store.read_load(spark, out, version), *dims, by=["month"]).withColumn("load", F.lit(version))
+        entries = entries.unionByName(new.select(*entries.columns))
+    entries.coalesce(1).write.mode("overwrite").parquet(star_store.folder(out, version, "manifest"))     # a row a month
+    total, n = checks.total_profile(star_store.manifest(spark, out, version)), F.count(F.lit(1))
+    results = durable(checks.suite_rows(total, *[d.agg(n).scalar() for d in dims], n_view=F.col("view_rows")))
     results.write.mode("overwrite").parquet(_p(out, "reports", "validation"))
     if not checks.suite_summary(results).first()["all_passed"]:
         raise ValueError("the new star tables fail their checks and are not published: see reports/validation")
-    fs, marker = _file_system(spark, _p(out, "star", f"v{current + 1:06d}", PUBLISHED))
-    fs.create(marker, True).close()
-    for name, df in stg.items():
-        sinks.truncate_staging(spark, _p(out, "staging", name), df.schema)
+    star_store.publish(spark, out, version, base)
+    star_store.clear_staging(spark, out)
     return results
 
 
@@ -125,9 +132,68 @@ def split(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
     sinks.write_splits(with_split(view_from_star(spark, out), params), _p(out, "splits"))
 
 
+PART = "feature_month"       # ``month`` is a feature
+
+
 def features(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
+    """L1 in full: the feature table in folders by split and month, the state that later weeks need, and
+    the star version that both hold."""
+    version = star_version(spark, out)
     sv = spark.read.parquet(_p(out, "splits"))
-    sinks.write_splits(build_features(sv, params), _p(out, "features"))
+    _write_features(build_features(sv, params), out)
+    tail_state(sv, params).write.mode("overwrite").parquet(_p(out, "feature_state", "tail"))
+    _features_are_at(spark, out, version)
+
+
+def _write_features(rows: DataFrame, out: str, mode: str = "static") -> None:
+    (rows.withColumn(PART, star_store.month_of()).repartitionByRange("split", PART, "store_id", "dept_id")
+         .sortWithinPartitions("split", PART, *KEYS)
+         .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("split", PART).parquet(_p(out, "features")))
+
+
+def _features_are_at(spark: SparkSession, out: str, version: int) -> None:
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(_p(out, "feature_state", "version"))
+
+
+def read_features(spark: SparkSession, out: str) -> DataFrame:
+    f = spark.read.parquet(_p(out, "features"))
+    return f.select(*[c for c in f.columns if c not in (PART, "split")], "split")
+
+
+def changed_rows(spark: SparkSession, out: str, since: int) -> DataFrame:
+    """View rows of the newest star version that version ``since`` does not have, or not so: only the
+    months that were written after it are read, in both."""
+    now = star_version(spark, out)
+    months = [r[0] for r in star_store.manifest(spark, out, now).where(F.col("load") > since).select("month").collect()]
+    new, old = (star_store.read_fact(spark, out, v, months) for v in (now, since))
+    dims = [star_table(spark, out, n, now) for n in ("dim_store", "dim_dept")]
+    return _view(new.exceptAll(old), *dims)
+
+
+def append_features(spark: SparkSession, out: str, params: Params = DEFAULT) -> int:
+    """L1 after a load that appended weeks: features of the new rows from the stored state, written into the
+    split and month folders that they touch; the state goes on.  A load that restated older weeks
+    makes a rebuild.  Returns how many rows were computed, -1 for a rebuild."""
+    since = spark.read.parquet(_p(out, "feature_state", "version")).first()[0]
+    new = durable(with_split(changed_rows(spark, out, since), params))
+    if new.isEmpty():
+        return 0
+    state = spark.read.parquet(_p(out, "feature_state", "tail"))
+    if not restated(state, new).isEmpty():
+        split(spark, out, params)
+        features(spark, out, params)
+        return -1
+    made = durable(appended_features(state, new, params))
+    folders = [(r[0], r[1]) for r in made.select("split", star_store.month_of()).distinct().collect()]     # months, whatever the rows
+    there = spark.read.parquet(_p(out, "features"))
+    mine = reduce(lambda a, b: a | b, [(F.col("split") == s) & (F.col(PART) == m) for s, m in folders])
+    kept = there.where(mine).drop(PART).join(made.select(*KEYS), KEYS, "left_anti")
+    # what the folders held is read before they are written anew
+    _write_features(durable(kept.select(*made.columns).unionByName(made)), out, "dynamic")
+    later = durable(tail_state(state.unionByName(new.select(*state.columns)), params))
+    later.write.mode("overwrite").parquet(_p(out, "feature_state", "tail"))
+    _features_are_at(spark, out, star_version(spark, out))
+    return made.count()
 
 
 def eda_tables(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
@@ -173,7 +239,8 @@ def baselines(spark: SparkSession, out: str, params: Params = DEFAULT) -> None:
 
 def _ensemble(va: DataFrame, val_preds: DataFrame, test_preds: DataFrame, members: DataFrame, name: str, params: Params):
     """The simple or, if its validation RMSE is lower, the weighted mean of ``members`` (L13-L15):
-    (validation metrics row, test predictions) under ``name`` and the method; None without two members."""
+    (validation metrics row, test predictions, its label from ``name`` and the method, weights by member);
+    None without two members."""
     if members.isEmpty():
         return None
     found = {}
@@ -181,9 +248,14 @@ def _ensemble(va: DataFrame, val_preds: DataFrame, test_preds: DataFrame, member
         m = durable(rounded(evaluate.evaluate_predictions(va, combine(val_preds, members), with_wmae=True, params=params)))
         found[method] = (m, combine)
     method = ensemble.choose_ensemble(found["simple"][0], found["weighted"][0]).first()["ensemble_method"]
-    label = F.lit(f"{name} ({method})").alias("model")
+    label = f"{name} ({method})"
     metrics, combine = found[method]
-    return metrics.select(label, "*"), combine(test_preds, members).select(label, *KEYS, "predicted_sales")
+    names = [r["model"] for r in members.orderBy("model").collect()]
+    weights = dict.fromkeys(names, 1 / len(names))
+    if method == "weighted":
+        weights = {r["model"]: r["weight"] for r in ensemble.inverse_rmse_weights(members).collect()}
+    tag = F.lit(label).alias("model")
+    return metrics.select(tag, "*"), combine(test_preds, members).select(tag, *KEYS, "predicted_sales"), label, weights
 
 
 def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
@@ -191,7 +263,7 @@ def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
     two best models, simple or weighted by validation RMSE; all refit on train + val (members and
     weights from validation) and predicted on test; selection; comparison table, prediction
     metadata and the final record with test metrics."""
-    f = spark.read.parquet(_p(out, "features"))
+    f = read_features(spark, out)
     tr, va, te = (f.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
     gate = spark.read.parquet(_p(out, "reports", "baseline_results"))
     ridge = models.fit_ridge(tr, models.RIDGE_ALPHAS, params.ridge_folds)
@@ -200,13 +272,17 @@ def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
     val_preds = {"Linear (Ridge)": ridge.predict(va)}
     test_preds = {"Linear (Ridge)": refit_ridge.predict(te)}
     importance, stops = None, []
-    for family in models.GBT_FAMILIES:
-        m, p, _, log = models.fit_gbt_family(tr, va, family, params.boosting_rounds, params.boosting_patience)
-        stops += [(family, str(q), kept, fitted, why) for q, kept, fitted, why in log]
-        val_preds[family] = models.gbt_predict(m, va)
-        test_preds[family] = models.gbt_predict(models.refit_gbt(both, p, models.tree_count(m)), te)
-        one = models.feature_importance(m, tr).select(F.lit(family).alias("model"), "*")
+    fitted = models.fit_gbt_families(tr, va, list(models.GBT_FAMILIES), params.boosting_rounds, params.boosting_patience)
+    refits = models.refit_gbts(both, fitted)
+    for family, trees in fitted.items():
+        stops += [(family, str(q), kept, grown, why) for q, kept, grown, why in trees.log]
+        val_preds[family] = models.gbt_predict(trees.model, va)
+        test_preds[family] = models.gbt_predict(refits[family], te)
+        one = models.feature_importance(trees.model, tr).select(F.lit(family).alias("model"), "*")
         importance = one if importance is None else importance.unionByName(one)
+    refit = {"Linear (Ridge)": refit_ridge, **{n: models.TreeModel(m) for n, m in refits.items()}}
+    for name, model in refit.items():
+        model_store.save_model(spark, out, name, model)
     importance.write.mode("overwrite").parquet(_p(out, "reports", "feature_importance"))
     spark.createDataFrame(stops, "model string, params string, kept int, fitted int, stopped string").write.mode(
         "overwrite").parquet(_p(out, "reports", "boosting_stops"))
@@ -227,6 +303,7 @@ def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
         made = _ensemble(va, long_val, long_test, durable(members), name, params)
         if made:
             metrics, long_test = metrics.unionByName(made[0]), long_test.unionByName(made[1])
+            model_store.save_model(spark, out, made[2], models.EnsembleModel({n: refit[n] for n in made[3]}, made[3]))
     comparison = durable(metrics)
     comparison.write.mode("overwrite").parquet(_p(out, "reports", "model_comparison"))
     sinks.write_predictions(long_test, _p(out, "predictions", "models_test"))
@@ -244,7 +321,7 @@ def train(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
 def evaluate_stage(spark: SparkSession, out: str, params: Params = DEFAULT) -> DataFrame:
     """Test metrics of every written model, beside its validation metrics (I16), plus the
     holiday segments of the selected model (I13, I19)."""
-    f = spark.read.parquet(_p(out, "features"))
+    f = read_features(spark, out)
     te = f.where(F.col("split") == "test").drop("split")
     preds = sinks.read_predictions(spark, _p(out, "predictions", "models_test"))
     test_metrics = rounded(evaluate.evaluate_predictions(te, preds, by=["model"], with_wmae=True, params=params))
@@ -258,6 +335,20 @@ def evaluate_stage(spark: SparkSession, out: str, params: Params = DEFAULT) -> D
     return report
 
 
+def score(spark: SparkSession, out: str, batch: DataFrame | None = None, name: str | None = None) -> DataFrame:
+    """The stored model ``name`` (the selected one without) over a batch of feature rows (the test rows
+    without), in whatever session: predictions, and refused rows with their reasons, are written."""
+    if batch is None:
+        f = read_features(spark, out)
+        batch = f.where(F.col("split") == "test").drop("split").withColumn("row_id", F.struct(*KEYS))
+    name = name or spark.read.json(_p(out, "reports", "final_selection")).select("best_model").first()[0]
+    model = model_store.load_model(spark, out, name)
+    scored, refused = scoring.score_batch(batch, lambda typed: model.predict(typed, keep=["row_id"]))
+    scored.withColumn("model", F.lit(name)).write.mode("overwrite").parquet(_p(out, "predictions", "scored"))
+    refused.write.mode("overwrite").parquet(_p(out, "reports", "refused_rows"))
+    return spark.read.parquet(_p(out, "predictions", "scored"))
+
+
 def run(spark: SparkSession, sf_dir: str, out: str, stages=STAGES, params: Params = DEFAULT) -> None:
     for s in stages:
         if s == "etl":
@@ -274,6 +365,8 @@ def run(spark: SparkSession, sf_dir: str, out: str, stages=STAGES, params: Param
             train(spark, out, params)
         elif s == "evaluate":
             evaluate_stage(spark, out, params)
+        elif s == "score":
+            score(spark, out)
         else:
             raise ValueError(f"unknown stage {s}")
 

@@ -120,11 +120,11 @@ def q_ridge_metrics(spark, sf):
 def _gbt_query(family):
     def q(spark, sf):
         train, val, _ = feature_splits(spark, sf)
-        model, params, rmse, log = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
-        m = rounded(ev.evaluate_predictions(val, md.gbt_predict(model, val), with_wmae=True, params=P))
-        _, kept, fitted, why = next(x for x in log if x[0] == params)
-        return m.select(F.lit(family).alias("model"), F.lit(str(params)).alias("params"), F.lit(kept).alias("n_trees"),
-                        F.lit(fitted).alias("rounds_fitted"), F.lit(why).alias("stopped"), "*")
+        fitted = md.fit_gbt_families(train, val, [family], QUERY_ROUNDS, QUERY_PATIENCE)[family]
+        m = rounded(ev.evaluate_predictions(val, md.gbt_predict(fitted.model, val), with_wmae=True, params=P))
+        _, kept, grown, why = next(x for x in fitted.log if x[0] == fitted.params)
+        return m.select(F.lit(family).alias("model"), F.lit(str(fitted.params)).alias("params"), F.lit(kept).alias("n_trees"),
+                        F.lit(grown).alias("rounds_fitted"), F.lit(why).alias("stopped"), "*")
     q.__doc__ = f"{family}: three-point grid, early stopping by patience on validation rows, best by val RMSE"
     return q
 
@@ -138,10 +138,10 @@ register("l9_gbt_level_wise")(_gbt_query("GBT level-wise"))
 def q_importance(spark, sf):
     """Importances of the best fit of each of the three families."""
     train, val, _ = feature_splits(spark, sf)
+    fitted = md.fit_gbt_families(train, val, list(md.GBT_FAMILIES), QUERY_ROUNDS, QUERY_PATIENCE)
     out = None
-    for family in md.GBT_FAMILIES:
-        model, *_ = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
-        one = md.feature_importance(model, train).select(F.lit(family).alias("model"), "*")
+    for family, f in fitted.items():
+        one = md.feature_importance(f.model, train).select(F.lit(family).alias("model"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -301,11 +301,10 @@ def q_gbt_refit(spark, sf):
     """L18 (trees): the best grid point of each family chosen on validation, refit on train + val
     with its kept tree count, scored on test."""
     train, val, test = feature_splits(spark, sf)
+    fitted = md.fit_gbt_families(train, val, list(md.GBT_FAMILIES), QUERY_ROUNDS, QUERY_PATIENCE)
     out = None
-    for family in md.GBT_FAMILIES:
-        model, params, _, _ = md.fit_gbt_family(train, val, family, QUERY_ROUNDS, QUERY_PATIENCE)
-        refit = md.refit_gbt(train.unionByName(val), params, md.tree_count(model))
-        m = rounded(ev.evaluate_predictions(test, md.gbt_predict(refit, test), with_wmae=True, params=P))
-        one = m.select(F.lit(family).alias("model"), F.lit(md.tree_count(refit)).alias("n_trees"), "*")
+    for family, model in md.refit_gbts(train.unionByName(val), fitted).items():
+        m = rounded(ev.evaluate_predictions(test, md.gbt_predict(model, test), with_wmae=True, params=P))
+        one = m.select(F.lit(family).alias("model"), F.lit(md.tree_count(model)).alias("n_trees"), "*")
         out = one if out is None else out.unionByName(one)
     return out

@@ -12,7 +12,7 @@ from tillcast.plans.feature_plans import FEATURE_CTES, features, shared_features
 from tillcast.session import durable
 from tillcast.plans.registry import register, with_base
 from tillcast.schemas import (CONTRACT_DOUBLE_REQUIRED, CONTRACT_FLAGS, CONTRACT_INT_REQUIRED,
-                              CONTRACT_RANGES, KEYS, MARKDOWNS)
+                              CONTRACT_RANGES, FACT, KEYS, MARKDOWNS, RAW_TRAIN)
 from tillcast.sources import fixtures as fx
 from tillcast.sources.fingerprint import fingerprint_lines, table_lines
 from tillcast.sources.raw import raw_from_view
@@ -101,6 +101,12 @@ def q_nulls(spark, sf):
     return fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
+# Faults that depend on the keys alone, planted in a batch of feature rows: (column, modulus, rest, value)
+CONTRACT_FAULTS = [("store_size", 97, 1, "NULL"), ("week_of_year", 89, 2, "54"), ("isholiday", 83, 3, "NULL"), ("has_markdown", 79, 4, "2"),
+                   ("fuel_price", 73, 5, "NULL"), ("store_type", 71, 6, "NULL"), ("month", 67, 7, "0"), ("cpi", 61, 8, "NULL")]
+ABSENT = ["isholiday", "store_type", "year", "day_of_year", "is_holiday_next1", "markdown3"]
+
+
 def _contract_sql() -> str:
     rules = [(f"{c} required", f"{c} IS NULL") for c in CONTRACT_INT_REQUIRED]
     rules.append(("store_type required", "store_type IS NULL"))
@@ -109,19 +115,32 @@ def _contract_sql() -> str:
     rules += [(f"{c} not 0/1", f"({c} IS NULL OR {c} NOT IN (0, 1))") for c in CONTRACT_FLAGS]
     rules += [(f"{c} required", f"{c} IS NULL") for c in CONTRACT_DOUBLE_REQUIRED]
     any_bad = " OR ".join(cond for _, cond in rules)
-    parts = [f"SELECT 'valid' AS reason, COUNT(*) AS n_rows FROM features WHERE NOT ({any_bad})"]
-    parts += [f"SELECT '{name}', COUNT(*) FROM features WHERE {cond}" for name, cond in rules]
-    return with_base(FEATURE_CTES, "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_rows > 0")
+    faults = ", ".join(f"CASE WHEN h % {m} = {r} THEN {v} ELSE {c} END AS {c}" for c, m, r, v in CONTRACT_FAULTS)
+    ctes = FEATURE_CTES + f""",
+hashed AS (SELECT *, store_id * 31 + dept_id * 17 + datediff('day', DATE '1992-01-01', week_date) AS h FROM features),
+planted AS (SELECT * REPLACE ({faults}) FROM hashed),
+short AS (SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in ABSENT)}) FROM features)"""
+    parts = []
+    for batch, table in (("planted", "planted"), ("absent columns", "short")):
+        parts.append(f"SELECT '{batch}' AS batch, 'valid' AS reason, COUNT(*) AS n_rows FROM {table} WHERE NOT ({any_bad})")
+        parts += [f"SELECT '{batch}', '{name}', COUNT(*) FROM {table} WHERE {cond}" for name, cond in rules]
+    return with_base(ctes, "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_rows > 0")
 
 
 @register("j3_scoring_contract", _contract_sql())
 def q_contract(spark, sf):
-    """J3 as batch quarantine over the feature table: valid rows, and rejected rows per reason."""
-    valid, rejected = ck.apply_contract(features(spark, sf))
-    v = valid.agg(F.lit("valid").alias("reason"), F.count(F.lit(1)).alias("n_rows"))
-    r = (rejected.select(F.explode("reasons").alias("reason")).groupBy("reason")
-         .agg(F.count(F.lit(1)).alias("n_rows")))
-    return v.unionByName(r).where(F.col("n_rows") > 0)
+    """J3 as batch quarantine over the feature table: valid rows, and rejected rows per reason, of a
+    batch with planted faults and of one without six required columns."""
+    rows = durable(features(spark, sf))
+    h = F.col("store_id") * 31 + F.col("dept_id") * 17 + F.datediff("week_date", F.lit("1992-01-01").cast("date"))
+    planted = rows.withColumns({c: F.when(h % m == r, F.expr(v)).otherwise(F.col(c)) for c, m, r, v in CONTRACT_FAULTS})
+    out = None
+    for batch, frame in (("planted", planted), ("absent columns", rows.drop(*ABSENT))):
+        judged = frame.select(ck.contract_reasons(frame).alias("reasons"))
+        found = judged.select(F.explode(F.when(F.size("reasons") == 0, F.array(F.lit("valid"))).otherwise(F.col("reasons"))).alias("reason"))
+        one = found.groupBy(F.lit(batch).alias("batch"), "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("j4_non_empty_batch", with_base(FEATURE_CTES, "SELECT COUNT(*) AS n_rows FROM features WHERE split = 'test'"))
@@ -149,6 +168,44 @@ def q_ingest(spark, sf):
     return fact_stg
 
 
+# Lines with faults that depend on the keys alone: (modulus, rest, SQL of the line, what is said of it)
+LINE = "concat_ws(',', store, dept, date, weekly_sales, isholiday)"
+LINE_FAULTS = [(97, 1, "concat_ws(',', store, dept, date, weekly_sales)", "wrong number of fields"), (89, 2, LINE + " || ',more'", "wrong number of fields"),
+               (83, 3, "concat_ws(',', store, dept, '2001-13-45', weekly_sales, isholiday)", "date unreadable"),
+               (79, 4, "concat_ws(',', store, 'x' || dept, date, weekly_sales, isholiday)", "dept unreadable"), (73, 5, "'   '", "blank line"),
+               (71, 6, "concat_ws(',', '', dept, date, weekly_sales, isholiday)", "store missing"),
+               (67, 7, """concat_ws(',', store, dept, date, '"1,234"', isholiday)""", "accepted")]
+LINE_HASH = "store_id * 31 + dept_id * 17 + datediff({})"
+
+
+def _lines_sql() -> str:
+    case = " ".join(f"WHEN h % {m} = {r} THEN '{why}'" for m, r, _, why in LINE_FAULTS)
+    unread = next(f"h % {m} = {r}" for m, r, line, _ in LINE_FAULTS if '"' in line)
+    return with_base("", f"""SELECT reason, COUNT(*) AS n_lines,
+      CAST(SUM(CASE WHEN reason = 'accepted' AND NOT ({unread}) THEN CAST(ROUND(weekly_sales * 100) AS BIGINT) END) AS BIGINT) AS cents
+    FROM (SELECT *, CASE {case} ELSE 'accepted' END AS reason FROM (SELECT *, {LINE_HASH.format("'day', DATE '1992-01-01', week_date")} AS h FROM v))
+    GROUP BY reason""")
+
+
+@register("a1_refused_lines", _lines_sql())
+def q_refused_lines(spark, sf):
+    """A1 / B8 on text: the train table as CSV lines with planted faults; lines refused by reason, and
+    what the accepted ones hold."""
+    v = shared_view(spark, sf)
+    h = F.expr(LINE_HASH.format("week_date, DATE '1992-01-01'"))
+    train = raw_from_view(v)[2].withColumn("isholiday", F.coalesce("isholiday", F.lit("")))
+    keyed = train.withColumns({"store_id": F.col("store").cast("int"), "dept_id": F.col("dept").cast("int"), "week_date": F.col("date").cast("date")})
+    line = F.expr(LINE)
+    for m, r, text, _ in reversed(LINE_FAULTS):
+        line = F.when(F.col("h") % m == r, F.expr(text)).otherwise(line)
+    lines = durable(keyed.withColumn("h", h).select(line.alias("value")))
+    rows, refused = ig.accepted_and_refused(lines, RAW_TRAIN, FACT, KEYS)
+    cents = F.rint(F.col("weekly_sales") * 100).cast("long")
+    good = ig.typed_train(rows).agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("n_lines"), F.sum(cents).alias("cents"))
+    bad = refused.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+    return good.unionByName(bad.withColumn("cents", F.lit(None).cast("long")))
+
+
 @register("d25_staged_dimensions", with_base("", """
 SELECT 'store' AS dim, COUNT(*) AS n_rows, CAST(SUM(store_size) AS BIGINT) AS size_total FROM dim_store
 UNION ALL SELECT 'dept', COUNT(*), NULL FROM (SELECT DISTINCT dept_id FROM v)"""))
