@@ -181,3 +181,40 @@ def test_main_text_of_pages(spark):
     got = extract_main_text(odd, model).collect()
     assert len(got) == 5 and all(r.text == "" and r.n_chars == 0 for r in got if r.page_id in (1, 2, None))
     assert extract_main_text(odd.limit(0), model).collect() == [] and page_sample(odd.limit(0)) == []
+
+
+def test_deep_markup_keeps_its_path_and_open_elements_hide_nothing():
+    deep = "<div class=sidebar>" + "<div>" * 300 + "inner" + "</div>" * 300 + "tail</div><p>after</p>"
+    got = {b.text: [names for _, names in b.path] for b in blocks(deep)}
+    assert ("sidebar",) in got["tail"] and ("sidebar",) in got["inner"] and got["after"] == [()]
+    for tag in ("svg", "select", "object", "noscript", "iframe", "datalist", "template"):
+        assert [b.text for b in blocks(f"<p>one</p><{tag}><p>two</p>")] == ["one", "two"]
+        assert [b.text for b in blocks(f"<p>one</p><{tag}>x</{tag}><p>two</p>")] == ["one", "two"]
+    for tag in ("script", "style", "textarea", "title"):
+        assert [b.text for b in blocks(f"<p>one</p><{tag}><p>two</p>")] == ["one"]
+
+
+def test_a_block_of_many_pieces_costs_no_square():
+    import time
+    took = []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        assert blocks("<p>" + "<b>x</b>" * n + "</p>")[0].text == "x" * n
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 0.5
+
+
+def test_numerals_without_a_letter_are_undetermined(spark):
+    sample = [("de", "der alte Mann geht nach Haus"), ("en", "the old man walks home again")] * 3
+    rows = [(1, "½ ² ① Ⅷ 12"), (2, "½ Haus"), (3, "_ _")]
+    got = {r.doc_id: r.lang_pred for r in predict_languages(spark.createDataFrame(rows, "doc_id long, text string"), fit_languages(sample)).collect()}
+    assert got == {1: "und", 2: "de", 3: "und"}
+
+
+def test_long_texts_teach_the_dictionaries_beside_short_ones():
+    from tillcast.llm.quality import DICTIONARY_TEXT_BYTES, _passage
+    long = ("a very particular phrase of good prose " * 500).encode()
+    assert len(_passage(long)) == DICTIONARY_TEXT_BYTES and _passage(b"short") == b"short" and _passage(b"") == b""
+    sample = [(1, long.decode())] * 8 + [(1, "x y z")] + [(0, "@@@ ### junk " * 20)] * 8
+    model = fit_quality(sample)
+    assert b"particular phrase" in model.good

@@ -66,7 +66,41 @@ def test_hostile_documents_and_none(spark, hostile, no_docs, tmp_path):
     steps, shards = through(spark, plain, "/root/testdata/sf0.001", tmp_path / "a")
     assert [s.columns for s in steps] == [plain.columns] * 5
     assert sorted(r.doc_id or 0 for r in steps[1].collect()) == [0, 1, 1, 2, 7, 8, 9, 10]
-    assert sorted(r.doc_id or 0 for r in steps[2].collect()) == [0, 1, 7, 8, 9, 10]
-    law_holds(shards, 16, 6)
+    assert sorted(r.doc_id or 0 for r in steps[2].collect()) == [1, 7, 8, 9, 10]      # the copy without id is gone
+    law_holds(shards, 16, 5)
     steps, shards = through(spark, no_docs.select(plain.columns), "/root/testdata/sf0.001", tmp_path / "b")
     assert shards == [] and all(s.count() == 0 for s in steps)
+
+
+def test_rows_without_id_are_judged_by_their_text(spark):
+    items = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    clean = "The miller counted his sacks of grain beside the old stone bridge while the river rose."
+    other = "Nobody on the hill had seen the grey mare since the fair, and the stable door stood open."
+    rows = [(None, f"Some words before. {items[0]} And some after.", "en", "a", 1), (None, clean, "en", "a", 1), (5, other, "en", "a", 1),
+            (5, f"{items[1]} under an id that a clean text has", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.decontaminate(spark, docs, "/root/testdata/sf0.001").collect()
+    assert sorted(r.text for r in left) == sorted([clean, other])
+    again = docs.where("doc_id is null").unionByName(docs).unionByName(
+        spark.createDataFrame([(9, clean, "en", "b", 1)], docs.schema))
+    kept = corpus_pipeline.near_dedup(spark, again, SF).collect()
+    texts = [r.text for r in kept]
+    assert len(set(texts)) == len(texts) == 4                    # copies without id are gone, two texts under one id stay
+    assert [r.doc_id for r in kept if r.text == clean] == [9]
+
+
+def test_rows_without_id_are_mixed_like_any_others(spark, tmp_path):
+    rows = [(None if i < 400 else i, f"text {i % 37}", "en", "a" if i < 600 else "b", "clash") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, mix_place string").repartition(5)
+    for frame in (docs, None):
+        if frame is None:
+            docs.write.parquet(f"{tmp_path}/in")
+            frame = spark.read.parquet(f"{tmp_path}/in")
+        corpus_pipeline.mix_sources(spark, frame, SF).write.parquet(f"{tmp_path}/{frame is docs}")
+        got = spark.read.parquet(f"{tmp_path}/{frame is docs}").withColumns({"f": F.col("_metadata.file_name"), "i": F.col("_metadata.row_index")})
+        order = [(r.doc_id, r.source) for r in sorted(got.collect(), key=lambda r: (r.f, r.i))]
+        assert len(order) == 1200 and got.columns[:5] == docs.columns
+        at = [k for k, (i, _) in enumerate(order) if i is None]
+        assert len(at) == 400 and max(at) - min(at) >= 700        # one source's rows: they alternate with the other's blocks
+        for lo in range(0, 1200 - 64, 64):                        # blocks of 32 of either source all along
+            assert {s for _, s in order[lo:lo + 64]} == {"a", "b"}

@@ -32,6 +32,27 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
     return df.mapInArrow(run, struct)
 
 
+def keep_rows(df: DataFrame, make: Callable[[], Callable]) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for which ``make()``'s ``fn(columns)`` is true: each row
+    is judged where it is, so nothing is shuffled and rows need no name."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_PER_CALL):
+                part = whole.slice(start, ROWS_PER_CALL)
+                yield part.filter(pa.array(fn({n: part.column(i) for i, n in enumerate(part.schema.names)}), type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def to_batch(out: dict, arrow: pa.Schema) -> pa.RecordBatch:
     arrays = []
     for field in arrow:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.arrow_rows import map_rows
+from tillcast.llm.arrow_rows import keep_rows, map_rows
 from tillcast.llm.graph import union_all
 from tillcast.llm.shingles import WordHashes, gram_hashes
 
@@ -173,20 +173,26 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, error_rate: float = ERR
     return union_all(parts) if parts else spark.createDataFrame([], SCHEMA)
 
 
+def _finder(shared):
+    """Per task: the function (text) -> occurrences of the block's items."""
+    pieces, hashes = shared.value, WordHashes()
+    tables = {}
+    for head, known in pieces.by_head.items():
+        tables[head] = t = np.zeros(1 << 20, bool)
+        t[(np.fromiter(known, np.uint64) >> np.uint64(44)).astype(np.int64)] = True
+    return lambda text: find_items(text, pieces, hashes, tables)
+
+
 def _match_block(docs: DataFrame, shared) -> DataFrame:
     def make():
-        pieces, hashes = shared.value, WordHashes()
-        tables = {}
-        for head, known in pieces.by_head.items():
-            tables[head] = t = np.zeros(1 << 20, bool)
-            t[(np.fromiter(known, np.uint64) >> np.uint64(44)).astype(np.int64)] = True
+        find = _finder(shared)
 
         def fn(cols):
             ids, texts = cols["doc_id"].to_pylist(), cols["text"].to_pylist()
             out: dict = {k: [] for k in ("doc_id", "item_id", "distance", "budget", "item_words",
                                          "start_char", "end_char", "passage")}
             for i, t in zip(ids, texts):
-                for item, a, b, d in find_items(t, pieces, hashes, tables):
+                for item, a, b, d in find(t):
                     row = (i, item.item_id, d, item.budget, len(item.words), a, b, None if a is None else t[a:b])
                     for k, v in zip(out, row):
                         out[k].append(v)
@@ -207,6 +213,18 @@ def contaminated(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RA
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """``docs`` without the documents that hold a test item; rows without doc_id stay."""
-    bad = benchmark_matches(docs, items, error_rate).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """``docs``, all columns, without the rows whose text holds a test item.  Every row is judged by its own
+    text, with or without a doc_id; null and empty texts stay.  The blocks of items pass over the
+    documents one after the other, each over what the one before has left."""
+    context = docs.sparkSession.sparkContext
+    for block in item_blocks(items):
+        docs = _without(docs, context.broadcast(Pieces.of(block, error_rate)))
+    return docs
+
+
+def _without(docs: DataFrame, shared) -> DataFrame:
+    def make():
+        find = _finder(shared)
+        return lambda cols: [not (t and find(t)) for t in cols["text"].to_pylist()]
+
+    return keep_rows(docs, make)

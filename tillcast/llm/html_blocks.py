@@ -18,6 +18,9 @@ PART = re.compile(r"[a-z]+")
 #: content, and elements inside a line; every other element begins and ends a block.
 HIDDEN = frozenset("script style head title noscript template svg iframe object select textarea datalist".split())
 RAW = frozenset("script style textarea title template svg noscript iframe object select datalist".split())
+#: Of these, the ones that take the rest of the page if they are never closed, as browsers read it;
+#: an open one of the others hides nothing.
+TO_THE_END = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
@@ -47,15 +50,16 @@ def blocks(page: str) -> list[Block]:
     text: list[str] = []
     path: tuple = ()
     linked, links, at, n = 0, 0, 0, len(page)
+    blank = True            # no text yet since the last block ended
 
     def flush():
-        nonlocal linked
+        nonlocal linked, blank
         if text:
             t = " ".join("".join(text).split())
             if t:
                 out.append(Block(path, t, min(linked, len(t))))
             text.clear()
-        linked = 0
+        linked, blank = 0, True
 
     while at < n:
         m = TOKEN.match(page, at)
@@ -65,8 +69,8 @@ def blocks(page: str) -> list[Block]:
             token = m[0]
             if token[0] != "<" or token == "<":
                 piece = html.unescape(token)
-                if not text or not "".join(text).strip():
-                    path = tuple(x for x in stack if x[0] not in INLINE)
+                if blank and piece.strip():
+                    path, blank = tuple(x for x in stack if x[0] not in INLINE), False
                 text.append(piece)
                 if links:
                     linked += len(piece.strip())
@@ -92,7 +96,7 @@ def blocks(page: str) -> list[Block]:
         attrs = m["attrs"] or m["attrs2"] or ""
         if tag in RAW and not attrs.endswith("/"):
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
-            at = end.start() if end else n
+            at = end.start() if end else n if tag in TO_THE_END else at
             continue
         if tag == "head":
             end = re.compile(r"</head\b|<body\b", re.I).search(page, at)
@@ -110,8 +114,7 @@ def blocks(page: str) -> list[Block]:
                 del stack[cut:]
         if attrs.endswith("/") and not inline:
             continue
-        if len(stack) < 256:
-            stack.append((tag, _names(attrs)))
-            links += tag == "a"
+        stack.append((tag, _names(attrs)))
+        links += tag == "a"
     flush()
     return out

@@ -269,18 +269,18 @@ def altered(page: str, rng) -> str:
 
 
 def fit_labeller(pages: list[str], seed: int = 3) -> Labeller:
-    """The labeller trained on the pages and two altered copies of each.  Pages without a block
+    """The labeller trained on the pages and two altered copies of each, every block of them: a page
+    of more than TRAIN_BLOCKS blocks is that many consecutive ones at a time.  Pages without a block
     teach nothing; if there are pages but none teaches, an error is raised."""
     rng = np.random.default_rng(seed)
-    data = []
+    data, taught = [], False
     for page in pages:
         for copy in (page, altered(page, rng), altered(page, rng)):
             seq = blocks(copy)
-            # long pages train on their two ends, where article and boilerplate meet
-            if len(seq) > TRAIN_BLOCKS:
-                seq = seq[:TRAIN_BLOCKS // 2] + seq[-TRAIN_BLOCKS // 2:]
-            data.append((vectors(seq), weak_labels(seq)))
-    if pages and not any(len(x) for x, _ in data[::3]):      # the altered copies have put-in blocks
+            taught |= copy is page and bool(seq)             # the altered copies have put-in blocks
+            x, y = vectors(seq), weak_labels(seq)
+            data += [(x[i:i + TRAIN_BLOCKS], y[i:i + TRAIN_BLOCKS]) for i in range(0, max(1, len(seq)), TRAIN_BLOCKS)]
+    if pages and not taught:
         raise ValueError("no page of the sample has a text block to train on")
     return train(data, seed=seed)
 

@@ -14,22 +14,28 @@ sparse-by-dense matrix product.
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.arrow_rows import map_rows
+from tillcast.llm.arrow_rows import keep_rows, map_rows
 from tillcast.llm.sampling import labelled_sample
 from tillcast.llm.shingles import mix
 
 CELLS = 1 << 18
 GRAMS = 4
-LETTER = re.compile(r"[^\W\d_]")
+#: A word character whose Unicode category is one of the letters': numerals such as one half are none.
+WORDLIKE = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
+def has_letter(text: str | None) -> bool:
+    return any(unicodedata.category(m[0])[0] == "L" for m in WORDLIKE.finditer(text or ""))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple
@@ -91,17 +97,18 @@ def fit_languages(sample: list[tuple[str, str]], landmarks: int = 40, ridge: flo
     if not sets:
         return LanguageModel((), np.zeros((CELLS, 0)))
     marks = [s for lang in languages for s in [s for x, s in sets if x == lang][:landmarks]]
-    # only the landmarks' own cells carry weight: the matrix has a row for each of those
+    # only the landmarks' own cells carry weight; the landmarks are rows of a sparse matrix
     cells = np.unique(np.concatenate(marks))
     place = np.full(CELLS, -1, np.int32)
     place[cells] = np.arange(len(cells))
-    rows = np.zeros((len(cells), len(marks)), np.float32)
-    for j, s in enumerate(marks):
-        rows[place[s], j] = 1 / np.sqrt(len(s))
+    flat, lengths = np.concatenate([place[s] for s in marks]), np.array([len(s) for s in marks])
+    starts, scale = np.concatenate(([0], np.cumsum(lengths)[:-1])), 1 / np.sqrt(lengths)
 
     def kernel(s):
+        held = np.zeros(len(cells), np.float32)
         at = place[s]
-        return rows[at[at >= 0]].sum(0) / np.sqrt(len(s))
+        held[at[at >= 0]] = 1
+        return np.add.reduceat(held[flat], starts) * scale / np.sqrt(len(s))
 
     k = np.stack([kernel(s) for _, s in sets]).astype(np.float64)
     k_mm = np.stack([kernel(s) for s in marks]).astype(np.float64)
@@ -113,7 +120,9 @@ def fit_languages(sample: list[tuple[str, str]], landmarks: int = 40, ridge: flo
     mean = y.mean(0) if len(languages) > 1 else np.zeros(1)
     beta = np.linalg.solve(phi.T @ phi + ridge * np.eye(phi.shape[1]), phi.T @ (y - mean))
     weights = np.zeros((CELLS, len(languages)))
-    weights[cells] = rows @ (root @ beta).astype(np.float32)
+    each = np.repeat((root @ beta) * scale[:, None], lengths, axis=0)       # what a landmark gives each of its cells
+    for x in range(len(languages)):
+        weights[cells, x] = np.bincount(flat, each[:, x], len(cells))
     return LanguageModel(languages, weights, float(np.median(margins(phi @ beta))) or 1.0)
 
 
@@ -123,6 +132,38 @@ def language_sample(docs: DataFrame, per_language: int = 400, most_chars: int =
     return [(r[0], r[2]) for r in labelled_sample(fit, "lang", per_language, most_chars)]
 
 
+def judged(model: LanguageModel, texts: list) -> tuple[list, np.ndarray, np.ndarray]:
+    """(language, score, margin) of each text."""
+    pred, score, margin = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    at = [i for i, t in enumerate(texts) if has_letter(t)] if model.languages else []
+    if at:
+        s = model.scores([texts[i] for i in at])
+        best = s.argmax(1)
+        e = np.exp(3 * (s - s.max(1, keepdims=True)))
+        score[at] = 1 / e.sum(1)
+        margin[at] = margins(s) / model.usual
+        for i, b in zip(at, best):
+            pred[i] = model.languages[b]
+    return pred, score, margin
+
+
+def in_languages(docs: DataFrame, model: LanguageModel, least_margin: float) -> DataFrame:
+    """The rows of ``docs`` whose text is in a recognised language: it has a letter, and its best language
+    leads by ``least_margin``.  Every row is judged by its own text, with or without a doc_id."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        m = shared.value
+
+        def fn(cols):
+            pred, _, margin = judged(m, cols["text"].to_pylist())
+            return [p != UNDETERMINED and g >= least_margin for p, g in zip(pred, margin)]
+
+        return fn
+
+    return keep_rows(docs, make)
+
+
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score, margin for every row, from the whole text alone.
 
@@ -139,17 +180,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         m = shared.value
 
         def fn(cols):
-            texts = cols["text"].to_pylist()
-            pred, score, margin = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-            at = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if m.languages else []
-            if at:
-                s = m.scores([texts[i] for i in at])
-                best = s.argmax(1)
-                e = np.exp(3 * (s - s.max(1, keepdims=True)))
-                score[at] = 1 / e.sum(1)
-                margin[at] = margins(s) / m.usual
-                for i, b in zip(at, best):
-                    pred[i] = m.languages[b]
+            pred, score, margin = judged(m, cols["text"].to_pylist())
             return {"doc_id": cols["doc_id"], "lang_pred": pred, "score": score, "margin": margin}
 
         return fn

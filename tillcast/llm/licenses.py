@@ -1,7 +1,7 @@
 """License scan: MinHash bands over overlapping text windows, then exact containment (operator 4).
 
 A template of m words belongs to a class of span S >= 1.25 m + 1 words.  Windows of a class
-start every S / 4 words and are S + S / 4 words long, so any occurrence of up to S words lies
+start every 2 ** k <= S / 4 words and are one such stride longer than S, so any occurrence of up to S words lies
 whole in a window.  An occurrence that holds the share c of the template's t shingles gives the
 two a Jaccard similarity of at least c t / (window's shingles + t - c t); a class has as many
 bands (of one minhash each) as make the chance of missing that similarity at most MISS.  What
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import pkgutil
+import re
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -134,7 +135,7 @@ def all_templates() -> list[tuple[str, str]]:
 
 def words_of(text: str) -> list[bytes]:
     """Lower-cased runs of letters and digits; punctuation separates."""
-    return "".join(c if c.isalnum() else " " for c in text.lower()).encode().split()
+    return re.sub(r"[\W_]+", " ", text.lower()).encode().split()
 
 
 def band_count(template_shingles: int, window_shingles: int, contained: float, miss: float = MISS) -> int:
@@ -164,69 +165,96 @@ class Template:
 
 @dataclass(frozen=True)
 class Bands:
-    """The windows and bands of one class, and the minima of its templates by band."""
+    """The windows and bands of one class, and the minima of its templates by band.  Every class takes
+    the first of the same seeds, and its stride is a power of two."""
     size: int
-    stride: int
+    level: int            # windows start every 2 ** level shingles
     blocks: int           # strides that a window covers
-    seeds: np.ndarray
     lows: np.ndarray      # (bands, templates)
     templates: tuple
-    least: int            # shingles that a text needs to hold any of the templates
 
     @staticmethod
     def of(templates: list[Template], contained: float) -> Bands:
         size, span = templates[0].size, templates[0].span
-        stride = max(1, span // 4)
+        level = max(1, span // 4).bit_length() - 1
+        stride = 1 << level
         blocks = -(-(span + stride - size + 1) // stride)
         n = max(band_count(len(t.shingles), blocks * stride, contained) for t in templates)
-        seeds = mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
-        lows = np.array([[_permuted(t.shingles, s).min() for t in templates] for s in seeds], np.uint64)
-        least = min(math.ceil(contained * len(t.shingles) - 1e-9) for t in templates)
-        return Bands(size, stride, blocks, seeds, lows, tuple(templates), max(1, least))
-
-    def retrieve(self, grams: np.ndarray) -> set[tuple[int, int]]:
-        """(first shingle of a window, template) pairs that agree in a band."""
-        starts = np.arange(0, len(grams), self.stride)
-        at: set = set()
-        for seed, lows in zip(self.seeds, self.lows):
-            p = _permuted(grams, seed)
-            p[grams == NONE] = NONE
-            block = np.minimum.reduceat(p, starts)
-            low = block.copy()
-            for k in range(1, min(self.blocks, len(block))):
-                np.minimum(low[:-k], block[k:], out=low[:-k])
-            for j, v in enumerate(lows):
-                at.update((int(starts[i]), j) for i in np.flatnonzero(low == v))
-        return at
+        lows = np.array([[_permuted(t.shingles, s).min() for t in templates] for s in seeds(n)], np.uint64)
+        return Bands(size, level, blocks, lows, tuple(templates))
+
+
+def seeds(n: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
 
 
 def _permuted(x: np.ndarray, seed) -> np.ndarray:
     return (x ^ seed) * (seed | np.uint64(1))
 
 
+def _halved(low: np.ndarray) -> np.ndarray:
+    """Minima of neighbouring pairs; an odd last one stays alone."""
+    pairs = np.minimum(low[:-1:2], low[1::2])
+    return np.append(pairs, low[-1]) if len(low) % 2 else pairs
+
+
+def _window_minima(block: np.ndarray, blocks: int) -> np.ndarray:
+    """Minimum of each run of ``blocks`` (fewer at the end), by doubling runs."""
+    low, width = block, 1
+    while width < blocks and width < len(block):
+        by = min(width, blocks - width)
+        wider = low.copy()
+        np.minimum(low[:-by], low[by:], out=wider[:-by])
+        low, width = wider, width + by
+    return low
+
+
+def retrieve(grams: np.ndarray, classes: list[Bands]) -> list[set]:
+    """For each class the (first shingle of a window, template) pairs that agree in a band.
+
+    The shingles are permuted once a seed for all classes, and the minima of coarser strides come
+    from those of finer ones."""
+    found: list[set] = [set() for _ in classes]
+    none = grams == NONE
+    p = np.empty_like(grams)
+    for k, seed in enumerate(seeds(max(len(c.lows) for c in classes))):
+        live = [(c, f) for c, f in zip(classes, found) if k < len(c.lows)]
+        np.bitwise_xor(grams, seed, out=p)
+        np.multiply(p, seed | np.uint64(1), out=p)
+        p[none] = NONE
+        low = p
+        for level in range(max(c.level for c, _ in live) + 1):
+            low = _halved(low) if level else low
+            for c, f in live:
+                if c.level == level:
+                    window = _window_minima(low, c.blocks)
+                    for j, v in enumerate(c.lows[k]):
+                        f.update((int(i) << level, j) for i in np.flatnonzero(window == v))
+    return found
+
+
 def scan(texts: list[str], classes: list[Bands], hashes: WordHashes, contained: float):
     """(text, template, containment, first word, words) of the windows that hold a template.
     Texts are laid end to end; a shingle never spans two of them, and a window that does is
     judged by its part in each."""
-    every = [hashes.of(words_of(t or "")) for t in texts]
-    for c in classes:
-        # shorter texts cannot hold enough of any template of the class
-        long = [i for i, w in enumerate(every) if len(w) - c.size + 1 >= c.least]
-        if not long:
+    words = [hashes.of(words_of(t or "")) for t in texts]
+    ends = np.cumsum([len(w) for w in words])
+    flat, owner = np.concatenate(words) if words else np.empty(0, np.uint64), np.repeat(np.arange(len(words)), [len(w) for w in words])
+    for size in sorted({c.size for c in classes}):
+        mine = [c for c in classes if c.size == size]
+        grams = gram_hashes(flat, size)
+        if not len(grams):
             continue
-        words = [every[i] for i in long]
-        ends = np.cumsum([len(w) for w in words])
-        flat, owner = np.concatenate(words), np.repeat(np.arange(len(words)), [len(w) for w in words])
-        grams = gram_hashes(flat, c.size)
-        grams[owner[:len(grams)] != owner[c.size - 1:]] = NONE
-        for first, j in sorted(c.retrieve(grams)):
-            t, last = c.templates[j], min(len(grams), first + c.blocks * c.stride)
-            for text in range(owner[first], owner[last - 1] + 1):
-                a, b = max(first, ends[text - 1] if text else 0), min(last, ends[text])
-                share = len(np.intersect1d(grams[a:b], t.shingles)) / len(t.shingles)
-                if share >= contained - 1e-12:
-                    begin = int(ends[text - 1]) if text else 0
-                    yield long[text], t.name, share, int(a) - begin, int(min(b + c.size - 1, ends[text]) - a)
+        grams[owner[:len(grams)] != owner[size - 1:]] = NONE
+        for c, pairs in zip(mine, retrieve(grams, mine)):
+            for first, j in sorted(pairs):
+                t, last = c.templates[j], min(len(grams), first + (c.blocks << c.level))
+                for text in range(owner[first], owner[last - 1] + 1):
+                    a, b = max(first, ends[text - 1] if text else 0), min(last, ends[text])
+                    share = len(np.intersect1d(grams[a:b], t.shingles)) / len(t.shingles)
+                    if share >= contained - 1e-12:
+                        begin = int(ends[text - 1]) if text else 0
+                        yield text, t.name, share, int(a) - begin, int(min(b + size - 1, ends[text]) - a)
 
 
 def license_hits(docs: DataFrame, templates: list[tuple[str, str]] | None = None, shingle: int = SHINGLE,

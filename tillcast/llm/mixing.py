@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm.arrow_rows import free_name
 from tillcast.llm.ranks import ranked
+from tillcast.session import durable
 
 BLOCK_ROWS = 32
 PARTS = 1000
@@ -85,7 +88,7 @@ def _src(source):
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS,
-                alpha: float = ALPHA, parts: int = PARTS) -> DataFrame:
+                alpha: float = ALPHA, parts: int = PARTS, row: list[str] | None = None) -> DataFrame:
     """Place of every row of ``docs(doc_id, source)`` in the mixed order: doc_id, source, block
     (of its source, by doc_id), slot (of the block in the schedule, gapless from 0), position
     (of the row, gapless from 0).
@@ -95,10 +98,13 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
     when a source runs out the rest keep their proportions.  The plan holds one entry per source
     and phase, whatever the number of rows.
 
+    ``row``: columns that tell rows of equal doc_id apart; they order those and are returned too.
+
     Null source: a source of its own.  Null doc_id: sorts first in its source.  Repeated rows
     get a place each.  Texts are not read.  No rows: no rows.  Other columns are ignored."""
     spark = docs.sparkSession
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _src(F.col("source")).alias("_src"))
+    row = row or []
+    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", _src(F.col("source")).alias("_src"), *row)
     rows = {r[0]: r[1] for r in keys.groupBy("_src").count().collect()}
     schema = ("_s string, first long, end long, base long, c long, total long, places array<int>, short long")
     share = tempered_parts(rows, alpha, parts)
@@ -107,21 +113,26 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block_rows: int =
         whole = sum(named.values())
         share |= {s: max(1, round(parts * w / whole)) for s, w in named.items() if s in rows}
     plan = spark.createDataFrame([tuple(p.values()) for p in phases(rows, share, block_rows)], schema)
-    r = (ranked(keys, ["_src"], ["doc_id"]).withColumn("block", F.floor(F.col("_rank") / block_rows)))
+    r = (ranked(keys, ["_src"], ["doc_id", *row]).withColumn("block", F.floor(F.col("_rank") / block_rows)))
     j = F.col("block") - F.col("first")
     return (r.join(F.broadcast(plan), (F.col("_src") == F.col("_s")) & (F.col("block") >= F.col("first"))
                    & (F.col("block") < F.col("end")))
             .withColumn("slot", F.col("base") + F.floor(j / F.col("c")) * F.col("total")
                         + F.get("places", (j % F.col("c")).cast("int")))
             .withColumn("position", F.col("slot") * block_rows - F.col("short") + F.col("_rank") % block_rows)
-            .select("doc_id", "source", "block", "slot", "position"))
+            .select("doc_id", "source", "block", "slot", "position", *row))
 
 
 def in_mixed_order(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` sorted by their place in the mix: written out, the files hold it in this order."""
-    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    place = (mix_sources(docs, **how).groupBy(F.col("doc_id").alias("_mix_id"), key.alias("_mix_key"))
-             .agg(F.min("position").alias("_mix_at")))
-    own = docs["doc_id"].cast("long").eqNullSafe(place["_mix_id"]) & (_src(docs["source"]) == place["_mix_key"])
-    return (docs.join(place, own).repartitionByRange(F.col("_mix_at")).sortWithinPartitions("_mix_at")
-            .select(*[docs[c] for c in docs.columns]))
+    """``docs`` sorted by their place in the mix: written out, the files hold it in this order.
+
+    Rows are told apart by where they lie in the files read (by their place in a checkpoint if
+    ``docs`` is not read from files), so rows without doc_id and repeated rows are mixed like
+    any others.  Only these names and the sources are ranked; the rows meet their places in one join."""
+    file, at, place = (free_name(docs, c) for c in ("mix_file", "mix_row", "mix_place"))
+    try:
+        named = docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:
+        named = durable(docs.withColumns({file: F.lit(0).cast("long"), at: F.monotonically_increasing_id()}))
+    found = mix_sources(named.select("doc_id", "source", file, at), row=[file, at], **how).select(file, at, F.col("position").alias(place))
+    return (named.join(found, [file, at]).repartitionByRange(place).sortWithinPartitions(place).select(*docs.columns))

@@ -8,6 +8,7 @@ dictionary leaves is the second input of the logistic calibration that yields th
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,12 +74,18 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"\n".join(texts)[-DICTIONARY_BYTES:]
 
 
+def _passage(text: bytes) -> bytes:
+    start = zlib.crc32(text) % max(1, len(text) - DICTIONARY_TEXT_BYTES + 1)
+    return text[start:start + DICTIONARY_TEXT_BYTES]
+
+
 def fit_quality(sample: list[tuple[int, str]], share_good: float = 0.5) -> QualityModel:
     """``sample``: (quality, text) with the same number of either label, as far as there are;
     ``share_good`` is the share of label 1 among all labelled rows, to which the calibration
-    is weighted.  Even rows make the dictionaries, odd rows the calibration."""
+    is weighted.  Even rows make the dictionaries, odd rows the calibration; a long text gives the
+    dictionaries a passage of DICTIONARY_TEXT_BYTES, from a place that its digest chooses."""
     by = {q: [t.encode() for x, t in sample if x == q] for q in (0, 1)}
-    half = {q: [t for t in by[q][::2] if len(t) <= DICTIONARY_TEXT_BYTES] or by[q] for q in by}
+    half = {q: [_passage(t) for t in by[q][::2]] for q in by}
     good, bad = _dictionary(half[1]), _dictionary(half[0])
     rest = [(q, t) for q in (0, 1) for t in (by[q][1::2] or by[q])]
     plain = QualityModel(good, bad, np.zeros(2), np.ones(2), np.array([0.0, 0.0, _odds(share_good)]))

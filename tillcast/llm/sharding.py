@@ -17,18 +17,21 @@ from tillcast.llm.ranks import ranked
 from tillcast.session import durable
 
 SHARDS = 16
-ROUNDS = 8
-LINE_CHARS = 40
 GAIN_STEPS = 8
+#: Rounds end when two of them (a round moves one half of the groups) admit less than this share
+#: of the linked rows, or no less than the two before: groups then only change places.
+LEAST_MOVED = 0.005
+#: A group of more than one part in this many of all rows is many keys of a join.
+LARGE = 2_000
 
 
 def shared_lines(docs: DataFrame) -> DataFrame:
-    """(cell, hub): the lines of at least LINE_CHARS characters that two or more different
-    texts hold.  Equal texts are one cell, so copies add no rows."""
+    """(cell, hub): the lines that two or more different texts hold, blank ones aside.  Equal texts are
+    one cell, so copies add no rows."""
     lines = (docs.where("text is not null").select(_cell().alias("cell"), F.explode(F.split("text", "\n")).alias("l"))
-             .where(F.length("l") >= LINE_CHARS).select("cell", F.xxhash64("l").alias("hub")).distinct())
+             .where(F.trim("l") != "").select("cell", F.xxhash64("l").alias("hub")).distinct())
     lines = durable(lines)
-    held = durable(lines.groupBy("hub").count().where("count > 1").select("hub"))
+    held = lines.groupBy("hub").count().where("count > 1").select("hub")
     return durable(lines.join(held, "hub"))
 
 
@@ -37,25 +40,25 @@ def _cell() -> Column:
 
 
 def _moves(state: DataFrame, edges: DataFrame, shards: int, step: int) -> DataFrame:
-    """(cell, chunk, target, gain) of the groups that another shard draws more than their own.
+    """(cell, chunk, w, label, target, gain) of the groups that another shard draws more than their own.
 
     A line pulls with the share of its groups that each shard holds, so a line that very many
     texts share pulls weakly and evenly.  The histogram of a line is combined map-side and is
     one row of ``shards`` numbers.  A hash picks the half of the groups that may move in a round,
     so that two linked groups do not swap places for ever."""
-    placed = edges.join(state.select("cell", "chunk", "label"), "cell")
+    placed = edges.join(state, "cell")
     count = [F.sum(F.when(F.col("label") == k, 1).otherwise(0)) for k in range(shards)]
-    hist = durable(placed.groupBy("hub").agg(F.array(*count).alias("h"), F.count(F.lit(1)).alias("n")))
+    hist = placed.groupBy("hub").agg(F.array(*count).alias("h"), F.count(F.lit(1)).alias("n"))
     pull = [F.sum(F.col("h")[k] / F.col("n")) for k in range(shards)]
-    wants = (placed.join(hist, "hub").groupBy("cell", "chunk", "label")
+    turn = F.pmod(F.xxhash64("cell", "chunk", F.lit(~step)), F.lit(2)) == 0
+    wants = (placed.where(turn).join(hist, "hub").groupBy("cell", "chunk", "w", "label")
              .agg(F.array(*pull).alias("p"), F.sum(1 / F.col("n")).alias("self"), F.count(F.lit(1)).alias("degree")))
     # what a group itself adds to its own shard does not hold it there
     wants = wants.withColumn("p", F.transform("p", lambda x, k: x - F.when(k == F.col("label"), F.col("self")).otherwise(0)))
     own, best = F.get("p", F.col("label")), F.array_max("p")
-    out = wants.select("cell", "chunk", "label", (F.array_position("p", best) - 1).cast("int").alias("target"),
+    out = wants.select("cell", "chunk", "w", "label", (F.array_position("p", best) - 1).cast("int").alias("target"),
                        ((best - own) / F.col("degree")).alias("gain"))
-    turn = F.pmod(F.xxhash64("cell", "chunk", F.lit(~step)), F.lit(2)) == 0
-    return out.where((F.col("gain") > 1e-9) & (F.col("target") != F.col("label")) & turn)
+    return out.where((F.col("gain") > 1e-9) & (F.col("target") != F.col("label")))
 
 
 def _cycle(rest: dict) -> list:
@@ -109,37 +112,43 @@ def _flows(volumes: dict, load: dict, quota: float) -> dict:
     return out
 
 
-def _admit(state: DataFrame, moves: DataFrame, quota: float, shards: int, step: int) -> DataFrame:
-    """The state after the admitted moves.  Volumes by (from, to, gain step), shards * shards *
-    GAIN_STEPS numbers at most, decide what share of each is admitted; a hash picks the groups."""
-    load = dict.fromkeys(range(shards), 0.0)
-    load |= {r[0]: float(r[1]) for r in state.groupBy("label").agg(F.sum("w")).collect()}
-    m = durable(moves.join(state.select("cell", "chunk", "w"), ["cell", "chunk"]).withColumn(
-        "level", F.least(F.floor(F.col("gain") * GAIN_STEPS), F.lit(GAIN_STEPS - 1)).cast("int")))
-    volumes = {(r[0], r[1], r[2]): float(r[3])
-               for r in m.groupBy("label", "target", "level").agg(F.sum("w")).collect()}
-    admitted = [(*k, take / volumes[k]) for k, take in sorted(_flows(volumes, load, quota).items())]
-    share = state.sparkSession.createDataFrame(admitted, "label int, target int, level int, share double")
+def _admit(state: DataFrame, moves: DataFrame, quota: float, shards: int, step: int) -> tuple[DataFrame, float]:
+    """The state after the admitted moves, and their volume.  Volumes by (from, to, gain step), shards *
+    shards * GAIN_STEPS numbers at most, decide what share of each is admitted; a hash picks the groups."""
+    m = durable(moves.withColumn("level", F.least(F.floor(F.col("gain") * GAIN_STEPS), F.lit(GAIN_STEPS - 1)).cast("int")))
+    at = ["label", "target", "level"]
+    sums = (m.select(*at, "w").unionByName(state.select("label", F.lit(-1).alias("target"), F.lit(-1).alias("level"), "w"))
+            .groupBy(*at).agg(F.sum("w").alias("w")).collect())
+    load = dict.fromkeys(range(shards), 0.0) | {r["label"]: float(r["w"]) for r in sums if r["target"] < 0}
+    volumes = {(r["label"], r["target"], r["level"]): float(r["w"]) for r in sums if r["target"] >= 0}
+    if not volumes:
+        return state, 0.0
+    flows = _flows(volumes, load, quota)
+    share = state.sparkSession.createDataFrame([(*k, take / volumes[k]) for k, take in sorted(flows.items())],
+                                               "label int, target int, level int, share double")
     luck = F.pmod(F.xxhash64("cell", "chunk", F.lit(step)), F.lit(1 << 20)) / float(1 << 20)
-    go = (m.join(F.broadcast(share), ["label", "target", "level"]).where(luck < F.col("share"))
-          .select("cell", "chunk", "target"))
-    return durable(state.join(go, ["cell", "chunk"], "left")
-                   .select("cell", "chunk", "w", F.coalesce("target", "label").alias("label")))
+    go = m.join(F.broadcast(share), at).where(luck < F.col("share")).select("cell", "chunk", "target")
+    after = state.join(go, ["cell", "chunk"], "left").select("cell", "chunk", "w", F.coalesce("target", "label").alias("label"))
+    return durable(after), sum(flows.values())
 
 
-def propagate(linked: DataFrame, edges: DataFrame, quota: float, shards: int, rounds: int) -> DataFrame:
-    """Labels of the linked groups (cell, chunk, w): an even start in hash order, then rounds."""
+def propagate(linked: DataFrame, edges: DataFrame, quota: float, shards: int) -> DataFrame:
+    """Labels of the linked groups (cell, chunk, w): an even start in hash order, then rounds until next
+    to nothing moves."""
     start = ranked(linked.withColumn("_h", F.xxhash64("cell", "chunk")), [], ["_h", "cell", "chunk"], "w")
-    whole = linked.agg(F.sum("w")).first()[0] or 1
-    middle = (F.col("_before") + F.col("w") / 2) * shards / float(whole)
+    whole = float(linked.agg(F.sum("w")).first()[0] or 1)
+    middle = (F.col("_before") + F.col("w") / 2) * shards / whole
     state = durable(start.select("cell", "chunk", "w", F.least(F.floor(middle), F.lit(shards - 1)).cast("int").alias("label")))
-    for step in range(rounds):
-        state = _admit(state, _moves(state, edges, shards, step), quota, shards, step)
-    return state
+    moved, step = [], 0
+    while True:
+        state, volume = _admit(state, _moves(state, edges, shards, step), quota, shards, step)
+        moved.append(volume)
+        step += 1
+        if step % 2 == 0 and (sum(moved[-2:]) < LEAST_MOVED * whole or step > 2 and sum(moved[-2:]) >= sum(moved[-4:-2])):
+            return state
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
-                    slot_order: list[str] | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slot_order: list[str] | None = None) -> DataFrame:
     """Shard of every row: doc_id, size (UTF-8 bytes of the text + 1), text_crc32, law, shard,
     slot, grown_shard, linked (its text shares a line with another text).
 
@@ -155,7 +164,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     order = slot_order or []
     base = durable(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), _cell().alias("cell"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), _cell().alias("cell"), F.monotonically_increasing_id().alias("row"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]))
     rows = base.count()
     if not rows:
@@ -170,7 +179,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
                      .withColumn("pieces", pieces).withColumn("linked", F.coalesce("linked", F.lit(False)))
                      .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
                      .withColumn("w", F.col("n") / F.col("pieces")))
-    state = propagate(groups.where("linked").select("cell", "chunk", "w"), edges, quota, shards, rounds)
+    state = propagate(groups.where("linked").select("cell", "chunk", "w"), edges, quota, shards)
     load = dict.fromkeys(range(shards), 0.0)
     load |= {r[0]: float(r[1]) for r in state.groupBy("label").agg(F.sum("w")).collect()}
     # groups without links fill what is free, shard after shard
@@ -182,11 +191,20 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     for k in reversed(range(shards)):
         label = F.when(F.col("_before") + F.col("w") / 2 < upto, F.lit(k)).otherwise(label)
         upto -= room[k] * scale
-    labels = durable(state.select("cell", "chunk", "label").unionByName(
-        free.select("cell", "chunk", label.alias("label"))))
-    placed = (base.join(groups.select("cell", "pieces", "linked", "w").dropDuplicates(["cell"]), "cell")
-              .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int"))
-              .join(labels, ["cell", "chunk"])
+    labels = state.select("cell", "chunk", "label").unionByName(free.select("cell", "chunk", label.alias("label")))
+    # every row finds its group's label by (cell, chunk, salt); only large groups, LARGE at most, have
+    # more than one chunk or salt, so what these are is broadcast
+    most = F.lit(float(rows)) / LARGE
+    large = (groups.where(F.col("w") * F.col("pieces") > most).groupBy("cell")
+             .agg(F.max("pieces").alias("pieces"), F.ceil(F.max("w") / most).cast("int").alias("salts")))
+    known = F.broadcast(large)
+    spread = (groups.join(labels, ["cell", "chunk"]).join(known.select("cell", "salts"), "cell", "left")
+              .select("cell", "chunk", "linked", "w", "label", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")))
+    luck = F.xxhash64(F.coalesce("doc_id", F.col("row")))
+    placed = (base.join(known, "cell", "left").fillna(1, ["pieces", "salts"])
+              .withColumn("chunk", F.pmod(luck, F.col("pieces")).cast("int"))
+              .withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")).drop("pieces", "salts")
+              .join(spread, ["cell", "chunk", "salt"])
               .withColumn("end", F.when(F.col("w") > 1, 1).otherwise(F.pmod("cell", F.lit(2)) * 2)))
     # single rows lie at both ends of a label, so that the borders fall between them
     cut = ranked(placed, [], ["label", "end", "cell", "chunk", "doc_id"])
