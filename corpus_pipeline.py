@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.llm.arrow_rows import free_name
 from tillcast.llm.decontaminate import drop_contaminated
-from tillcast.llm.language import UNDETERMINED, fit_languages, language_sample, predict_languages
+from tillcast.llm.language import fit_languages, in_languages, language_sample
 from tillcast.llm.mixing import in_mixed_order
 from tillcast.llm.near_dedup import near_duplicates
 from tillcast.llm.queries import table
@@ -21,26 +22,27 @@ LEAST_MARGIN = 0.025
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without letters, or that no language claims, go."""
-    model = fit_languages(language_sample(docs))
-    said = predict_languages(docs, model)
-    bad = (said.where((F.col("lang_pred") == UNDETERMINED) | (F.col("margin") < LEAST_MARGIN))
-           .select(F.col("doc_id").alias("_bad")).distinct())
-    lettered = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
-    # rows without doc_id cannot be named in a list of rejects: they go by their letters alone
-    return docs.where(lettered).join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """Documents with a recognised language; those without letters, or that no language claims, go.
+    Each row is judged by its own text, so rows without doc_id, or with one in common, are too."""
+    return in_languages(docs, fit_languages(language_sample(docs)), LEAST_MARGIN)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one of the smallest doc_id."""
-    gone = near_duplicates(docs, size=5, percent=80).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    # repeated rows of one doc_id are one document; rows without doc_id stay as they are
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id is null"))
+    """One document of each class of near duplicates: the one of the smallest doc_id.
+
+    Texts without a doc_id take part under a number made of their text, above all others; repeated
+    rows (same doc_id, same text) are one document.  Texts without a word are linked with nothing."""
+    name, digest = free_name(docs, "dedup_name"), free_name(docs, "dedup_digest")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    stand_in = F.shiftrightunsigned(text, 2).bitwiseOR(F.lit(1 << 62))
+    named = docs.withColumns({name: F.coalesce(F.col("doc_id").cast("long"), stand_in), digest: text})
+    gone = (near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), size=5, percent=80).where("not kept")
+            .select(F.col("doc_id").alias(name)).distinct())
+    return named.join(gone, name, "left_anti").dropDuplicates([name, digest]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item."""
+    """Documents that hold no test item, each row judged by its own text."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
