@@ -261,11 +261,13 @@ def q_neg_head(spark, sf):
 
 
 # Names that Spark gives to the types of the view's columns
-TYPES = {"store_id": "int", "store_type": "string", "store_size": "int", "dept_id": "int", "week_date": "date", "isholiday": "boolean"}
+TYPES = {"store_id": "int", "store_type": "string", "store_size": "int", "dept_id": "int", "week_date": "date", "isholiday": "boolean",
+         "weekly_sales": "decimal(18,2)", "temperature": "decimal(6,2)", "fuel_price": "decimal(6,3)", **dict.fromkeys(MARKDOWNS, "decimal(18,4)"),
+         "cpi": "decimal(10,7)", "unemployment": "decimal(6,3)"}
 
 
 @register("d28_dtypes", with_base("", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{TYPES.get(c, 'DTYPE_' + c)}' AS data_type, COUNT({c}) AS non_null FROM v" for c in VIEW_COLUMNS)))
+    f"SELECT '{c}' AS column_name, '{TYPES[c]}' AS data_type, COUNT({c}) AS non_null FROM v" for c in VIEW_COLUMNS)))
 def q_dtypes(spark, sf):
     """Schema listing of the analytics view, with the non-null values of each column."""
     return eda.dtypes_frame(view(spark, sf))
