@@ -56,3 +56,52 @@ def test_splits_written_partitioned(spark, tmp_path):
     t = spark.read.parquet(str(tmp_path / "splits")).where(F.col("split") == "test")
     assert "PartitionFilters: [isnotnull(split" in t._jdf.queryExecution().executedPlan().toString()
     assert t.count() == 1
+
+
+def test_ordered_fingerprint_sees_a_swap_and_joins(spark, tmp_path):
+    import hashlib
+
+    from tillcast.sources.fingerprint import BASES, PRIME, joined, ordered_fingerprint, ordered_fingerprint_text
+    lines = [f"line {i % 7} of {i}" for i in range(300)]
+
+    def plain(ls):
+        return len(ls), "-".join(str(sum(int(hashlib.md5(x.encode()).hexdigest()[8 * k:8 * k + 8], 16) % PRIME * pow(b, i, PRIME)
+                                         for i, x in enumerate(ls)) % PRIME) for k, b in enumerate(BASES))
+
+    def of(ls, parts):
+        df = spark.createDataFrame(list(enumerate(ls)), "at int, value string").repartition(parts)
+        return tuple(ordered_fingerprint(df, ["at"]).first())
+
+    assert of(lines, 1) == of(lines, 6) == plain(lines)
+    assert of([lines[1], lines[0], *lines[2:]], 6) != plain(lines)
+    assert joined(plain(lines[:90]), plain(lines[90:])) == plain(lines)
+    assert tuple(ordered_fingerprint(spark.createDataFrame([], "at int, value string"), ["at"]).first()) == plain([])
+    (tmp_path / "a.txt").write_text("\n".join(lines[:90]))
+    (tmp_path / "b.txt").write_text("\n".join(lines[90:]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert tuple(ordered_fingerprint_text(spark, str(tmp_path)).first()) == plain(lines)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tables_stored_by_series_need_no_exchange(spark, tmp_path):
+    from tests.conftest import SMALL
+    from tillcast.operators.features import build_features
+    from tillcast.operators.split import with_split
+    from tillcast.plans.feature_plans import view
+    sv = with_split(view(spark, SMALL))
+    path = str(tmp_path / "splits")
+    sinks.write_by_series(sv, path, buckets=4)
+    stored = sinks.read_by_series(spark, path)
+    assert stored.schema.fieldNames() == sv.schema.fieldNames() and stored.count() == sv.count()
+    built = build_features(stored)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    assert sorted(map(str, built.collect())) == sorted(map(str, build_features(sv).collect()))
+    # a session that did not write it names the layout again
+    spark.sql(f"DROP TABLE {sinks._table_name(path)}")
+    again = sinks.read_by_series(spark, path)
+    assert "Exchange" not in build_features(again)._jdf.queryExecution().executedPlan().toString()
+    sinks.write_by_series(sv.limit(10), path, buckets=2)                     # written anew
+    assert sinks.read_by_series(spark, path).count() == 10

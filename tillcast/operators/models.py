@@ -356,18 +356,34 @@ class Boosting:
                                     seed=self.seed + k, **{"featureSubsetStrategy": "all", **shape})
         return one.fit(rows.select("features", (F.col(TARGET) - F.col("score")).alias("residual")))
 
-    def _scored(self, rows: DataFrame, tree, k: int) -> DataFrame:
-        return tree.transform(rows).withColumn("score", F.col("score") + F.lit(self.weight(k)) * F.col("prediction")).drop("prediction")
+    def _ensemble(self, first: int, end: int):
+        """Trees ``first`` to ``end`` (exclusive) as one Spark model: it predicts, tells importances and can be saved."""
+        from pyspark.ml.regression import GBTRegressionModel
+
+        session = self.rows.sparkSession
+        jvm, gateway = session._jvm, session.sparkContext._gateway
+        trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, end - first)
+        weights = gateway.new_array(jvm.double, end - first)
+        for i, k in enumerate(range(first, end)):
+            trees[i], weights[i] = self.trees[k]._java_obj.trees()[0], self.weight(k)
+        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+            f"boosted_{self.seed}_{first}_{end}", trees, weights, int(self.trees[first].numFeatures)))
+
+    def _scored(self, rows: DataFrame, first: int, end: int) -> DataFrame:
+        """``rows`` with what the trees ``first`` to ``end`` add: one expression, whatever their number, so that
+        every round has the same plan and compiles nothing anew."""
+        if first == end:
+            return rows
+        return self._ensemble(first, end).transform(rows).withColumn("score", F.col("score") + F.col("prediction")).drop("prediction")
 
     def advance(self, rounds: int) -> None:
         """Grow ``rounds`` more trees."""
         target = len(self.trees) + rounds
         while len(self.trees) < target:
-            first, rows = len(self.trees), self.rows
-            for k in range(first, min(first + STATE_ROUNDS, target)):
-                self.trees.append(self._grown(rows, k))
-                rows = self._scored(rows, self.trees[k], k)
-            self.rows = durable(rows)
+            first, last = len(self.trees), min(len(self.trees) + STATE_ROUNDS, target)
+            for k in range(first, last):
+                self.trees.append(self._grown(self._scored(self.rows, first, k), k))
+            self.rows = durable(self._scored(self.rows, first, last))
             if self.held is not None:
                 self._measure(first)
 
@@ -375,7 +391,7 @@ class Boosting:
         """The error of the held rows after each new round, in one pass over them."""
         rows, errors = self.held, []
         for k in range(first, len(self.trees)):
-            rows = self._scored(rows, self.trees[k], k).withColumn(f"score_{k}", F.col("score"))
+            rows = self._scored(rows, k, k + 1).withColumn(f"score_{k}", F.col("score"))
             errors.append(F.avg((F.col(TARGET) - F.col(f"score_{k}")) ** 2).alias(f"e{k}"))
         seen = durable(rows)
         self.errors += [e if e is not None else float("inf") for e in seen.agg(*errors).first()]
@@ -391,18 +407,8 @@ class Boosting:
             self.advance(min(STATE_ROUNDS, rounds - len(self.trees)))
 
     def model(self, kept: int):
-        """The first ``kept`` trees as one Spark model: it predicts, tells importances and can be saved."""
-        from pyspark.ml.regression import GBTRegressionModel
-
-        session = self.rows.sparkSession
-        jvm, gateway = session._jvm, session.sparkContext._gateway
-        trees = [t._java_obj.trees() for t in self.trees[:kept]]
-        each = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, kept)
-        weights = gateway.new_array(jvm.double, kept)
-        for k, t in enumerate(trees):
-            each[k], weights[k] = t[0], self.weight(k)
-        width = int(self.trees[0].numFeatures)
-        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"boosted_{self.seed}_{kept}", each, weights, width))
+        """The first ``kept`` trees."""
+        return self._ensemble(0, kept)
 
 
 def _tree_target(df: DataFrame) -> DataFrame:

@@ -243,10 +243,8 @@ def _ensemble(va: DataFrame, val_preds: DataFrame, test_preds: DataFrame, member
     None without two members."""
     if members.isEmpty():
         return None
-    found = {}
-    for method, combine in (("simple", ensemble.simple_mean), ("weighted", ensemble.weighted_mean)):
-        m = durable(rounded(evaluate.evaluate_predictions(va, combine(val_preds, members), with_wmae=True, params=params)))
-        found[method] = (m, combine)
+    m = durable(rounded(evaluate.evaluate_predictions(va, ensemble.both_means(val_preds, members), by=["model"], with_wmae=True, params=params)))
+    found = {c: (m.where(F.col("model") == c).drop("model"), f) for c, f in (("simple", ensemble.simple_mean), ("weighted", ensemble.weighted_mean))}
     method = ensemble.choose_ensemble(found["simple"][0], found["weighted"][0]).first()["ensemble_method"]
     label = f"{name} ({method})"
     metrics, combine = found[method]

@@ -200,10 +200,12 @@ SELECT CASE WHEN mw.rmse < ms.rmse THEN 'weighted' ELSE 'simple' END AS ensemble
   LEAST(mw.rmse, ms.rmse) AS rmse FROM ms, mw"""))
 def q_choice(spark, sf):
     preds, val, r = baseline_metrics(spark, sf)
-    mem = en.ensemble_members(r, GATE)
-    ms = rounded(ev.evaluate_predictions(val, en.simple_mean(preds, mem), with_wmae=True, params=P))
-    mw = rounded(ev.evaluate_predictions(val, en.weighted_mean(preds, mem), with_wmae=True, params=P))
-    return en.choose_ensemble(ms, mw)
+    mem = durable(en.ensemble_members(r, GATE))
+    m = durable(rounded(ev.evaluate_predictions(val, en.both_means(preds, mem), by=["model"], with_wmae=True, params=P)))
+    simple, weighted = (m.where(F.col("model") == c) for c in ("simple", "weighted"))
+    # without members there is no ensemble, but still a row that says so
+    none = m.agg(F.count(F.lit(1)).alias("_n")).where("_n = 0").select(F.lit("simple").alias("ensemble_method"), F.lit(None).cast("double").alias("rmse"))
+    return en.choose_ensemble(simple, weighted).unionByName(none)
 
 
 @register("l17_model_selection", with_base(ENS_CTES, """

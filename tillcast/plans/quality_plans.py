@@ -14,7 +14,7 @@ from tillcast.plans.registry import register, with_base
 from tillcast.schemas import (CONTRACT_DOUBLE_REQUIRED, CONTRACT_FLAGS, CONTRACT_INT_REQUIRED,
                               CONTRACT_RANGES, FACT, KEYS, MARKDOWNS, RAW_TRAIN)
 from tillcast.sources import fixtures as fx
-from tillcast.sources.fingerprint import fingerprint_lines, table_lines
+from tillcast.sources.fingerprint import BASES, PLACE_BITS, PRIME, fingerprint_lines, ordered_fingerprint, squares, table_lines
 from tillcast.sources.raw import raw_from_view
 
 EXPECTED = {"dim_store": 5}   # regions: fixed by the generator's spec; others only non-empty
@@ -320,6 +320,24 @@ def q_fingerprint(spark, sf):
     return fingerprint_lines(fingerprint_rows(spark, sf))
 
 
+LINE_ORDER = ["l_orderkey", "l_linenumber", "value"]
+
+
+def _lane_sql(k: int, base: int) -> str:
+    power = (f"list_reduce([CAST(1 AS BIGINT)] || list_transform(range(0, {PLACE_BITS}), lambda b: CASE WHEN (at_ >> b) % 2 = 1 "
+             f"THEN {squares(base)}[b + 1] ELSE 1 END), lambda x, y: x * y % {PRIME})")
+    return f"CAST(SUM(CAST(('0x' || substr(md5(line), {8 * k + 1}, 8)) AS BIGINT) % {PRIME} * {power} % {PRIME}) % {PRIME} AS VARCHAR)"
+
+
+@register("a9_ordered_fingerprint", with_base("", f"""
+SELECT COUNT(*) AS n_lines, concat_ws('-', {', '.join(_lane_sql(k, b) for k, b in enumerate(BASES))}) AS digest
+FROM (SELECT line, ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, line) - 1 AS at_ FROM (SELECT l_orderkey, l_linenumber, {FP_LINE} AS line FROM lineitem))"""))
+def q_ordered_fingerprint(spark, sf):
+    """Digest of the line items as text lines in their order; two lines swapped change it."""
+    lines = fingerprint_rows(spark, sf).withColumns({"l_orderkey": F.split("value", r"\|")[0].cast("long"), "l_linenumber": F.split("value", r"\|")[3].cast("int")})
+    return ordered_fingerprint(lines, LINE_ORDER)
+
+
 @register("b21_safe_model_names", with_base("""
 sv AS (SELECT 1)""", """
 SELECT model, regexp_replace(regexp_replace(model, '[ +/]', '_', 'g'), '[()]', '', 'g') AS model_dir FROM (VALUES """ + ", ".join(
