@@ -20,7 +20,7 @@ SHARDS = 16
 GAIN_STEPS = 8
 #: Rounds end when two of them (a round moves one half of the groups) admit less than this share
 #: of the linked rows, or no less than the two before: groups then only change places.
-LEAST_MOVED = 0.005
+LEAST_MOVED = 0.02
 #: A group of more than one part in this many of all rows is many keys of a join.
 LARGE = 2_000
 
