@@ -73,6 +73,16 @@ def test_hostile_rows(spark):
     assert resolve_revisits(df.limit(0)).collect() == []
 
 
+def test_payloads_are_not_stored_with_the_ranked_records(spark, monkeypatch):
+    from tillcast.llm import revisits
+    stored, durable = [], revisits.durable
+    monkeypatch.setattr(revisits, "durable", lambda df: stored.append(df.columns) or durable(df))
+    rows = [(1, "response", U, 10, {"etag": "a"}, "body"), (2, "revisit", U, 11, {"etag": "a"}, None)]
+    out = resolve_revisits(spark.createDataFrame(rows, SCHEMA))
+    assert [(r.record_id, r.status, r.payload) for r in out.collect()] == [(2, "resolved", "body")]
+    assert stored and not any("payload" in c for c in stored)
+
+
 def test_query_has_all_cases_and_an_oracle(spark, duck):
     from tools.oracle_check import compare
     key = "op2_warc_revisits"

@@ -4,7 +4,8 @@ A revisit answered "not modified" carries no payload: it refers to the latest ea
 response for the same canonical URL.  Records are ranked by (URL, time) over range partitions,
 so one URL with a third of all captures is spread over many tasks; each partition carries its
 last response forward, and the partitions' last responses (one row per partition and URL) are
-carried across partitions.  Only built-in functions are used.
+carried across partitions.  Payloads stay out of all this: they are read a second time and moved
+once, to their record_id.  Only built-in functions are used.
 """
 
 from __future__ import annotations
@@ -64,16 +65,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     lower = F.map_from_entries(F.map_entries(lower))
     r = records.where("kind in ('response', 'revisit')").select(
         F.col("record_id").cast("long").alias("record_id"), F.col("kind"),
-        canonical_url(F.col("url")).alias("canonical_url"), F.col("captured"), lower.alias("headers"),
-        F.coalesce("payload", F.lit("")).alias("payload"))
+        canonical_url(F.col("url")).alias("canonical_url"), F.col("captured"), lower.alias("headers"))
     # same-time revisits come before responses: a response must be strictly earlier
     late = F.when(F.col("kind") == "response", 1).otherwise(0)
     tagged = durable(r.withColumn("_late", late)
                      .repartitionByRange("canonical_url", "captured", "_late", "record_id")
                      .withColumn("_part", F.spark_partition_id()))
     usable = (F.col("kind") == "response") & F.col("captured").isNotNull() & F.col("canonical_url").isNotNull()
-    # only keys, validators and headers travel; the payload is fetched at the end by record_id
-    light = tagged.drop("payload").withColumn("_resp", F.when(usable, F.struct(
+    # only keys, validators and headers are ranked and kept; the payload is fetched at the end by record_id
+    light = tagged.withColumn("_resp", F.when(usable, F.struct(
         "captured", F.coalesce("record_id", F.lit(-1)).alias("record_id"), F.map_entries("headers").alias("h"))))
     own = Window.partitionBy("_part", "canonical_url").orderBy("captured", "_late", "record_id")
     seen = light.withColumn("_here", F.last("_resp", ignorenulls=True).over(own))
@@ -100,8 +100,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.col("_r.captured").alias("response_captured"),
         F.when(F.col("status") == "resolved", F.map_concat(kept, updates)).otherwise(F.col("headers")).alias("headers"))
     # where an unresolved revisit looks for a payload, its key is null: it meets none
-    bodies = (tagged.where("kind = 'response'").select("record_id", "payload")
-              .groupBy(F.col("record_id").alias("_id")).agg(F.min("payload").alias("payload")))
+    bodies = (records.where("kind = 'response'")
+              .select(F.col("record_id").cast("long").alias("_id"), F.coalesce("payload", F.lit("")).alias("payload"))
+              .groupBy("_id").agg(F.min("payload").alias("payload")))
     return (checked.withColumn("_id", F.when(F.col("status") == "resolved", F.col("response_id")))
             .join(bodies, "_id", "left").drop("_id"))
 
