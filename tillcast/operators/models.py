@@ -11,9 +11,10 @@ reaches the driver is bounded by folds x features^2.  The fitted model is
 a linear Column expression, so scoring stays in whole-stage codegen.
 
 Boosted trees (L7-L9): three parameter families standing in for the three
-boosting libraries.  Spark ML grows the trees, one a round; the rows' scores
-live in a checkpointed frame (``Boosting``), so a fit can go on until patience
-on the validation rows ends it.
+boosting libraries.  All fits of a query grow together, one Spark job a level
+(``BoostedGrid``, ``tree_growth``); the rows' bins and scores are kept and
+checkpointed, so a fit can go on until patience on the validation rows ends it.
+The result is Spark ML's own boosted model.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.quantiles import exact_percentiles, global_positions
+from tillcast.operators import tree_growth as tg
 from tillcast.schemas import KEYS, MODEL_INPUTS
 from tillcast.session import durable
 
@@ -322,109 +324,160 @@ def tree_prep(train: DataFrame):
     return prep, max(TREE_BINS, max(map(len, prep.stages[0].labelsArray)) + 2)
 
 
-#: Bins of a numeric input: the most for which Spark finds the edges on 10,000 sampled rows, whatever the table.
+#: Bins of a numeric input: the most for which their edges need 10,000 sampled rows, whatever the table.
 TREE_BINS = 100
-#: Rounds between two checkpoints of the rows' state.  In between, a row's score is its last written
-#: one plus the trees grown since.
+#: Rounds between two checkpoints of the rows' state, and between two looks at the held rows' errors.
 STATE_ROUNDS = 20
 
 
-class Boosting:
-    """A boosted fit that goes on: every training row has its current score in a checkpointed frame, a
-    round grows one tree on the residuals and adds it, so no round is ever fitted twice.
+@dataclass
+class GridPoint:
+    """One fit of a grid: its parameters, trees and the held rows' error after each round."""
+    params: dict
+    trees: list
+    errors: list
+
+    def __post_init__(self):
+        unknown = set(self.params) - {"maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy"}
+        if unknown:
+            raise ValueError(f"unknown parameters of a boosted fit: {sorted(unknown)}")
+        subset = self.params.get("featureSubsetStrategy", "all")
+        self.depth, self.rate = int(self.params.get("maxDepth", 5)), float(self.params.get("subsamplingRate", 1.0))
+        self.share = 1.0 if subset == "all" else float(subset)
+
+    def weight(self, k: int) -> float:
+        return float(self.params["stepSize"]) if k else 1.0
+
+
+class BoostedGrid:
+    """Boosted fits of several parameter sets on the same rows that go on together: every row is kept with
+    its bins and its current score in each fit, a round grows one tree of each fit on the residuals, and
+    no round is ever fitted twice.  A level of all the round's trees is one Spark job: tasks fold their
+    rows into histograms, Spark sums those, and the best splits come back.
 
     The first tree is fitted to the target itself and counts whole, the others count ``stepSize``
     each, as in Spark's own boosting.  With ``held`` rows their error after every round is known."""
 
-    def __init__(self, rows: DataFrame, params: dict, bins: int, seed: int, held: DataFrame | None = None):
-        self.params, self.bins, self.seed = dict(params), bins, seed
-        self.rows, self.held = self._start(rows), None if held is None else self._start(held)
-        self.trees, self.errors = [], []
+    def __init__(self, rows: DataFrame, grid: list[dict], bins: int, seed: int, held: DataFrame | None = None):
+        self.points = [GridPoint(dict(params), [], []) for params in grid]
+        rows, held = (None if x is None else x.where(F.col(TARGET).isNotNull()).select("features", TARGET) for x in (rows, held))
+        self.session, self.seed, self.held = rows.sparkSession, seed, held is not None
+        self.bins, n = tg.fit_bins(rows, bins, seed)
+        n += held.count() if self.held else 0
+        self.cores = self.session.sparkContext.defaultParallelism
+        self.tasks = max(min(self.cores, -(-n // tg.LEAST_ROWS)), -(-n // tg.MOST_ROWS))
+        kind, points = self.bins.dtype, len(grid)
+        packed = durable(tg.blocks(rows, held, TARGET, self.bins, self.tasks))
+        self.tasks = packed.rdd.getNumPartitions()
+        self.state = packed.rdd.map(lambda row: tg.unpacked(row, kind, points)).persist()
+
+    def _allowed(self, g: int, k: int, level: int):
+        """The features that each open node may be split by, or None for all."""
+        point, width = self.points[g], len(self.bins.edges)
+        take = int(np.ceil(point.share * width))
+        if take >= width:
+            return None
+        order = np.random.default_rng((self.seed + k, level)).random((2 ** level, width)).argsort(1)
+        out = np.zeros((2 ** level, width), bool)
+        np.put_along_axis(out, order[:, :take], True, 1)
+        return out[point.trees[k].open() - (2 ** level - 1)]
+
+    def _grow(self, state, k: int, active: list[int]) -> None:
+        """Tree ``k`` of the active fits, level by level."""
+        bins, seed, width = self.bins, self.seed + k, len(self.bins.edges)
+        for g in active:
+            self.points[g].trees.append(tg.Tree(self.points[g].depth, bins.most))
+        level = 0
+        while growing := {g: (self.points[g].trees[k], self.points[g].rate) for g in active
+                          if level < self.points[g].depth and len(self.points[g].trees[k].open())}:
+            size = self.tasks * 12 * bins.cells * sum(len(tree.open()) for tree, _ in growing.values())
+            pieces = min(width, self.cores * 4, -(-size // tg.DRIVER_BYTES))
+            ends = [width * i // pieces for i in range(pieces + 1)]
+            chunks = list(zip(ends[:-1], ends[1:]))
+            allowed = {g: self._allowed(g, k, level) for g in growing}
+            sums = state.mapPartitions(lambda part: tg.histograms(part, growing, seed, bins, chunks))
+            found = tg.better_of(tg.gathered(sums, lambda i, hists: tg.best_splits(hists, chunks[i], bins, allowed), size, pieces))
+            for g, (tree, _) in growing.items():
+                tree.split(level, level + 1 == self.points[g].depth, *found[g])
+            level += 1
+
+    def grow(self, targets: list[int]) -> None:
+        """Grow each fit to its number of trees in ``targets`` (fits that have as many stay)."""
+        while active := [g for g, (p, t) in enumerate(zip(self.points, targets)) if len(p.trees) < t]:
+            k = min(len(self.points[g].trees) for g in active)
+            active = [g for g in active if len(self.points[g].trees) == k]
+            self._stretch(k, min(k + STATE_ROUNDS, *(targets[g] for g in active)), active)
+
+    def _stretch(self, first: int, last: int, active: list[int]) -> None:
+        before, state, seed = self.state, self.state, self.seed
+        for k in range(first, last):
+            self._grow(state, k, active)
+            if state is not before:
+                old.unpersist()
+            old = state
+            new = {g: (self.points[g].trees[k], self.points[g].weight(k)) for g in active}
+            state = old.mapPartitions(lambda part, new=new: tg.advanced(part, new)).persist()
+        state.checkpoint()
+        state.count()
+        if old is not before:
+            old.unpersist()
+        self._tell(before, first, last, active)
+        before.unpersist()
+        self.state = state
+
+    def _tell(self, before, first: int, last: int, active: list[int]) -> None:
+        """Node statistics of the new trees and the held rows' error after each new round, in one pass."""
+        stretch = {g: (first, self.points[g].trees[first:last], [self.points[g].weight(k) for k in range(first, last)], self.points[g].rate) for g in active}
+        seed = self.seed
+        size = self.tasks * (last - first) * 24 * sum(2 ** (self.points[g].depth + 1) for g in active)
+        for told in tg.gathered(before.mapPartitions(lambda part: tg.replayed(part, stretch, seed)), lambda _, v: v, size, len(active)):
+            for g, (leaves, errors) in told.items():
+                for tree, stats in zip(stretch[g][1], leaves):
+                    tree.told(stats)
+                if self.held:
+                    self.points[g].errors += [float(e / n) if n else float("inf") for e, n in errors]
+
+    def until(self, rounds: int, patience: int) -> list[tuple[int, str]]:
+        """Go on until ``patience`` rounds bring no lower error, or ``rounds`` are grown:
+        (rounds of the lowest error, what stopped it) of each fit."""
+        while True:
+            ends = [patience_stop(p.errors, patience) if p.errors else (0, False) for p in self.points]
+            if all(stopped or len(p.trees) >= rounds for p, (_, stopped) in zip(self.points, ends)):
+                return [(kept, "patience" if stopped else "rounds") for kept, stopped in ends]
+            self.grow([0 if stopped else min(len(p.trees) + STATE_ROUNDS, rounds) for p, (_, stopped) in zip(self.points, ends)])
 
-    @staticmethod
-    def _start(rows: DataFrame) -> DataFrame:
-        return rows.where(F.col(TARGET).isNotNull()).select("features", TARGET, F.lit(0.0).alias("score"))
+    def model(self, g: int, kept: int):
+        """The first ``kept`` trees of a fit as one Spark model: it predicts, tells importances and can be saved."""
+        point = self.points[g]
+        return tg.spark_model(self.session, point.trees[:kept], [point.weight(k) for k in range(kept)], self.bins)
 
-    def weight(self, k: int) -> float:
-        return float(self.params["stepSize"]) if k else 1.0
+    def close(self) -> None:
+        self.state.unpersist()
 
-    def _grown(self, rows: DataFrame, k: int):
-        from pyspark.ml.regression import RandomForestRegressor
-
-        shape = {p: v for p, v in self.params.items() if p != "stepSize"}
-        one = RandomForestRegressor(featuresCol="features", labelCol="residual", numTrees=1, bootstrap=False, maxBins=self.bins,
-                                    seed=self.seed + k, **{"featureSubsetStrategy": "all", **shape})
-        return one.fit(rows.select("features", (F.col(TARGET) - F.col("score")).alias("residual")))
-
-    def _ensemble(self, first: int, end: int):
-        """Trees ``first`` to ``end`` (exclusive) as one Spark model: it predicts, tells importances and can be saved."""
-        from pyspark.ml.regression import GBTRegressionModel
-
-        session = self.rows.sparkSession
-        jvm, gateway = session._jvm, session.sparkContext._gateway
-        trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, end - first)
-        weights = gateway.new_array(jvm.double, end - first)
-        for i, k in enumerate(range(first, end)):
-            trees[i], weights[i] = self.trees[k]._java_obj.trees()[0], self.weight(k)
-        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(
-            f"boosted_{self.seed}_{first}_{end}", trees, weights, int(self.trees[first].numFeatures)))
-
-    def _scored(self, rows: DataFrame, first: int, end: int) -> DataFrame:
-        """``rows`` with what the trees ``first`` to ``end`` add: one expression, whatever their number, so that
-        every round has the same plan and compiles nothing anew."""
-        if first == end:
-            return rows
-        return self._ensemble(first, end).transform(rows).withColumn("score", F.col("score") + F.col("prediction")).drop("prediction")
+
+class Boosting:
+    """A single boosted fit that goes on (see ``BoostedGrid``)."""
+
+    def __init__(self, rows: DataFrame, params: dict, bins: int, seed: int, held: DataFrame | None = None):
+        self.grid = BoostedGrid(rows, [params], bins, seed, held)
+        self.trees, self.errors = self.grid.points[0].trees, self.grid.points[0].errors
 
     def advance(self, rounds: int) -> None:
         """Grow ``rounds`` more trees."""
-        target = len(self.trees) + rounds
-        while len(self.trees) < target:
-            first, last = len(self.trees), min(len(self.trees) + STATE_ROUNDS, target)
-            for k in range(first, last):
-                self.trees.append(self._grown(self._scored(self.rows, first, k), k))
-            self.rows = durable(self._scored(self.rows, first, last))
-            if self.held is not None:
-                self._measure(first)
-
-    def _measure(self, first: int) -> None:
-        """The error of the held rows after each new round, in one pass over them."""
-        rows, errors = self.held, []
-        for k in range(first, len(self.trees)):
-            rows = self._scored(rows, k, k + 1).withColumn(f"score_{k}", F.col("score"))
-            errors.append(F.avg((F.col(TARGET) - F.col(f"score_{k}")) ** 2).alias(f"e{k}"))
-        seen = durable(rows)
-        self.errors += [e if e is not None else float("inf") for e in seen.agg(*errors).first()]
-        self.held = seen.select("features", TARGET, "score")
+        self.grid.grow([len(self.trees) + rounds])
 
     def until(self, rounds: int, patience: int) -> tuple[int, str]:
-        """Go on until ``patience`` rounds bring no lower error, or ``rounds`` are grown:
-        (rounds of the lowest error, what stopped it)."""
-        while True:
-            kept, stopped = patience_stop(self.errors, patience) if self.errors else (0, False)
-            if stopped or len(self.trees) >= rounds:
-                return kept, "patience" if stopped else "rounds"
-            self.advance(min(STATE_ROUNDS, rounds - len(self.trees)))
+        return self.grid.until(rounds, patience)[0]
 
     def model(self, kept: int):
         """The first ``kept`` trees."""
-        return self._ensemble(0, kept)
+        return self.grid.model(0, kept)
 
 
 def _tree_target(df: DataFrame) -> DataFrame:
     return tree_frame(df).withColumn(TARGET, F.col(TARGET).cast("double"))
 
 
-def _at_once(spark, jobs: list, parallelism: int) -> list:
-    """Independent fits side by side: the jobs of one round are small and leave most cores idle."""
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-
-    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        return [r.get() for r in [pool.apply_async(inheritable_thread_target(spark)(job)) for job in jobs]]
-
-
 @dataclass
 class FittedTrees:
     model: object               # PipelineModel: categories, vector, trees
@@ -437,8 +490,7 @@ class FittedTrees:
         return tree_count(self.model)
 
 
-def fit_gbt_families(train: DataFrame, val: DataFrame, families, rounds: int, patience: int, seed: int = 42,
-                     parallelism: int = 9) -> dict[str, FittedTrees]:
+def fit_gbt_families(train: DataFrame, val: DataFrame, families, rounds: int, patience: int, seed: int = 42) -> dict[str, FittedTrees]:
     """Every grid point of every family is grown until patience on ``val`` ends it; of each family
     the one of the lowest validation RMSE stays, cut at its best round.  Rows are prepared once for
     all grid points, and no round is grown twice."""
@@ -449,17 +501,16 @@ def fit_gbt_families(train: DataFrame, val: DataFrame, families, rounds: int, pa
     tr, va = (durable(prep.transform(x).select("features", TARGET)) for x in (tr, va))
     grid = [(family, params) for family in families for params in GBT_FAMILIES[family]]
 
-    def grow(params):
-        fit = Boosting(tr, params, bins, seed, va)
-        return fit, *fit.until(rounds, patience)
-
-    grown = _at_once(train.sparkSession, [lambda p=params: grow(p) for _, params in grid], parallelism)
+    fits = BoostedGrid(tr, [params for _, params in grid], bins, seed, va)
+    ends = fits.until(rounds, patience)
     out = {}
     for family in families:
-        mine = [(params, *g) for (f, params), g in zip(grid, grown) if f == family]
-        params, fit, kept, _ = min(mine, key=lambda m: m[1].errors[m[2] - 1])
-        out[family] = FittedTrees(PipelineModel([*prep.stages, fit.model(kept)]), params, fit.errors[kept - 1] ** 0.5,
-                                  [(p, k, len(b.trees), why) for p, b, k, why in mine])
+        mine = [g for g, (f, _) in enumerate(grid) if f == family]
+        g = min(mine, key=lambda i: fits.points[i].errors[ends[i][0] - 1])
+        kept = ends[g][0]
+        out[family] = FittedTrees(PipelineModel([*prep.stages, fits.model(g, kept)]), grid[g][1], fits.points[g].errors[kept - 1] ** 0.5,
+                                  [(grid[i][1], ends[i][0], len(fits.points[i].trees), ends[i][1]) for i in mine])
+    fits.close()
     return out
 
 
@@ -510,7 +561,7 @@ def feature_importance(model, df: DataFrame) -> DataFrame:
                                            "feature string, importance double")
 
 
-def refit_gbts(train_val: DataFrame, chosen: dict[str, FittedTrees], seed: int = 42, parallelism: int = 9) -> dict:
+def refit_gbts(train_val: DataFrame, chosen: dict[str, FittedTrees], seed: int = 42) -> dict:
     """L18 for trees: the chosen parameters of each family, grown on train + val for as many rounds as the
     early-stopped fit kept (no validation rows are left to stop on)."""
     from pyspark.ml import PipelineModel
@@ -519,12 +570,12 @@ def refit_gbts(train_val: DataFrame, chosen: dict[str, FittedTrees], seed: int =
     prep, bins = tree_prep(durable(rows))
     rows = durable(prep.transform(rows).select("features", TARGET))
 
-    def grow(fitted):
-        fit = Boosting(rows, fitted.params, bins, seed)
-        fit.advance(max(1, fitted.trees))
-        return PipelineModel([*prep.stages, fit.model(max(1, fitted.trees))])
-
-    return dict(zip(chosen, _at_once(train_val.sparkSession, [lambda c=c: grow(c) for c in chosen.values()], parallelism)))
+    fits = BoostedGrid(rows, [c.params for c in chosen.values()], bins, seed)
+    rounds = [max(1, c.trees) for c in chosen.values()]
+    fits.grow(rounds)
+    out = {family: PipelineModel([*prep.stages, fits.model(g, n)]) for g, (family, n) in enumerate(zip(chosen, rounds))}
+    fits.close()
+    return out
 
 
 def tree_count(model) -> int:
