@@ -84,3 +84,47 @@ def test_trees_of_the_features_and_their_store(spark, tmp_path):
     assert bl.SEASONAL_NAIVE                                                    # the gate that the trees are held against
     kinds = {a["name"] for a in fitted.model.transform(md.tree_frame(val)).schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])}
     assert kinds == {"store_type_index", "dept_id_index"}
+
+
+def test_fits_of_a_grid_share_their_jobs(spark, curve):
+    rows, held = curve
+    grid = [PARAMS, dict(maxDepth=2, stepSize=0.1), dict(maxDepth=3, stepSize=0.1, subsamplingRate=0.7)]
+    fits = md.BoostedGrid(rows, grid, 32, 5, held)
+    spark.sparkContext.setJobGroup("boosting", "four rounds of three fits")
+    try:
+        fits.grow([4, 4, 4])
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("boosting"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs <= 4 * 3 + 3                                                    # a level each, then the state and the errors
+    for point, params in zip(fits.points, grid):
+        alone = md.Boosting(rows, params, 32, 5, held)
+        alone.advance(4)
+        assert alone.errors == pytest.approx(point.errors, rel=1e-12)
+
+
+def test_categories_and_shuffled_sums_give_sparks_own_trees(spark, monkeypatch):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = spark.range(900).select((F.col("id") % 90 / 7).alias("x"), F.pmod(F.xxhash64("id"), F.lit(11)).cast("string").alias("kind"), "id")
+    rows = rows.withColumn(md.TARGET, F.pmod(F.crc32("kind"), F.lit(17)) + F.col("x") + F.pmod(F.xxhash64("id", F.lit(2)), F.lit(100)) / 50)
+    rows = StringIndexer(inputCol="kind", outputCol="k").fit(rows).transform(rows)
+    rows = durable(VectorAssembler(inputCols=["x", "k"], outputCol="features").transform(rows))
+    theirs = GBTRegressor(featuresCol="features", labelCol=md.TARGET, maxIter=3, maxBins=32, seed=5, maxDepth=4, stepSize=0.1).fit(rows)
+    for most in (md.tg.DRIVER_BYTES, 1):                                        # summed by the driver, in a shuffle
+        monkeypatch.setattr(md.tg, "DRIVER_BYTES", most)
+        mine = md.Boosting(rows, dict(maxDepth=4, stepSize=0.2), 32, 5, rows)
+        mine.advance(3)
+        model = mine.model(3)
+        both = model.transform(rows).withColumnRenamed("prediction", "mine").join(theirs.transform(rows).select("id", "prediction"), "id")
+        assert both.where(F.abs(F.col("mine") - F.col("prediction")) > 1e-9).count() == 0
+        assert [t.numNodes for t in model.trees] == [t.numNodes for t in theirs.trees]
+        first, expected = model.trees[0].featureImportances.toArray(), theirs.trees[0].featureImportances.toArray()
+        assert first == pytest.approx(expected, rel=1e-9)
+        assert model.trees[0]._java_obj.rootNode().impurity() == pytest.approx(theirs.trees[0]._java_obj.rootNode().impurity())
+    assert "kind" in rows.columns and mine.grid.bins.nominal == [False, True]
+
+
+def test_no_training_rows_is_an_error(curve):
+    with pytest.raises(ValueError, match="training rows"):
+        md.Boosting(curve[0].limit(0), PARAMS, 32, 5)

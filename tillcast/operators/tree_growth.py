@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: Rows of a task while there are fewer tasks than cores, and the most rows of a task (a byte or two each cell).
 LEAST_ROWS, MOST_ROWS = 10_000, 200_000
 #: Bytes that all tasks together send to the driver; more than these are summed in a shuffle.
-DRIVER_BYTES = 4_000_000
+DRIVER_BYTES = 16_000_000
 
 
 # -- bins and blocks -------------------------------------------------------------------------------------
@@ -44,9 +44,10 @@ class Bins:
         return np.uint8 if self.most <= 256 else np.uint16 if self.most <= 65_536 else np.uint32
 
     def coded(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty(x.shape, self.dtype)
+        """The bins of rows ``x``, a feature after the other."""
+        out = np.empty(x.shape[::-1], self.dtype)
         for f, (e, nominal) in enumerate(zip(self.edges, self.nominal)):
-            out[:, f] = x[:, f] if nominal else np.searchsorted(e, x[:, f])
+            out[f] = x[:, f] if nominal else np.searchsorted(e, x[:, f])
         return out
 
 
@@ -104,9 +105,9 @@ def blocks(rows: DataFrame, held: DataFrame | None, label: str, bins: Bins, task
 
 
 def unpacked(row, dtype, points: int):
-    """(block, bins, labels, held, score of each point)."""
+    """(block, bins of each feature, labels, held, score of each point)."""
     n = row["n"]
-    return (row["block"], np.frombuffer(row["bins"], dtype).reshape(n, -1), np.frombuffer(row["y"]), np.frombuffer(row["held"], bool), np.zeros((points, n)))
+    return (row["block"], np.frombuffer(row["bins"], dtype).reshape(-1, n), np.frombuffer(row["y"]), np.frombuffer(row["held"], bool), np.zeros((points, n)))
 
 
 # -- trees -----------------------------------------------------------------------------------------------
@@ -129,12 +130,12 @@ class Tree:
 
     def leaf(self, codes: np.ndarray) -> np.ndarray:
         """The node that each row has reached."""
-        node, row = np.zeros(len(codes), np.int32), np.arange(len(codes))
+        node = np.zeros(codes.shape[1], np.int32)
         for _ in range(self.levels):
             f = self.feature[node]
             inner = np.flatnonzero(f >= 0)
             at = node[inner]
-            node[inner] = 2 * at + 2 - self.left[at, codes[row[inner], f[inner]]]
+            node[inner] = 2 * at + 2 - self.left[at, codes[f[inner], inner]]
         return node
 
     def split(self, level: int, last: bool, gain, feature, left, n, total, n_left, left_total) -> None:
@@ -222,16 +223,19 @@ def histograms(part, grown: dict, seed: int, bins: Bins, chunks: list):
     """Rows and residual sums of every (open node, bin) of each point's tree: (chunk of features, (task, {point: (counts, sums)}))."""
     sums = {}
     for block, codes, y, held, score in part:
-        cells, width = codes + bins.starts[:-1], codes.shape[1]
         for g, (tree, rate) in grown.items():
             slot = tree.slot[tree.leaf(codes)]
             rows = np.flatnonzero(~held & (slot >= 0) & drawn(seed, block, len(y), rate))
-            flat = (cells[rows] + (slot[rows].astype(np.int64) * bins.cells)[:, None]).ravel()
-            size = len(tree.open()) * bins.cells
-            new = np.bincount(flat, minlength=size), np.bincount(flat, np.repeat(y[rows] - score[g, rows], width), size)
-            sums[g] = tuple(a + b for a, b in zip(sums[g], new)) if g in sums else new
+            slot, residual, taken = slot[rows].astype(np.int64), (y - score[g])[rows], codes[:, rows]
+            slots = len(tree.open())
+            if g not in sums:
+                sums[g] = np.zeros((slots, bins.cells), np.int64), np.zeros((slots, bins.cells))
+            counts, totals = sums[g]
+            for f, (size, a) in enumerate(zip(bins.sizes, bins.starts)):
+                at = slot * size + taken[f]
+                counts[:, a:a + size] += np.bincount(at, minlength=slots * size).reshape(slots, size)
+                totals[:, a:a + size] += np.bincount(at, residual, slots * size).reshape(slots, size)
     task = TaskContext.get().partitionId()
-    sums = {g: tuple(a.reshape(-1, bins.cells) for a in v) for g, v in sums.items()}
     for i, (a, b) in enumerate(chunks):
         cut = slice(bins.starts[a], bins.starts[b])
         if sums:
@@ -240,38 +244,43 @@ def histograms(part, grown: dict, seed: int, bins: Bins, chunks: list):
 
 def best_splits(hists: dict, chunk: tuple, bins: Bins, allowed: dict) -> dict:
     """{point: (gain, feature, left bins, rows, sum, left rows, left sum) of each open node} over the features of a chunk."""
-    out = {}
+    out, first, alike = {}, bins.starts[chunk[0]], {}
+    for f in range(*chunk):
+        if bins.sizes[f] > 1:
+            alike.setdefault((int(bins.sizes[f]), bins.nominal[f]), []).append(f)
     for g, (counts, sums) in hists.items():
-        slots, first = len(counts), bins.starts[chunk[0]]
-        row = np.arange(slots)
+        slots, row = len(counts), np.arange(len(counts))
         top = slice(0, bins.sizes[chunk[0]])
         n, total = counts[:, top].sum(1).astype(float), sums[:, top].sum(1)
-        gain, feature, left = np.zeros(slots), np.full(slots, -1, np.int32), np.zeros((slots, bins.most), bool)
-        n_left, left_total = np.zeros(slots), np.zeros(slots)
-        for f in range(*chunk):
-            size = int(bins.sizes[f])
-            if size < 2:
-                continue
-            cut = slice(bins.starts[f] - first, bins.starts[f] - first + size)
-            c, s, order = counts[:, cut].astype(float), sums[:, cut], None
-            if bins.nominal[f]:
-                order = np.argsort(np.where(c > 0, s / np.maximum(c, 1), np.inf), axis=1, kind="stable")
-                c, s = np.take_along_axis(c, order, 1), np.take_along_axis(s, order, 1)
-            nl, sl = c.cumsum(1)[:, :-1], s.cumsum(1)[:, :-1]
-            both = nl * (n[:, None] - nl)
-            gains = np.where(both > 0, (sl - total[:, None] * nl / np.maximum(n, 1)[:, None]) ** 2 * n[:, None] / np.maximum(both, 1), -1.0)
-            at = gains.argmax(1)
-            best = gains[row, at]
-            better = best > gain if allowed.get(g) is None else (best > gain) & allowed[g][:, f]
-            if better.any():
-                goes = np.arange(size) <= at[:, None]
-                if order is not None:
-                    by_rank, goes = goes, np.zeros_like(goes)
-                    np.put_along_axis(goes, order, by_rank, 1)
-                gain[better], feature[better], left[better] = best[better], f, False
-                left[better, :size] = goes[better]
-                n_left[better], left_total[better] = nl[row, at][better], sl[row, at][better]
-        out[g] = gain, feature, left, n, total, n_left, left_total
+        share = total / np.maximum(n, 1)
+        # of each feature: the best gain, the bin (or rank of the category) of its split, rows and sum on its left
+        gains, ends, n_left, left_total = (np.zeros((slots, chunk[1] - chunk[0])) for _ in range(4))
+        orders = {}
+        for (size, nominal), some in alike.items():
+            cells = (bins.starts[some] - first)[:, None] + np.arange(size)
+            c, s = counts[:, cells].astype(float), sums[:, cells]
+            if nominal:
+                order = np.argsort(np.where(c > 0, s / np.maximum(c, 1), np.inf), axis=2, kind="stable")
+                c, s = np.take_along_axis(c, order, 2), np.take_along_axis(s, order, 2)
+                orders |= {f: order[:, i] for i, f in enumerate(some)}
+            nl, sl = c.cumsum(2)[:, :, :-1], s.cumsum(2)[:, :, :-1]
+            both = nl * (n[:, None, None] - nl)
+            gain = np.where(both > 0, (sl - share[:, None, None] * nl) ** 2 * n[:, None, None] / np.maximum(both, 1), -1.0)
+            at = gain.argmax(2)[:, :, None]
+            here = np.array(some) - chunk[0]
+            for into, value in ((gains, gain), (n_left, nl), (left_total, sl)):
+                into[:, here] = np.take_along_axis(value, at, 2)[:, :, 0]
+            ends[:, here] = at[:, :, 0]
+        if allowed.get(g) is not None:
+            gains = np.where(allowed[g][:, chunk[0]:chunk[1]], gains, 0.0)
+        best = gains.argmax(1)
+        feature, end = best + chunk[0], ends[row, best]
+        left = np.arange(bins.most) <= end[:, None]
+        for i in np.flatnonzero(np.isin(feature, list(orders))):
+            order = orders[feature[i]][i]
+            left[i] = False
+            left[i, order[:int(end[i]) + 1]] = True
+        out[g] = gains[row, best], feature.astype(np.int32), left, n, total, n_left[row, best], left_total[row, best]
     return out
 
 
